@@ -11,6 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickscope.operators import ads as ADS
+from clickscope.operators import area as AREA
+from clickscope.operators import category as CAT
+from clickscope.operators import funnel as FUN
 from clickscope.operators import session as S
 from clickscope.params import DEFAULT_PARAMS, KEYWORD_PARAMS, TaskParams
 from clickscope.runtime import use_utc
@@ -105,3 +109,201 @@ def q_session_extract_detail(spark, sf_dir):
 def q_session_filtered_actions(spark, sf_dir):
     t = fixtures(spark, sf_dir)
     return S.session_filtered_actions(actions_in_range(t), filtered(t))
+
+
+def filtered_actions(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
+    return S.session_filtered_actions(actions_in_range(t, p), filtered(t, p))
+
+
+# ---- categories ------------------------------------------------------------------------
+
+@query("category_universe")
+def q_category_universe(spark, sf_dir):
+    return CAT.category_universe(filtered_actions(fixtures(spark, sf_dir)))
+
+
+@query("category_click_count")
+def q_category_click_count(spark, sf_dir):
+    return CAT.category_click_count(filtered_actions(fixtures(spark, sf_dir)))
+
+
+@query("category_order_count")
+def q_category_order_count(spark, sf_dir):
+    return CAT.category_order_count(filtered_actions(fixtures(spark, sf_dir)))
+
+
+@query("category_pay_count")
+def q_category_pay_count(spark, sf_dir):
+    return CAT.category_pay_count(filtered_actions(fixtures(spark, sf_dir)))
+
+
+@query("category_full_count")
+def q_category_full_count(spark, sf_dir):
+    return CAT.category_full_count(filtered_actions(fixtures(spark, sf_dir)))
+
+
+def top_categories(t: FixtureTables) -> DataFrame:
+    return CAT.top10_category(CAT.category_full_count(filtered_actions(t)))
+
+
+@query("top10_category")
+def q_top10_category(spark, sf_dir):
+    return top_categories(fixtures(spark, sf_dir))
+
+
+@query("category_session_count")
+def q_category_session_count(spark, sf_dir):
+    t = fixtures(spark, sf_dir)
+    return CAT.category_session_count(filtered_actions(t), top_categories(t))
+
+
+@query("top10_active_session")
+def q_top10_active_session(spark, sf_dir):
+    t = fixtures(spark, sf_dir)
+    return CAT.top10_active_session(CAT.category_session_count(filtered_actions(t), top_categories(t)))
+
+
+# ---- page funnel -----------------------------------------------------------------------
+
+@query("page_transitions")
+def q_page_transitions(spark, sf_dir):
+    return FUN.page_transitions(actions_in_range(fixtures(spark, sf_dir)))
+
+
+@query("page_transitions_window")
+def q_page_transitions_window(spark, sf_dir):
+    return FUN.page_transitions_window(actions_in_range(fixtures(spark, sf_dir)))
+
+
+@query("page_split_count")
+def q_page_split_count(spark, sf_dir):
+    a = actions_in_range(fixtures(spark, sf_dir))
+    return FUN.page_split_count(FUN.page_transitions(a),
+                                FUN.target_path(spark, DEFAULT_PARAMS.target_page_flow))
+
+
+@query("start_page_count")
+def q_start_page_count(spark, sf_dir):
+    return FUN.start_page_count(actions_in_range(fixtures(spark, sf_dir)),
+                                DEFAULT_PARAMS.target_page_flow[0])
+
+
+@query("page_convert_rate")
+def q_page_convert_rate(spark, sf_dir):
+    return FUN.page_convert_rate(actions_in_range(fixtures(spark, sf_dir)),
+                                 DEFAULT_PARAMS.target_page_flow)
+
+
+@query("page_convert_rate_string")
+def q_page_convert_rate_string(spark, sf_dir):
+    return FUN.page_convert_rate_string(FUN.page_convert_rate(
+        actions_in_range(fixtures(spark, sf_dir)), DEFAULT_PARAMS.target_page_flow))
+
+
+# ---- area top products -----------------------------------------------------------------
+
+def clicks(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
+    return SRC.city_click_products(t.actions, p.start_date, p.end_date)
+
+
+def area_basic(t: FixtureTables) -> DataFrame:
+    return AREA.area_click_basic(clicks(t), SRC.city_area(t.spark))
+
+
+def area_info(t: FixtureTables) -> DataFrame:
+    return AREA.area_product_info(AREA.area_product_click_count(area_basic(t)), t.products)
+
+
+@query("city_click_products")
+def q_city_click_products(spark, sf_dir):
+    return clicks(fixtures(spark, sf_dir))
+
+
+@query("area_click_basic")
+def q_area_click_basic(spark, sf_dir):
+    return area_basic(fixtures(spark, sf_dir))
+
+
+@query("area_product_click_count")
+def q_area_product_click_count(spark, sf_dir):
+    return AREA.area_product_click_count(area_basic(fixtures(spark, sf_dir)))
+
+
+@query("area_product_info")
+def q_area_product_info(spark, sf_dir):
+    return area_info(fixtures(spark, sf_dir))
+
+
+@query("area_top3_product")
+def q_area_top3_product(spark, sf_dir):
+    return AREA.area_top3_product(area_info(fixtures(spark, sf_dir)))
+
+
+@query("group_concat_distinct")
+def q_group_concat_distinct(spark, sf_dir):
+    from clickscope.functions import columns as C
+    from pyspark.sql import functions as F
+    basic = area_basic(fixtures(spark, sf_dir))
+    return basic.groupBy("area").agg(
+        C.group_concat_distinct(C.concat_long_string("city_id", "city_name", ":")).alias("city_infos"),
+        C.group_concat_distinct(F.col("product_id").cast("string")).alias("product_ids"))
+
+
+# ---- ad clicks (batch form) ------------------------------------------------------------
+
+# Fixture threshold: the generated data holds at most a handful of clicks per (user, ad, day).
+FIXTURE_BLACKLIST_THRESHOLD = 1
+
+
+def ad_parsed(t: FixtureTables) -> DataFrame:
+    return ADS.ad_log_parse(t.ad_lines)
+
+
+def ad_filtered(t: FixtureTables) -> DataFrame:
+    return ADS.ad_blacklist_filter(ad_parsed(t), t.blacklist)
+
+
+@query("ad_log_parse")
+def q_ad_log_parse(spark, sf_dir):
+    return ad_parsed(fixtures(spark, sf_dir))
+
+
+@query("ad_blacklist_filter")
+def q_ad_blacklist_filter(spark, sf_dir):
+    return ad_filtered(fixtures(spark, sf_dir))
+
+
+@query("ad_user_click_count")
+def q_ad_user_click_count(spark, sf_dir):
+    return ADS.ad_user_click_count(ad_filtered(fixtures(spark, sf_dir)))
+
+
+@query("ad_blacklist")
+def q_ad_blacklist(spark, sf_dir):
+    return ADS.ad_blacklist(ADS.ad_user_click_count(ad_filtered(fixtures(spark, sf_dir))),
+                            FIXTURE_BLACKLIST_THRESHOLD)
+
+
+@query("ad_stat")
+def q_ad_stat(spark, sf_dir):
+    return ADS.ad_stat(ad_filtered(fixtures(spark, sf_dir)))
+
+
+@query("ad_province_count")
+def q_ad_province_count(spark, sf_dir):
+    return ADS.ad_province_count(ADS.ad_stat(ad_filtered(fixtures(spark, sf_dir))))
+
+
+@query("ad_province_top3")
+def q_ad_province_top3(spark, sf_dir):
+    return ADS.ad_province_top3(ADS.ad_province_count(ADS.ad_stat(ad_filtered(fixtures(spark, sf_dir)))))
+
+
+@query("ad_click_trend")
+def q_ad_click_trend(spark, sf_dir):
+    return ADS.ad_click_trend(ad_filtered(fixtures(spark, sf_dir)))
+
+
+@query("ad_recent_hour")
+def q_ad_recent_hour(spark, sf_dir):
+    return ADS.ad_recent_hour(ad_filtered(fixtures(spark, sf_dir)))

@@ -167,14 +167,181 @@ def _with(ctes: list[tuple[str, str]], final: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS (\n{body}\n)" for n, body in ctes) + "\n" + final
 
 
+EXTRA_CTES: dict[str, list[tuple[str, str]]] = {}
+
+
 def register(name: str, final: str, extra_ctes: list[tuple[str, str]] | None = None) -> None:
     FINAL[name] = final
     if extra_ctes:
         EXTRA_CTES[name] = extra_ctes
 
 
-EXTRA_CTES: dict[str, list[tuple[str, str]]] = {}
-
-
 def oracle_sql() -> dict[str, str]:
     return {k: _with(BASE_CTES + EXTRA_CTES.get(k, []), v) for k, v in FINAL.items()}
+
+
+# ---- categories ------------------------------------------------------------------------
+
+_FA = ("fa", "SELECT * FROM va WHERE session_id IN (SELECT session_id FROM filt)")
+_CEV = ("cev", """SELECT click_category_id AS category_id, 0 AS kind FROM fa WHERE click_category_id <> -1
+UNION ALL
+SELECT TRY_CAST(x AS BIGINT), 1 FROM (SELECT unnest(string_split(order_category_ids, ',')) AS x
+  FROM fa WHERE order_category_ids IS NOT NULL) o WHERE TRY_CAST(x AS BIGINT) IS NOT NULL
+UNION ALL
+SELECT TRY_CAST(x AS BIGINT), 2 FROM (SELECT unnest(string_split(pay_category_ids, ',')) AS x
+  FROM fa WHERE pay_category_ids IS NOT NULL) p WHERE TRY_CAST(x AS BIGINT) IS NOT NULL""")
+_CFC = ("cfc", """SELECT category_id, count(*) FILTER (WHERE kind = 0) AS click_count,
+       count(*) FILTER (WHERE kind = 1) AS order_count, count(*) FILTER (WHERE kind = 2) AS pay_count
+  FROM cev GROUP BY category_id""")
+_TOP = ("top10", f"""SELECT '{TASK}' AS taskid, category_id, click_count, order_count, pay_count FROM cfc
+ ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id ASC LIMIT 10""")
+_CSC = ("csc", """SELECT click_category_id AS category_id, session_id, count(*) AS click_count FROM fa
+ WHERE click_category_id IN (SELECT category_id FROM top10) GROUP BY 1, 2""")
+CAT_CTES = [_FA, _CEV, _CFC, _TOP, _CSC]
+
+for _k, _sql in {
+    "category_universe": "SELECT DISTINCT category_id FROM cev",
+    "category_click_count": "SELECT category_id, count(*) AS click_count FROM cev WHERE kind = 0 GROUP BY 1",
+    "category_order_count": "SELECT category_id, count(*) AS order_count FROM cev WHERE kind = 1 GROUP BY 1",
+    "category_pay_count": "SELECT category_id, count(*) AS pay_count FROM cev WHERE kind = 2 GROUP BY 1",
+    "category_full_count": "SELECT * FROM cfc",
+    "top10_category": "SELECT * FROM top10",
+    "category_session_count": "SELECT * FROM csc",
+    "top10_active_session": f"""SELECT '{TASK}' AS taskid, category_id, session_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id ASC) AS rn
+    FROM csc) r WHERE rn <= 10""",
+}.items():
+    register(_k, _sql, CAT_CTES)
+
+
+# ---- page funnel -----------------------------------------------------------------------
+
+def _path_values(flow) -> str:
+    flow = [int(p) for p in flow]
+    rows = [f"({i + 1}, CAST({a} AS BIGINT), CAST({b} AS BIGINT), '{a}_{b}')"
+            for i, (a, b) in enumerate(zip(flow[:-1], flow[1:]))]
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") v(step, from_page, to_page, page_split)"
+
+
+FUNNEL_CTES = [
+    ("trans", """SELECT session_id, from_page, to_page FROM (
+  SELECT session_id, page_id AS from_page,
+         lead(page_id) OVER (PARTITION BY session_id
+                             ORDER BY strptime(action_time, '%Y-%m-%d %H:%M:%S'), event_id) AS to_page
+    FROM va) x WHERE to_page IS NOT NULL"""),
+    ("tpath", _path_values(P.target_page_flow)),
+    ("psc", """SELECT p.step, p.page_split, CAST(coalesce(c.n, 0) AS BIGINT) AS split_count
+  FROM tpath p LEFT JOIN (SELECT from_page, to_page, count(*) AS n FROM trans GROUP BY 1, 2) c
+    ON p.from_page = c.from_page AND p.to_page = c.to_page"""),
+    ("spc", f"SELECT count(*) FILTER (WHERE page_id = {int(P.target_page_flow[0])}) AS start_page_count FROM va"),
+    ("pcr", """SELECT step, page_split, split_count, convert_rate FROM (
+  SELECT step, page_split, split_count,
+         CAST(split_count AS DOUBLE) / NULLIF(CAST(lag(split_count) OVER (ORDER BY step) AS DOUBLE), 0)
+           AS convert_rate
+    FROM (SELECT step, page_split, split_count FROM psc
+          UNION ALL SELECT 0, 'start', start_page_count FROM spc) u) r WHERE step > 0"""),
+]
+for _k, _sql in {
+    "page_transitions": "SELECT * FROM trans",
+    "page_transitions_window": "SELECT * FROM trans",
+    "page_split_count": "SELECT * FROM psc",
+    "start_page_count": "SELECT * FROM spc",
+    "page_convert_rate": "SELECT * FROM pcr",
+    "page_convert_rate_string": f"""SELECT '{TASK}' AS taskid,
+       string_agg(page_split || '=' || coalesce(CAST(convert_rate AS VARCHAR), 'null'), '|' ORDER BY step)
+         AS convert_rate FROM pcr""",
+}.items():
+    register(_k, _sql, FUNNEL_CTES)
+
+
+# ---- area top products -----------------------------------------------------------------
+
+def _city_area_values() -> str:
+    from clickscope.schemas import CITY_AREA_ROWS
+    rows = ", ".join(f"(CAST({a} AS BIGINT), '{b}', '{c}')" for a, b, c in CITY_AREA_ROWS)
+    return f"SELECT * FROM (VALUES {rows}) v(city_id, city_name, area)"
+
+
+def _area_level_sql(col: str) -> str:
+    from clickscope.schemas import AREA_LEVEL_DEFAULT, AREA_LEVELS
+    whens = " ".join(f"WHEN {col} = '{a}' THEN '{lvl}'" for a, lvl in AREA_LEVELS)
+    return f"CASE {whens} ELSE '{AREA_LEVEL_DEFAULT}' END"
+
+
+AREA_CTES = [
+    ("ccp", "SELECT city_id, click_product_id FROM va WHERE click_product_id <> -1"),
+    ("city_area", _city_area_values()),
+    ("acb", """SELECT c.city_id, a.city_name, a.area, c.click_product_id AS product_id
+  FROM ccp c JOIN city_area a ON c.city_id = a.city_id"""),
+    ("apcc", """SELECT area, product_id, count(*) AS click_count,
+       NULLIF(array_to_string(list_sort(list_distinct(
+           list(CAST(city_id AS VARCHAR) || ':' || city_name))), ','), '') AS city_infos
+  FROM acb GROUP BY area, product_id"""),
+    ("api", """SELECT c.area, c.product_id, c.click_count, c.city_infos, p.product_name,
+       CASE WHEN json_extract_string(p.extend_info, '$.product_status') = '0' THEN 'Self'
+            ELSE 'Third Party' END AS product_status
+  FROM apcc c JOIN products p ON c.product_id = p.product_id"""),
+]
+for _k, _sql in {
+    "city_click_products": "SELECT * FROM ccp",
+    "area_click_basic": "SELECT * FROM acb",
+    "area_product_click_count": "SELECT * FROM apcc",
+    "area_product_info": "SELECT * FROM api",
+    "area_top3_product": f"""SELECT '{TASK}' AS taskid, area, {_area_level_sql('area')} AS area_level,
+       product_id, city_infos, click_count, product_name, product_status FROM (
+  SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, product_id ASC) AS rn
+    FROM api) r WHERE rn <= 3""",
+    "group_concat_distinct": """SELECT area,
+       NULLIF(array_to_string(list_sort(list_distinct(
+           list(CAST(city_id AS VARCHAR) || ':' || city_name))), ','), '') AS city_infos,
+       NULLIF(array_to_string(list_sort(list_distinct(list(CAST(product_id AS VARCHAR)))), ','), '')
+         AS product_ids
+  FROM acb GROUP BY area""",
+}.items():
+    register(_k, _sql, AREA_CTES)
+
+
+# ---- ad clicks -------------------------------------------------------------------------
+
+AD_THRESHOLD = 1
+AD_CTES = [
+    ("adlines", """SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || ' ' || CAST(user_id % 10 AS VARCHAR)
+       || ' c_' || CAST(event_id % 3 AS VARCHAR) || ' ' || CAST(user_id AS VARCHAR)
+       || ' ' || CAST(k % 20 AS VARCHAR) AS value FROM ev"""),
+    ("adp0", """SELECT TRY_CAST(split_part(value, ' ', 1) AS BIGINT) AS timestamp_ms,
+       split_part(value, ' ', 2) AS province, split_part(value, ' ', 3) AS city,
+       TRY_CAST(split_part(value, ' ', 4) AS BIGINT) AS user_id,
+       TRY_CAST(split_part(value, ' ', 5) AS BIGINT) AS ad_id FROM adlines"""),
+    ("adp", "SELECT *, strftime(make_timestamp(timestamp_ms * 1000), '%Y%m%d') AS date_key FROM adp0"),
+    ("bl", "SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id FROM events WHERE user_id % 7 = 0"),
+    ("adf", "SELECT * FROM adp WHERE user_id NOT IN (SELECT user_id FROM bl)"),
+    ("aucc", "SELECT date_key, user_id, ad_id, count(*) AS click_count FROM adf GROUP BY 1, 2, 3"),
+    ("astat", "SELECT date_key, province, city, ad_id, count(*) AS click_count FROM adf GROUP BY 1, 2, 3, 4"),
+    ("aprov", """SELECT date_key, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+  FROM astat GROUP BY 1, 2, 3"""),
+    ("atop3", """SELECT date_key, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date_key, province ORDER BY click_count DESC, ad_id ASC) AS rn
+    FROM aprov) r WHERE rn <= 3"""),
+    ("amin", "SELECT timestamp_ms // 60000 AS m, ad_id, count(*) AS n FROM adf GROUP BY 1, 2"),
+    ("atrend", """SELECT strftime(make_timestamp(m * 60000000), '%Y%m%d') AS date,
+       strftime(make_timestamp(m * 60000000), '%H') AS hour,
+       strftime(make_timestamp(m * 60000000), '%M') AS minute, ad_id, n AS click_count FROM amin"""),
+    ("ahour", """SELECT strftime(make_timestamp(s * 60000000), '%Y-%m-%d %H:%M') AS window_start,
+       strftime(make_timestamp((s + 60) * 60000000), '%Y-%m-%d %H:%M') AS window_end,
+       ad_id, CAST(sum(n) AS BIGINT) AS click_count
+  FROM (SELECT m - j.range AS s, ad_id, n FROM amin CROSS JOIN range(0, 60) j) w
+ GROUP BY s, ad_id"""),
+    ("ablack", f"SELECT DISTINCT user_id FROM aucc WHERE click_count > {AD_THRESHOLD}"),
+]
+for _k, _sql in {
+    "ad_log_parse": "SELECT * FROM adp",
+    "ad_blacklist_filter": "SELECT * FROM adf",
+    "ad_user_click_count": "SELECT * FROM aucc",
+    "ad_blacklist": "SELECT * FROM ablack",
+    "ad_stat": "SELECT * FROM astat",
+    "ad_province_count": "SELECT * FROM aprov",
+    "ad_province_top3": "SELECT * FROM atop3",
+    "ad_click_trend": "SELECT * FROM atrend",
+    "ad_recent_hour": "SELECT * FROM ahour",
+}.items():
+    register(_k, _sql, AD_CTES)
