@@ -307,3 +307,153 @@ def q_ad_click_trend(spark, sf_dir):
 @query("ad_recent_hour")
 def q_ad_recent_hour(spark, sf_dir):
     return ADS.ad_recent_hour(ad_filtered(fixtures(spark, sf_dir)))
+
+
+# ---- ad clicks (Structured Streaming replay; read back the sink tables) ------------------
+
+def _stream_cfg(sf_dir: str):
+    from clickscope.streaming.ad_stream import StreamConfig
+    return StreamConfig(source_dir=sf_dir)
+
+
+@query("stream_ad_blacklist")
+def q_stream_ad_blacklist(spark, sf_dir):
+    from clickscope.streaming import ad_stream as ST
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_blacklist")
+    ST.run_blacklist(spark, _stream_cfg(sf_dir), root, seed=t.blacklist,
+                     threshold=FIXTURE_BLACKLIST_THRESHOLD)
+    return ST.read_table(spark, root, "blacklist", ST.BLACKLIST_SCHEMA)
+
+
+@query("stream_ad_user_click_count")
+def q_stream_ad_user_click_count(spark, sf_dir):
+    from clickscope.streaming import ad_stream as ST
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_user_counts")
+    ST.run_blacklist(spark, _stream_cfg(sf_dir), root, seed=t.blacklist,
+                     threshold=FIXTURE_BLACKLIST_THRESHOLD)
+    return ST.read_table(spark, root, "user_click_count", ST.USER_COUNT_SCHEMA)
+
+
+@query("stream_ad_stat")
+def q_stream_ad_stat(spark, sf_dir):
+    from clickscope.streaming import ad_stream as ST
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_ad_stat")
+    ST.run_ad_stat(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
+    return ST.read_table(spark, root, "ad_stat", ST.AD_STAT_SCHEMA)
+
+
+@query("stream_ad_province_top3")
+def q_stream_ad_province_top3(spark, sf_dir):
+    from clickscope.streaming import ad_stream as ST
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_top3")
+    ST.run_province_top3(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
+    return ST.read_table(spark, root, "province_top3", ST.TOP3_SCHEMA)
+
+
+@query("stream_ad_click_trend")
+def q_stream_ad_click_trend(spark, sf_dir):
+    from clickscope.streaming import ad_stream as ST
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_trend")
+    ST.run_click_trend(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
+    return ST.read_table(spark, root, "click_trend", ST.TREND_SCHEMA)
+
+
+@query("stream_ad_recent_hour")
+def q_stream_ad_recent_hour(spark, sf_dir):
+    from clickscope.streaming import ad_stream as ST
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_recent")
+    ST.run_recent_hour(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
+    return ST.read_table(spark, root, "recent_hour", ST.RECENT_SCHEMA)
+
+
+# ---- sinks: apply two batches (clicks before / from noon, UTC), return the table ---------
+
+def _halves(t: FixtureTables):
+    from pyspark.sql import functions as F
+    f = ad_filtered(t)
+    am = F.expr("(timestamp_ms div 3600000) % 24 < 12")
+    return f.where(am), f.where(~am)
+
+
+@query("sink_append")
+def q_sink_append(spark, sf_dir):
+    from clickscope.runtime import scratch_path
+    from clickscope.sinks import ops as SINK
+    b1, b2 = _halves(fixtures(spark, sf_dir))
+    path = scratch_path(spark, "sink_append")
+    SINK.append(ADS.ad_stat(b1), path)
+    SINK.append(ADS.ad_stat(b2), path)
+    return spark.read.parquet(path)
+
+
+@query("sink_overwrite")
+def q_sink_overwrite(spark, sf_dir):
+    from clickscope.runtime import scratch_path
+    from clickscope.sinks import ops as SINK
+    b1, b2 = _halves(fixtures(spark, sf_dir))
+    path = scratch_path(spark, "sink_overwrite")
+    SINK.overwrite(ADS.ad_stat(b1), path)
+    SINK.overwrite(ADS.ad_stat(b2), path)
+    return spark.read.parquet(path)
+
+
+def _two_versions(spark, name, schema, first, second, update):
+    from clickscope.runtime import scratch_path
+    from clickscope.sinks.snapshot import SnapshotTable
+    table = SnapshotTable(spark, scratch_path(spark, name), schema)
+    table.apply(1, lambda old: update(old, first))
+    return table.apply(2, lambda old: update(old, second))
+
+
+@query("sink_upsert_add")
+def q_sink_upsert_add(spark, sf_dir):
+    from clickscope.sinks import ops as SINK
+    from clickscope.streaming.ad_stream import USER_COUNT_SCHEMA
+    b1, b2 = _halves(fixtures(spark, sf_dir))
+    keys = ["date_key", "user_id", "ad_id"]
+    return _two_versions(spark, "sink_upsert_add", USER_COUNT_SCHEMA, ADS.ad_user_click_count(b1),
+                         ADS.ad_user_click_count(b2), lambda old, d: SINK.upsert_add(old, d, keys))
+
+
+@query("sink_upsert_replace")
+def q_sink_upsert_replace(spark, sf_dir):
+    from clickscope.sinks import ops as SINK
+    from clickscope.streaming.ad_stream import AD_STAT_SCHEMA
+    b1, b2 = _halves(fixtures(spark, sf_dir))
+    keys = ["date_key", "province", "city", "ad_id"]
+    return _two_versions(spark, "sink_upsert_replace", AD_STAT_SCHEMA, ADS.ad_stat(b1), ADS.ad_stat(b2),
+                         lambda old, d: SINK.upsert_replace(old, d, keys))
+
+
+@query("sink_replace_group")
+def q_sink_replace_group(spark, sf_dir):
+    from clickscope.sinks import ops as SINK
+    from clickscope.streaming.ad_stream import TOP3_SCHEMA
+    b1, b2 = _halves(fixtures(spark, sf_dir))
+
+    def top3(b):
+        return ADS.ad_province_top3(ADS.ad_province_count(ADS.ad_stat(b)))
+    return _two_versions(spark, "sink_replace_group", TOP3_SCHEMA, top3(b1), top3(b2),
+                         lambda old, d: SINK.replace_group(old, d, ["date_key", "province"]))
+
+
+@query("sink_blacklist_insert")
+def q_sink_blacklist_insert(spark, sf_dir):
+    from clickscope.runtime import scratch_path
+    from clickscope.sinks import ops as SINK
+    from clickscope.sinks.snapshot import SnapshotTable
+    from clickscope.streaming.ad_stream import BLACKLIST_SCHEMA
+    t = fixtures(spark, sf_dir)
+    b1, b2 = _halves(t)
+    table = SnapshotTable(spark, scratch_path(spark, "sink_blacklist"), BLACKLIST_SCHEMA)
+    table.apply(0, lambda old: t.blacklist)
+    for v, b in ((1, b1), (2, b2)):
+        users = ADS.ad_blacklist(ADS.ad_user_click_count(b), FIXTURE_BLACKLIST_THRESHOLD)
+        table.apply(v, lambda old, u=users: SINK.blacklist_insert(old, u))
+    return table.read()

@@ -345,3 +345,50 @@ for _k, _sql in {
     "ad_recent_hour": "SELECT * FROM ahour",
 }.items():
     register(_k, _sql, AD_CTES)
+
+
+# ---- streaming replay: the oracle is the batch SQL ------------------------------------------
+
+for _k, _sql in {
+    "stream_ad_blacklist": "SELECT user_id FROM bl UNION SELECT user_id FROM ablack",
+    "stream_ad_user_click_count": "SELECT * FROM aucc",
+    "stream_ad_stat": "SELECT * FROM astat",
+    "stream_ad_province_top3": "SELECT * FROM atop3",
+    "stream_ad_click_trend": "SELECT * FROM atrend",
+    "stream_ad_recent_hour": "SELECT * FROM ahour",
+}.items():
+    register(_k, _sql, AD_CTES)
+
+
+# ---- sinks: two batches split at noon (UTC) ------------------------------------------------
+
+SINK_CTES = AD_CTES + [
+    ("adf1", "SELECT * FROM adf WHERE (timestamp_ms // 3600000) % 24 < 12"),
+    ("adf2", "SELECT * FROM adf WHERE (timestamp_ms // 3600000) % 24 >= 12"),
+    ("st1", "SELECT date_key, province, city, ad_id, count(*) AS click_count FROM adf1 GROUP BY 1, 2, 3, 4"),
+    ("st2", "SELECT date_key, province, city, ad_id, count(*) AS click_count FROM adf2 GROUP BY 1, 2, 3, 4"),
+    ("uc1", "SELECT date_key, user_id, ad_id, count(*) AS click_count FROM adf1 GROUP BY 1, 2, 3"),
+    ("uc2", "SELECT date_key, user_id, ad_id, count(*) AS click_count FROM adf2 GROUP BY 1, 2, 3"),
+    ("tp1", """SELECT date_key, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date_key, province ORDER BY click_count DESC, ad_id) AS rn
+    FROM (SELECT date_key, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+            FROM st1 GROUP BY 1, 2, 3) a) r WHERE rn <= 3"""),
+    ("tp2", """SELECT date_key, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date_key, province ORDER BY click_count DESC, ad_id) AS rn
+    FROM (SELECT date_key, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+            FROM st2 GROUP BY 1, 2, 3) a) r WHERE rn <= 3"""),
+]
+for _k, _sql in {
+    "sink_append": "SELECT * FROM st1 UNION ALL SELECT * FROM st2",
+    "sink_overwrite": "SELECT * FROM st2",
+    "sink_upsert_add": """SELECT date_key, user_id, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+  FROM (SELECT * FROM uc1 UNION ALL SELECT * FROM uc2) u GROUP BY 1, 2, 3""",
+    "sink_upsert_replace": """SELECT * FROM st2 UNION ALL
+SELECT * FROM st1 WHERE (date_key, province, city, ad_id) NOT IN (SELECT (date_key, province, city, ad_id) FROM st2)""",
+    "sink_replace_group": """SELECT * FROM tp2 UNION ALL
+SELECT * FROM tp1 WHERE (date_key, province) NOT IN (SELECT (date_key, province) FROM tp2)""",
+    "sink_blacklist_insert": f"""SELECT user_id FROM bl UNION
+SELECT user_id FROM uc1 WHERE click_count > {AD_THRESHOLD} UNION
+SELECT user_id FROM uc2 WHERE click_count > {AD_THRESHOLD}""",
+}.items():
+    register(_k, _sql, SINK_CTES)
