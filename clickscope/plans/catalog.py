@@ -457,3 +457,40 @@ def q_sink_blacklist_insert(spark, sf_dir):
         users = ADS.ad_blacklist(ADS.ad_user_click_count(b), FIXTURE_BLACKLIST_THRESHOLD)
         table.apply(v, lambda old, u=users: SINK.blacklist_insert(old, u))
     return table.read()
+
+
+# ---- scalar functions (FN1-FN17, minus the clock-dependent today/yesterday) --------------
+
+SCALAR_PIVOT_TIME = "2024-01-15 12:00:00"
+
+
+@query("scalar_functions")
+def q_scalar_functions(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from clickscope.functions import columns as C
+    a = actions_in_range(fixtures(spark, sf_dir))
+    pivot = F.lit(SCALAR_PIVOT_TIME)
+    ts = C.parse_time("action_time")
+    record = F.concat(F.lit("sid="), F.col("session_id"), F.lit("|page="), F.col("page_id").cast("string"),
+                      F.lit("|kw="), F.coalesce(F.col("search_keyword"), F.lit("")))
+    key = C.format_date_key(ts)
+    return a.select(
+        "event_id",
+        C.before("action_time", pivot).cast("int").alias("is_before"),
+        C.after("action_time", pivot).cast("int").alias("is_after"),
+        C.minus("action_time", pivot).alias("secs_from_pivot"),
+        C.date_hour("action_time").alias("date_hour"),
+        C.format_time(ts).alias("time_text"),
+        key.alias("date_key"),
+        C.format_date(C.parse_date_key(key)).alias("date_back"),
+        C.format_time_minute(ts).alias("time_minute"),
+        C.is_empty("search_keyword").cast("int").alias("kw_empty"),
+        C.trim_comma(F.concat(F.lit(","), F.coalesce("order_category_ids", F.lit("")), F.lit(","))).alias("trimmed"),
+        C.fulfill(F.col("page_id").cast("string")).alias("filled"),
+        C.get_field(record, "kw").alias("kw_field"),
+        C.get_field(record, "page").alias("page_field"),
+        C.set_field(record, "page", "x").alias("record_set"),
+        C.concat_long_string("city_id", "date", ":").alias("city_info"),
+        C.get_json_field(F.concat(F.lit('{"k": '), F.col("page_id").cast("string"), F.lit("}")), "k").alias("json_k"),
+        C.format_double(F.col("page_id") / F.lit(3.0), 2).alias("third"),
+    )

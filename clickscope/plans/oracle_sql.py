@@ -392,3 +392,30 @@ SELECT user_id FROM uc1 WHERE click_count > {AD_THRESHOLD} UNION
 SELECT user_id FROM uc2 WHERE click_count > {AD_THRESHOLD}""",
 }.items():
     register(_k, _sql, SINK_CTES)
+
+
+# ---- scalar functions ------------------------------------------------------------------
+
+_PIV = "TIMESTAMP '2024-01-15 12:00:00'"
+_TS = "strptime(action_time, '%Y-%m-%d %H:%M:%S')"
+_REC = "('sid=' || session_id || '|page=' || CAST(page_id AS VARCHAR) || '|kw=' || coalesce(search_keyword, ''))"
+register("scalar_functions", f"""SELECT event_id,
+       CAST({_TS} < {_PIV} AS INTEGER) AS is_before,
+       CAST({_TS} > {_PIV} AS INTEGER) AS is_after,
+       CAST(date_diff('second', {_PIV}, {_TS}) AS INTEGER) AS secs_from_pivot,
+       split_part(action_time, ' ', 1) || '_' || split_part(split_part(action_time, ' ', 2), ':', 1) AS date_hour,
+       strftime({_TS}, '%Y-%m-%d %H:%M:%S') AS time_text,
+       strftime({_TS}, '%Y%m%d') AS date_key,
+       strftime(strptime(strftime({_TS}, '%Y%m%d'), '%Y%m%d'), '%Y-%m-%d') AS date_back,
+       strftime({_TS}, '%Y%m%d%H%M') AS time_minute,
+       CAST(coalesce(search_keyword, '') = '' AS INTEGER) AS kw_empty,
+       regexp_replace(',' || coalesce(order_category_ids, '') || ',', '^,|,$', '', 'g') AS trimmed,
+       CASE WHEN length(CAST(page_id AS VARCHAR)) = 2 THEN CAST(page_id AS VARCHAR)
+            ELSE '0' || CAST(page_id AS VARCHAR) END AS filled,
+       NULLIF(regexp_extract({_REC}, '(^|[|])kw=([^|=]+)([|]|$)', 2), '') AS kw_field,
+       NULLIF(regexp_extract({_REC}, '(^|[|])page=([^|=]+)([|]|$)', 2), '') AS page_field,
+       regexp_replace({_REC}, '(^|[|])page=[^|]*', '\\1page=x') AS record_set,
+       CAST(city_id AS VARCHAR) || ':' || date AS city_info,
+       json_extract_string('{{"k": ' || CAST(page_id AS VARCHAR) || '}}', '$.k') AS json_k,
+       CAST((200 * page_id + 3) // 6 AS DOUBLE) / 100.0 AS third
+  FROM va""")
