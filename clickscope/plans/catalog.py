@@ -36,20 +36,44 @@ def fixtures(spark: SparkSession, sf_dir: str) -> FixtureTables:
     return FixtureTables(spark, sf_dir)
 
 
+_BUILT: dict[tuple, DataFrame] = {}
+
+
+def shared(fn):
+    """Build a plan once per (session, folder, arguments) and reuse the DataFrame object.
+
+    DataFrames are immutable, lazy plans: reusing one only saves the driver-side analysis of
+    the builder chain; every query still runs its whole plan over the whole tables.
+    """
+    def wrapper(t: FixtureTables, *args):
+        key = (fn.__name__, id(t.spark), t.sf_dir, args)
+        df = _BUILT.get(key)
+        if df is None or df.sparkSession is not t.spark:
+            df = _BUILT[key] = fn(t, *args)
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 # ---- session program -------------------------------------------------------------------
 
+@shared
 def actions_in_range(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
     return SRC.visit_actions(t.actions, p.start_date, p.end_date)
 
 
+@shared
 def summary(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
     return S.session_summary(actions_in_range(t, p))
 
 
+@shared
 def full_info(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
     return S.session_full_info(summary(t, p), t.users)
 
 
+@shared
 def filtered(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
     return S.session_filter(full_info(t, p), p)
 
@@ -111,6 +135,7 @@ def q_session_filtered_actions(spark, sf_dir):
     return S.session_filtered_actions(actions_in_range(t), filtered(t))
 
 
+@shared
 def filtered_actions(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
     return S.session_filtered_actions(actions_in_range(t, p), filtered(t, p))
 
@@ -142,6 +167,7 @@ def q_category_full_count(spark, sf_dir):
     return CAT.category_full_count(filtered_actions(fixtures(spark, sf_dir)))
 
 
+@shared
 def top_categories(t: FixtureTables) -> DataFrame:
     return CAT.top10_category(CAT.category_full_count(filtered_actions(t)))
 
@@ -202,14 +228,17 @@ def q_page_convert_rate_string(spark, sf_dir):
 
 # ---- area top products -----------------------------------------------------------------
 
+@shared
 def clicks(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
     return SRC.city_click_products(t.actions, p.start_date, p.end_date)
 
 
+@shared
 def area_basic(t: FixtureTables) -> DataFrame:
     return AREA.area_click_basic(clicks(t), SRC.city_area(t.spark))
 
 
+@shared
 def area_info(t: FixtureTables) -> DataFrame:
     return AREA.area_product_info(AREA.area_product_click_count(area_basic(t)), t.products)
 
@@ -255,10 +284,12 @@ def q_group_concat_distinct(spark, sf_dir):
 FIXTURE_BLACKLIST_THRESHOLD = 1
 
 
+@shared
 def ad_parsed(t: FixtureTables) -> DataFrame:
     return ADS.ad_log_parse(t.ad_lines)
 
 
+@shared
 def ad_filtered(t: FixtureTables) -> DataFrame:
     return ADS.ad_blacklist_filter(ad_parsed(t), t.blacklist)
 

@@ -131,7 +131,7 @@ class FixtureTables:
     def raw(self, name: str) -> DataFrame:
         key = (id(self.spark), self.sf_dir, name)
         df = self._raw_cache.get(key)
-        if df is None:
+        if df is None or df.sparkSession is not self.spark:
             df = self._raw_cache[key] = read(self.spark, self.sf_dir, name)
         return df
 

@@ -69,8 +69,21 @@ def parsed_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     return ADS.with_event_time(ADS.ad_log_parse(ad_line_stream(spark, cfg)))
 
 
+def _once_per_batch(batch_fn):
+    """Persist the micro-batch so the sink's several reads of it do not re-run the stateful
+    plan, and skip batches without rows (e.g. the watermark-only batch at the end)."""
+    def run(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            if not df.isEmpty():
+                batch_fn(df, batch_id)
+        finally:
+            df.unpersist()
+    return run
+
+
 def _run(stream: DataFrame, batch_fn, checkpoint: str, cfg: StreamConfig, mode: str = "update") -> None:
-    writer = (stream.writeStream.outputMode(mode).foreachBatch(batch_fn)
+    writer = (stream.writeStream.outputMode(mode).foreachBatch(_once_per_batch(batch_fn))
               .option("checkpointLocation", checkpoint))
     if cfg.processing_time:
         writer = writer.trigger(processingTime=cfg.processing_time)
