@@ -435,11 +435,14 @@ def q_sink_overwrite(spark, sf_dir):
 
 
 def _two_versions(spark, name, schema, first, second, update):
+    """Apply two batches to a day-partitioned snapshot table and return the current table."""
+    from pyspark.sql import functions as F
     from clickscope.runtime import scratch_path
-    from clickscope.sinks.snapshot import SnapshotTable
-    table = SnapshotTable(spark, scratch_path(spark, name), schema)
-    table.apply(1, lambda old: update(old, first))
-    return table.apply(2, lambda old: update(old, second))
+    from clickscope.sinks.snapshot import DaySnapshotTable
+    table = DaySnapshotTable(spark, scratch_path(spark, name), schema, F.col("date_key"))
+    table.apply(1, first, update)
+    table.apply(2, second, update)
+    return table.read()
 
 
 @query("sink_upsert_add")

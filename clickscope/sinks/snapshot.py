@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -61,3 +62,72 @@ class SnapshotTable:
         new = update(self.read_before(version)).select(*self.schema.fieldNames())
         new.write.mode("overwrite").parquet(self.path(version))
         return self.read(version)
+
+
+DAY_COL = "part_day"
+
+
+class DaySnapshotTable:
+    """Snapshot table partitioned by day: a batch rewrites only the days it touches.
+
+    Layout ``<root>/part_day=<day>/v=<version>/``, written with Spark's dynamic partition
+    overwrite, so a write replaces exactly the (day, version) folders present in the data:
+    a retried batch rewrites its own folders, and a new version of one day never copies the
+    other days. The current table is the newest version of every day. ``day_of`` maps a row
+    to its day (for example the ``date_key`` column) and must be a function of the key.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: StructType, day_of):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schema = schema
+        self.day_of = day_of
+
+    def _listing(self) -> dict[str, list[int]]:
+        fs, root = _fs(self.spark, self.root)
+        if not fs.exists(root):
+            return {}
+        out: dict[str, list[int]] = {}
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if not name.startswith(f"{DAY_COL}="):
+                continue
+            vs = [int(x.getPath().getName()[2:]) for x in fs.listStatus(st.getPath())
+                  if x.getPath().getName().startswith("v=")]
+            if vs:
+                out[name[len(DAY_COL) + 1:]] = sorted(vs)
+        return out
+
+    def _paths(self, below: int | None = None, days=None) -> list[str]:
+        paths = []
+        for day, vs in self._listing().items():
+            if days is not None and day not in days:
+                continue
+            ok = [v for v in vs if below is None or v < below]
+            if ok:
+                paths.append(f"{self.root}/{DAY_COL}={day}/v={ok[-1]}")
+        return paths
+
+    def _load(self, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return (self.spark.read.option("basePath", self.root).parquet(*paths)
+                .select(*self.schema.fieldNames()))
+
+    def read(self) -> DataFrame:
+        return self._load(self._paths())
+
+    def apply(self, version: int, delta: DataFrame,
+              update: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+        """Write version ``version`` of the days present in ``delta`` as
+        update(those days' newest rows below ``version``, delta); return the new rows."""
+        # distinct days of one batch: a handful of values, used only to choose folders to read
+        days = {r[0] for r in delta.select(self.day_of.alias("d")).distinct().collect()}
+        old = self._load(self._paths(below=version, days=days))
+        new = update(old, delta).select(*self.schema.fieldNames())
+        (new.withColumn(DAY_COL, self.day_of).withColumn("v", F.lit(int(version)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(DAY_COL, "v").parquet(self.root))
+        written = self._listing()
+        return self._load([f"{self.root}/{DAY_COL}={d}/v={int(version)}" for d in sorted(days)
+                           if int(version) in written.get(d, [])])

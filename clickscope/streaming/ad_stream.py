@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from clickscope.operators import ads as ADS
 from clickscope.runtime import scratch_path
 from clickscope.sinks import ops as SINK
-from clickscope.sinks.snapshot import SnapshotTable
+from clickscope.sinks.snapshot import DaySnapshotTable, SnapshotTable
 from clickscope.sources.fixtures import ad_log_lines
 
 USER_COUNT_SCHEMA = T.StructType([
@@ -108,7 +108,7 @@ def run_blacklist(spark: SparkSession, cfg: StreamConfig, root: str, seed: DataF
     Tables: ``<root>/user_click_count`` and ``<root>/blacklist``; version = batch id + 1,
     version 0 of the blacklist is the seed.
     """
-    counts = SnapshotTable(spark, f"{root}/user_click_count", USER_COUNT_SCHEMA)
+    counts = DaySnapshotTable(spark, f"{root}/user_click_count", USER_COUNT_SCHEMA, F.col("date_key"))
     black = SnapshotTable(spark, f"{root}/blacklist", BLACKLIST_SCHEMA)
     if black.latest() is None:
         black.apply(0, lambda old: old if seed is None else seed.select("user_id"))
@@ -118,7 +118,7 @@ def run_blacklist(spark: SparkSession, cfg: StreamConfig, root: str, seed: DataF
         v = batch_id + 1
         listed = black.read_before(v)
         delta = ADS.ad_user_click_count(ADS.ad_blacklist_filter(df, listed))
-        totals = counts.apply(v, lambda old: SINK.upsert_add(old, delta, keys))
+        totals = counts.apply(v, delta, lambda old, d: SINK.upsert_add(old, d, keys))
         touched = totals.join(delta.select(*keys), keys, "left_semi")
         black.apply(v, lambda old: SINK.blacklist_insert(old, ADS.ad_blacklist(touched, threshold)))
 
@@ -147,11 +147,11 @@ def _stat_stream(spark, cfg, blacklist, state_watermark: str | None) -> DataFram
 def run_ad_stat(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                 state_watermark: str | None = None, checkpoint: str | None = None):
     """Running totals from the state store (update mode), upserted into ``<root>/ad_stat``."""
-    table = SnapshotTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA)
+    table = DaySnapshotTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, F.col("date_key"))
     keys = ["date_key", "province", "city", "ad_id"]
 
     def batch(df, batch_id):
-        table.apply(batch_id + 1, lambda old: SINK.upsert_replace(old, df, keys))
+        table.apply(batch_id + 1, df, lambda old, d: SINK.upsert_replace(old, d, keys))
 
     return _run(_stat_stream(spark, cfg, blacklist, state_watermark), batch,
                 checkpoint or f"{root}/_ckpt_ad_stat", cfg)
@@ -163,17 +163,17 @@ def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame
                       n: int = 3, checkpoint: str | None = None):
     """Rank cannot run on a streaming DataFrame: totals come from the state store, and each
     batch re-ranks only the (date, province) groups it touched, then replaces those groups."""
-    stat = SnapshotTable(spark, f"{root}/ad_stat_for_top3", AD_STAT_SCHEMA)
-    top = SnapshotTable(spark, f"{root}/province_top3", TOP3_SCHEMA)
+    stat = DaySnapshotTable(spark, f"{root}/ad_stat_for_top3", AD_STAT_SCHEMA, F.col("date_key"))
+    top = DaySnapshotTable(spark, f"{root}/province_top3", TOP3_SCHEMA, F.col("date_key"))
     keys = ["date_key", "province", "city", "ad_id"]
     groups = ["date_key", "province"]
 
     def batch(df, batch_id):
         v = batch_id + 1
-        totals = stat.apply(v, lambda old: SINK.upsert_replace(old, df, keys))
+        totals = stat.apply(v, df, lambda old, d: SINK.upsert_replace(old, d, keys))
         touched = totals.join(df.select(*groups).distinct(), groups, "left_semi")
         ranked = ADS.ad_province_top3(ADS.ad_province_count(touched), n)
-        top.apply(v, lambda old: SINK.replace_group(old, ranked, groups))
+        top.apply(v, ranked, lambda old, d: SINK.replace_group(old, d, groups))
 
     return _run(_stat_stream(spark, cfg, blacklist, None), batch,
                 checkpoint or f"{root}/_ckpt_top3", cfg)
@@ -183,7 +183,7 @@ def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame
 
 def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                     watermark: str = "60 minutes", checkpoint: str | None = None):
-    table = SnapshotTable(spark, f"{root}/click_trend", TREND_SCHEMA)
+    table = DaySnapshotTable(spark, f"{root}/click_trend", TREND_SCHEMA, F.col("date"))
     keys = ["date", "hour", "minute", "ad_id"]
     s = (_filtered_stream(spark, cfg, blacklist).withWatermark("event_time", watermark)
          .groupBy(F.window("event_time", "1 minute").alias("w"), "ad_id")
@@ -193,7 +193,7 @@ def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
         t = F.col("w.start")
         rows = df.select(F.date_format(t, "yyyyMMdd").alias("date"), F.date_format(t, "HH").alias("hour"),
                          F.date_format(t, "mm").alias("minute"), "ad_id", "click_count")
-        table.apply(batch_id + 1, lambda old: SINK.upsert_replace(old, rows, keys))
+        table.apply(batch_id + 1, rows, lambda old, d: SINK.upsert_replace(old, d, keys))
 
     return _run(s, batch, checkpoint or f"{root}/_ckpt_trend", cfg)
 
@@ -203,7 +203,8 @@ def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
 def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                     window: str = "60 minutes", slide: str = "1 minute", watermark: str = "60 minutes",
                     checkpoint: str | None = None):
-    table = SnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA)
+    table = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA,
+                             F.substring("window_start", 1, 10))
     keys = ["window_start", "ad_id"]
     s = (_filtered_stream(spark, cfg, blacklist).withWatermark("event_time", watermark)
          .groupBy(F.window("event_time", window, slide).alias("w"), "ad_id")
@@ -213,7 +214,7 @@ def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
     def batch(df, batch_id):
         rows = df.select(F.date_format("w.start", fmt).alias("window_start"),
                          F.date_format("w.end", fmt).alias("window_end"), "ad_id", "click_count")
-        table.apply(batch_id + 1, lambda old: SINK.upsert_replace(old, rows, keys))
+        table.apply(batch_id + 1, rows, lambda old, d: SINK.upsert_replace(old, d, keys))
 
     return _run(s, batch, checkpoint or f"{root}/_ckpt_recent", cfg)
 
@@ -222,5 +223,20 @@ def fresh_root(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
+# how each output table is partitioned by day (None: one unpartitioned snapshot)
+TABLE_DAYS = {
+    "user_click_count": lambda: F.col("date_key"),
+    "ad_stat": lambda: F.col("date_key"),
+    "ad_stat_for_top3": lambda: F.col("date_key"),
+    "province_top3": lambda: F.col("date_key"),
+    "click_trend": lambda: F.col("date"),
+    "recent_hour": lambda: F.substring("window_start", 1, 10),
+    "blacklist": None,
+}
+
+
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    return SnapshotTable(spark, f"{root}/{name}", schema).read()
+    day = TABLE_DAYS.get(name)
+    if day is None:
+        return SnapshotTable(spark, f"{root}/{name}", schema).read()
+    return DaySnapshotTable(spark, f"{root}/{name}", schema, day()).read()

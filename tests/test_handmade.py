@@ -178,3 +178,54 @@ def test_hot_session_transitions_match_window(spark, parts):
     cold = [r for k in range(20) for r in _session(spark, [k % 10, (k + 3) % 10, k % 7], sid=f"c{k}")]
     a = actions(spark, *(hot + cold))
     assert rows_of(FUN.page_transitions(a, num_partitions=parts)) == rows_of(FUN.page_transitions_window(a))
+
+
+def test_day_snapshot_rewrites_only_touched_days(spark, tmp_path):
+    import os
+    from clickscope.sinks.snapshot import DAY_COL, DaySnapshotTable
+    root = str(tmp_path / "days")
+    t = DaySnapshotTable(spark, root, AD_STAT_SCHEMA, F.col("date_key"))
+    keys = ["date_key", "province", "city", "ad_id"]
+    d1 = spark.createDataFrame([("20240101", "1", "c", 1, 5), ("20240102", "1", "c", 1, 3)], AD_STAT_SCHEMA)
+    d2 = spark.createDataFrame([("20240101", "1", "c", 1, 7), ("20240101", "2", "c", 1, 1)], AD_STAT_SCHEMA)
+
+    def upd(old, d):
+        return SINK.upsert_add(old, d, keys, "click_count")
+    t.apply(1, d1, upd)
+    t.apply(2, d2, upd)
+    once = rows_of(t.read())
+    t.apply(2, d2, upd)  # retried batch
+    assert rows_of(t.read()) == once == [("20240101", "1", "c", 1, 12), ("20240101", "2", "c", 1, 1),
+                                         ("20240102", "1", "c", 1, 3)]
+    assert sorted(os.listdir(f"{root}/{DAY_COL}=20240102")) == ["v=1"]
+    assert sorted(os.listdir(f"{root}/{DAY_COL}=20240101")) == ["v=1", "v=2"]
+
+
+@pytest.mark.parametrize("op", ["replace", "group", "blacklist"])
+def test_sink_ops_idempotent(spark, tmp_path, op):
+    from clickscope.streaming.ad_stream import BLACKLIST_SCHEMA, TOP3_SCHEMA
+    if op == "blacklist":
+        t = SnapshotTable(spark, str(tmp_path / op), BLACKLIST_SCHEMA)
+        t.apply(0, lambda old: spark.createDataFrame([(7,)], BLACKLIST_SCHEMA))
+        users = spark.createDataFrame([(7,), (8,), (8,)], BLACKLIST_SCHEMA)
+        a = rows_of(t.apply(1, lambda old: SINK.blacklist_insert(old, users)))
+        b = rows_of(t.apply(1, lambda old: SINK.blacklist_insert(old, users)))
+        assert a == b == [(7,), (8,)]
+        return
+    schema = AD_STAT_SCHEMA if op == "replace" else TOP3_SCHEMA
+    t = SnapshotTable(spark, str(tmp_path / op), schema)
+    if op == "replace":
+        keys = ["date_key", "province", "city", "ad_id"]
+        b1 = spark.createDataFrame([("d", "1", "c", 1, 5), ("d", "1", "c", 2, 4)], schema)
+        b2 = spark.createDataFrame([("d", "1", "c", 1, 9)], schema)
+        fn = lambda old, b: SINK.upsert_replace(old, b, keys)
+        want = [("d", "1", "c", 1, 9), ("d", "1", "c", 2, 4)]
+    else:
+        b1 = spark.createDataFrame([("d", "1", 1, 5), ("d", "1", 2, 4), ("d", "2", 3, 1)], schema)
+        b2 = spark.createDataFrame([("d", "1", 3, 9)], schema)
+        fn = lambda old, b: SINK.replace_group(old, b, ["date_key", "province"])
+        want = [("d", "1", 3, 9), ("d", "2", 3, 1)]
+    t.apply(1, lambda old: fn(old, b1))
+    first = rows_of(t.apply(2, lambda old: fn(old, b2)))
+    again = rows_of(t.apply(2, lambda old: fn(old, b2)))
+    assert first == again == want
