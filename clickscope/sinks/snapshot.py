@@ -57,6 +57,13 @@ class SnapshotTable:
         prev = self.latest(below=version)
         return self.read(prev) if prev is not None else self.spark.createDataFrame([], self.schema)
 
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` versions (a retried batch needs the one before it)."""
+        fs, _ = _fs(self.spark, self.root)
+        jvm = self.spark.sparkContext._jvm
+        for v in self.versions()[:-keep] if keep > 0 else []:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(v)), True)
+
     def apply(self, version: int, update: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Write version ``version`` = update(previous version) and return it (read back)."""
         new = update(self.read_before(version)).select(*self.schema.fieldNames())
@@ -117,6 +124,14 @@ class DaySnapshotTable:
     def read(self) -> DataFrame:
         return self._load(self._paths())
 
+    def vacuum(self, keep: int = 2) -> None:
+        """Per day, delete all but the newest ``keep`` versions."""
+        fs, _ = _fs(self.spark, self.root)
+        jvm = self.spark.sparkContext._jvm
+        for day, vs in self._listing().items():
+            for v in vs[:-keep] if keep > 0 else []:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{DAY_COL}={day}/v={v}"), True)
+
     def apply(self, version: int, delta: DataFrame,
               update: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
         """Write version ``version`` of the days present in ``delta`` as

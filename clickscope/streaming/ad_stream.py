@@ -43,6 +43,10 @@ RECENT_SCHEMA = T.StructType([
     T.StructField("ad_id", T.LongType()), T.StructField("click_count", T.LongType())])
 
 
+# Snapshot versions kept per table (or per day): the newest plus the one a retried batch reads.
+KEEP_VERSIONS = 2
+
+
 @dataclass
 class StreamConfig:
     """Where the stream comes from and how it is triggered."""
@@ -121,6 +125,8 @@ def run_blacklist(spark: SparkSession, cfg: StreamConfig, root: str, seed: DataF
         totals = counts.apply(v, delta, lambda old, d: SINK.upsert_add(old, d, keys))
         touched = totals.join(delta.select(*keys), keys, "left_semi")
         black.apply(v, lambda old: SINK.blacklist_insert(old, ADS.ad_blacklist(touched, threshold)))
+        counts.vacuum(KEEP_VERSIONS)
+        black.vacuum(KEEP_VERSIONS)
 
     return _run(parsed_stream(spark, cfg), batch, checkpoint or f"{root}/_ckpt_blacklist", cfg, "append")
 
@@ -152,6 +158,7 @@ def run_ad_stat(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None
 
     def batch(df, batch_id):
         table.apply(batch_id + 1, df, lambda old, d: SINK.upsert_replace(old, d, keys))
+        table.vacuum(KEEP_VERSIONS)
 
     return _run(_stat_stream(spark, cfg, blacklist, state_watermark), batch,
                 checkpoint or f"{root}/_ckpt_ad_stat", cfg)
@@ -174,6 +181,8 @@ def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame
         touched = totals.join(df.select(*groups).distinct(), groups, "left_semi")
         ranked = ADS.ad_province_top3(ADS.ad_province_count(touched), n)
         top.apply(v, ranked, lambda old, d: SINK.replace_group(old, d, groups))
+        stat.vacuum(KEEP_VERSIONS)
+        top.vacuum(KEEP_VERSIONS)
 
     return _run(_stat_stream(spark, cfg, blacklist, None), batch,
                 checkpoint or f"{root}/_ckpt_top3", cfg)
@@ -194,6 +203,7 @@ def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
         rows = df.select(F.date_format(t, "yyyyMMdd").alias("date"), F.date_format(t, "HH").alias("hour"),
                          F.date_format(t, "mm").alias("minute"), "ad_id", "click_count")
         table.apply(batch_id + 1, rows, lambda old, d: SINK.upsert_replace(old, d, keys))
+        table.vacuum(KEEP_VERSIONS)
 
     return _run(s, batch, checkpoint or f"{root}/_ckpt_trend", cfg)
 
@@ -215,6 +225,7 @@ def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
         rows = df.select(F.date_format("w.start", fmt).alias("window_start"),
                          F.date_format("w.end", fmt).alias("window_end"), "ad_id", "click_count")
         table.apply(batch_id + 1, rows, lambda old, d: SINK.upsert_replace(old, d, keys))
+        table.vacuum(KEEP_VERSIONS)
 
     return _run(s, batch, checkpoint or f"{root}/_ckpt_recent", cfg)
 

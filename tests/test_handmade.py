@@ -229,3 +229,17 @@ def test_sink_ops_idempotent(spark, tmp_path, op):
     first = rows_of(t.apply(2, lambda old: fn(old, b2)))
     again = rows_of(t.apply(2, lambda old: fn(old, b2)))
     assert first == again == want
+
+
+def test_vacuum_keeps_newest_versions(spark, tmp_path):
+    import os
+    from clickscope.sinks.snapshot import DAY_COL, DaySnapshotTable
+    root = str(tmp_path / "vac")
+    t = DaySnapshotTable(spark, root, AD_STAT_SCHEMA, F.col("date_key"))
+    keys = ["date_key", "province", "city", "ad_id"]
+    for v in (1, 2, 3):
+        d = spark.createDataFrame([("20240101", "1", "c", 1, v)], AD_STAT_SCHEMA)
+        t.apply(v, d, lambda old, x: SINK.upsert_add(old, x, keys, "click_count"))
+    t.vacuum(2)
+    assert sorted(os.listdir(f"{root}/{DAY_COL}=20240101")) == ["v=2", "v=3"]
+    assert rows_of(t.read()) == [("20240101", "1", "c", 1, 6)]
