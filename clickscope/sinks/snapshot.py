@@ -140,7 +140,10 @@ class DaySnapshotTable:
         days = {r[0] for r in delta.select(self.day_of.alias("d")).distinct().collect()}
         old = self._load(self._paths(below=version, days=days))
         new = update(old, delta).select(*self.schema.fieldNames())
+        # rebalance: AQE groups each day into few tasks (few files per day) and still splits a
+        # day that is much larger than the advisory partition size.
         (new.withColumn(DAY_COL, self.day_of).withColumn("v", F.lit(int(version)))
+         .hint("rebalance", DAY_COL)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(DAY_COL, "v").parquet(self.root))
         written = self._listing()
