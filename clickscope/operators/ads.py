@@ -83,21 +83,41 @@ def ad_click_trend(filtered: DataFrame) -> DataFrame:
                           "ad_id", "click_count")
 
 
-def ad_recent_hour(filtered: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
-    """STR5 / AGG22 (batch form): clicks per ad in every sliding window of ``window_minutes``
-    that starts on a ``slide_minutes`` boundary, labelled by window start and end."""
+def windows_from_minutes(per_min: DataFrame, window_minutes: int = 60, slide_minutes: int = 1,
+                         only_flagged: str | None = None) -> DataFrame:
+    """(minute, ad_id, n) per-minute counts -> (window_start, window_end, ad_id, click_count) for
+    every sliding window that starts on a ``slide_minutes`` boundary and contains a minute.
+
+    Only the pre-aggregated minute rows are expanded (one row per window they fall in). With
+    ``only_flagged``, keep just the windows holding a minute whose flag column is 1."""
     if window_minutes % slide_minutes:
         raise ValueError("window must be a multiple of the slide")
-    per_min = _minute(filtered).groupBy("_minute", "ad_id").agg(F.count(F.lit(1)).alias("n"))
     k = window_minutes // slide_minutes
+    flag = [F.col(only_flagged).alias("_f")] if only_flagged else []
     starts = per_min.select(
-        "ad_id", "n",
+        "ad_id", "n", *flag,
         F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j"),
-        (F.col("_minute") - F.col("_minute") % slide_minutes).alias("_base"))
-    wins = starts.select("ad_id", "n", (F.col("_base") - F.col("_j") * slide_minutes).alias("_start"))
-    agg = wins.groupBy("_start", "ad_id").agg(F.sum("n").cast("bigint").alias("click_count"))
-    fmt = "yyyy-MM-dd HH:mm"
-    return agg.select(
-        F.date_format(F.timestamp_seconds(F.col("_start") * 60), fmt).alias("window_start"),
-        F.date_format(F.timestamp_seconds((F.col("_start") + window_minutes) * 60), fmt).alias("window_end"),
-        "ad_id", "click_count")
+        (F.col("minute") - F.col("minute") % slide_minutes).alias("_base"))
+    wins = starts.select("ad_id", "n", *(["_f"] if only_flagged else []),
+                         (F.col("_base") - F.col("_j") * slide_minutes).alias("_start"))
+    aggs = [F.sum("n").cast("bigint").alias("click_count")]
+    if only_flagged:
+        aggs.append(F.max("_f").alias("_f"))
+    agg = wins.groupBy("_start", "ad_id").agg(*aggs)
+    if only_flagged:
+        agg = agg.where(F.col("_f") == 1)
+    return agg.select(window_label(F.col("_start")).alias("window_start"),
+                      window_label(F.col("_start") + window_minutes).alias("window_end"),
+                      "ad_id", "click_count")
+
+
+def window_label(epoch_minute) -> F.Column:
+    return F.date_format(F.timestamp_seconds(epoch_minute * 60), "yyyy-MM-dd HH:mm")
+
+
+def ad_recent_hour(filtered: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
+    """STR5 / AGG22 (batch form): clicks per ad in every sliding window of ``window_minutes``
+    that starts on a ``slide_minutes`` boundary, labelled by window start and end."""
+    per_min = (_minute(filtered).groupBy(F.col("_minute").alias("minute"), "ad_id")
+               .agg(F.count(F.lit(1)).alias("n")))
+    return windows_from_minutes(per_min, window_minutes, slide_minutes)

@@ -124,6 +124,10 @@ class DaySnapshotTable:
     def read(self) -> DataFrame:
         return self._load(self._paths())
 
+    def read_days(self, days) -> DataFrame:
+        """Newest rows of the given days only."""
+        return self._load(self._paths(days=set(days)))
+
     def vacuum(self, keep: int = 2) -> None:
         """Per day, delete all but the newest ``keep`` versions."""
         fs, _ = _fs(self.spark, self.root)
@@ -135,17 +139,24 @@ class DaySnapshotTable:
     def apply(self, version: int, delta: DataFrame,
               update: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
         """Write version ``version`` of the days present in ``delta`` as
-        update(those days' newest rows below ``version``, delta); return the new rows."""
-        # distinct days of one batch: a handful of values, used only to choose folders to read
-        days = {r[0] for r in delta.select(self.day_of.alias("d")).distinct().collect()}
-        old = self._load(self._paths(below=version, days=days))
-        new = update(old, delta).select(*self.schema.fieldNames())
-        # rebalance: AQE groups each day into few tasks (few files per day) and still splits a
-        # day that is much larger than the advisory partition size.
-        (new.withColumn(DAY_COL, self.day_of).withColumn("v", F.lit(int(version)))
-         .hint("rebalance", DAY_COL)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(DAY_COL, "v").parquet(self.root))
+        update(those days' newest rows below ``version``, delta); return the new rows.
+
+        ``delta`` is read three times (its days, its keys, its rows), so it is persisted for the
+        duration of the write; it is one batch, not the table."""
+        delta = delta.persist()
+        try:
+            # distinct days of one batch: a handful of values, used only to choose folders to read
+            days = {r[0] for r in delta.select(self.day_of.alias("d")).distinct().collect()}
+            old = self._load(self._paths(below=version, days=days))
+            new = update(old, delta).select(*self.schema.fieldNames())
+            # rebalance: AQE groups each day into few tasks (few files per day) and still splits a
+            # day that is much larger than the advisory partition size.
+            (new.withColumn(DAY_COL, self.day_of).withColumn("v", F.lit(int(version)))
+             .hint("rebalance", DAY_COL)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(DAY_COL, "v").parquet(self.root))
+        finally:
+            delta.unpersist()
         written = self._listing()
         return self._load([f"{self.root}/{DAY_COL}={d}/v={int(version)}" for d in sorted(days)
                            if int(version) in written.get(d, [])])

@@ -38,6 +38,9 @@ TREND_SCHEMA = T.StructType([
     T.StructField("date", T.StringType()), T.StructField("hour", T.StringType()),
     T.StructField("minute", T.StringType()), T.StructField("ad_id", T.LongType()),
     T.StructField("click_count", T.LongType())])
+MINUTE_SCHEMA = T.StructType([
+    T.StructField("minute", T.LongType()), T.StructField("ad_id", T.LongType()),
+    T.StructField("click_count", T.LongType())])
 RECENT_SCHEMA = T.StructType([
     T.StructField("window_start", T.StringType()), T.StructField("window_end", T.StringType()),
     T.StructField("ad_id", T.LongType()), T.StructField("click_count", T.LongType())])
@@ -211,20 +214,35 @@ def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
 # ---- STR5: sliding 60-minute window, 1-minute slide ----------------------------------------
 
 def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
-                    window: str = "60 minutes", slide: str = "1 minute", watermark: str = "60 minutes",
+                    window_minutes: int = 60, slide_minutes: int = 1, watermark: str = "60 minutes",
                     checkpoint: str | None = None):
-    table = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA,
-                             F.substring("window_start", 1, 10))
-    keys = ["window_start", "ad_id"]
+    """Sliding windows without 60x state: the state store keeps per-minute counts; each batch
+    upserts the updated minutes into ``recent_minutes`` and recomputes only the windows that
+    contain an updated minute, from the stored minutes of the days within a window length."""
+    def minute_day(c):
+        return F.date_format(F.timestamp_seconds(c * 60), "yyyy-MM-dd")
+    minutes = DaySnapshotTable(spark, f"{root}/recent_minutes", MINUTE_SCHEMA, minute_day(F.col("minute")))
+    table = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA, F.substring("window_start", 1, 10))
     s = (_filtered_stream(spark, cfg, blacklist).withWatermark("event_time", watermark)
-         .groupBy(F.window("event_time", window, slide).alias("w"), "ad_id")
+         .groupBy(F.window("event_time", "1 minute").alias("w"), "ad_id")
          .agg(F.count(F.lit(1)).alias("click_count")))
-    fmt = "yyyy-MM-dd HH:mm"
 
     def batch(df, batch_id):
-        rows = df.select(F.date_format("w.start", fmt).alias("window_start"),
-                         F.date_format("w.end", fmt).alias("window_end"), "ad_id", "click_count")
-        table.apply(batch_id + 1, rows, lambda old, d: SINK.upsert_replace(old, d, keys))
+        v = batch_id + 1
+        rows = df.select(F.expr("unix_seconds(w.start) div 60").alias("minute"), "ad_id", "click_count")
+        minutes.apply(v, rows, lambda old, d: SINK.upsert_replace(old, d, ["minute", "ad_id"]))
+        offsets = rows.select("minute", F.explode(F.array(
+            F.lit(-window_minutes), F.lit(0), F.lit(window_minutes))).alias("o"))
+        # a handful of day values, used only to choose which day folders to read
+        days = {r[0] for r in offsets.select(minute_day(F.col("minute") + F.col("o")).alias("d"))
+                .distinct().collect()}
+        # minutes of those days, flagged when updated by this batch; recompute only the windows
+        # that hold a flagged minute (their other minutes are within one window length, so read)
+        near = (minutes.read_days(days).select("minute", "ad_id", F.col("click_count").alias("n"))
+                .join(rows.select("minute", "ad_id", F.lit(1).alias("updated")), ["minute", "ad_id"], "left"))
+        fresh = ADS.windows_from_minutes(near, window_minutes, slide_minutes, only_flagged="updated")
+        table.apply(v, fresh, lambda old, d: SINK.upsert_replace(old, d, ["window_start", "ad_id"]))
+        minutes.vacuum(KEEP_VERSIONS)
         table.vacuum(KEEP_VERSIONS)
 
     return _run(s, batch, checkpoint or f"{root}/_ckpt_recent", cfg)
