@@ -13,10 +13,6 @@ Scale notes
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,24 +40,32 @@ def page_transitions_window(actions: DataFrame) -> DataFrame:
             .where(F.col("to_page").isNotNull()))
 
 
-def _pairs_in_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows arrive sorted by (session, t, event_id): emit the pairs of consecutive rows of one
-    session inside this task (batch borders included)."""
-    prev_sid, prev_page = None, None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        sid = pdf["session_id"].to_numpy(dtype=object)
-        page = pdf["page_id"].to_numpy(dtype="int64")
-        if prev_sid is not None:
-            sid = np.concatenate([np.array([prev_sid], dtype=object), sid])
-            page = np.concatenate([np.array([prev_page], dtype="int64"), page])
-        same = sid[1:] == sid[:-1]
-        out = pd.DataFrame({"session_id": sid[1:][same], "from_page": page[:-1][same],
-                            "to_page": page[1:][same]})
-        prev_sid, prev_page = sid[-1], int(page[-1])
-        if len(out):
-            yield out
+def _pair_emitter():
+    """The per-task pair emitter, built as a closure so it is shipped to the Python workers by
+    value (workers need not have this package on their path)."""
+    import numpy as np
+    import pandas as pd
+
+    def pairs_in_partition(batches):
+        """Rows arrive sorted by (session, t, event_id): emit the pairs of consecutive rows of
+        one session inside this task (batch borders included)."""
+        prev_sid, prev_page = None, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            sid = pdf["session_id"].to_numpy(dtype=object)
+            page = pdf["page_id"].to_numpy(dtype="int64")
+            if prev_sid is not None:
+                sid = np.concatenate([np.array([prev_sid], dtype=object), sid])
+                page = np.concatenate([np.array([prev_page], dtype="int64"), page])
+            same = sid[1:] == sid[:-1]
+            out = pd.DataFrame({"session_id": sid[1:][same], "from_page": page[:-1][same],
+                                "to_page": page[1:][same]})
+            prev_sid, prev_page = sid[-1], int(page[-1])
+            if len(out):
+                yield out
+
+    return pairs_in_partition
 
 
 def page_transitions(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -78,7 +82,7 @@ def page_transitions(actions: DataFrame, num_partitions: int | None = None) -> D
     ranged = _ordered(actions).repartitionByRange(n, "session_id", "t", "event_id")
     inner = (ranged.sortWithinPartitions("session_id", "t", "event_id")
              .select("session_id", "page_id")
-             .mapInPandas(_pairs_in_partition, PAIR_SCHEMA))
+             .mapInPandas(_pair_emitter(), PAIR_SCHEMA))
     key = F.struct("session_id", "t", "event_id", "page_id")
     per_task = (ranged.select(F.spark_partition_id().alias("part"), key.alias("k"))
                 .groupBy("part").agg(F.min("k").alias("first"), F.max("k").alias("last")))

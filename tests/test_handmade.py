@@ -243,3 +243,20 @@ def test_vacuum_keeps_newest_versions(spark, tmp_path):
     t.vacuum(2)
     assert sorted(os.listdir(f"{root}/{DAY_COL}=20240101")) == ["v=2", "v=3"]
     assert rows_of(t.read()) == [("20240101", "1", "c", 1, 6)]
+
+
+def test_pair_emitter_ships_by_value(tmp_path):
+    """Python workers may not have this package on their path: the mapInPandas function must
+    unpickle without importing it."""
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    blob = tmp_path / "fn.pkl"
+    blob.write_bytes(cloudpickle.dumps(FUN._pair_emitter()))
+    code = ("import pickle, sys, pandas as pd; sys.path = [p for p in sys.path if 'repo' not in p]; "
+            f"fn = pickle.loads(open({str(blob)!r}, 'rb').read()); "
+            "out = list(fn(iter([pd.DataFrame({'session_id': ['a', 'a', 'b'], 'page_id': [1, 2, 3]})]))); "
+            "print(out[0].values.tolist())")
+    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True)
+    assert res.returncode == 0, res.stderr
+    assert res.stdout.strip() == "[['a', 1, 2]]"
