@@ -528,3 +528,39 @@ def q_scalar_functions(spark, sf_dir):
         C.get_json_field(F.concat(F.lit('{"k": '), F.col("page_id").cast("string"), F.lit("}")), "k").alias("json_k"),
         C.format_double(F.col("page_id") / F.lit(3.0), 2).alias("third"),
     )
+
+
+# ---- dynamic blacklist for every branch (one stream, per-batch blacklist, table state) -----
+
+_DYNAMIC_RUNS: dict[tuple, tuple] = {}
+
+
+def _dynamic_run(spark, sf_dir):
+    """Run the blacklist stream, then the all-branch stream filtering each batch by that
+    blacklist; both read the whole events table. One run serves all stream_dynamic_* keys."""
+    from clickscope.streaming import ad_stream as ST
+    key = (id(spark), sf_dir)
+    hit = _DYNAMIC_RUNS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_dynamic")
+    ST.run_blacklist(spark, _stream_cfg(sf_dir), f"{root}/bl", seed=t.blacklist,
+                     threshold=FIXTURE_BLACKLIST_THRESHOLD)
+    ST.run_dynamic(spark, _stream_cfg(sf_dir), f"{root}/out", blacklist_root=f"{root}/bl")
+    _DYNAMIC_RUNS[key] = (spark, root)
+    return root
+
+
+def _dynamic_table(name, schema_name):
+    def q(spark, sf_dir):
+        from clickscope.streaming import ad_stream as ST
+        root = _dynamic_run(spark, sf_dir)
+        return ST.read_table(spark, f"{root}/out", name, getattr(ST, schema_name))
+    return q
+
+
+QUERIES["stream_dynamic_ad_stat"] = _dynamic_table("ad_stat", "AD_STAT_SCHEMA")
+QUERIES["stream_dynamic_province_top3"] = _dynamic_table("province_top3", "TOP3_SCHEMA")
+QUERIES["stream_dynamic_click_trend"] = _dynamic_table("click_trend", "TREND_SCHEMA")
+QUERIES["stream_dynamic_recent_hour"] = _dynamic_table("recent_hour", "RECENT_SCHEMA")

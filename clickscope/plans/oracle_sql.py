@@ -419,3 +419,29 @@ register("scalar_functions", f"""SELECT event_id,
        json_extract_string('{{"k": ' || CAST(page_id AS VARCHAR) || '}}', '$.k') AS json_k,
        CAST((200 * page_id + 3) // 6 AS DOUBLE) / 100.0 AS third
   FROM va""")
+
+
+# ---- dynamic blacklist: every branch filtered by the final blacklist (seed + new users) ----
+
+DYN_CTES = AD_CTES + [
+    ("fbl", "SELECT user_id FROM bl UNION SELECT user_id FROM ablack"),
+    ("dadf", "SELECT * FROM adp WHERE user_id NOT IN (SELECT user_id FROM fbl)"),
+    ("dstat", "SELECT date_key, province, city, ad_id, count(*) AS click_count FROM dadf GROUP BY 1, 2, 3, 4"),
+    ("dmin", "SELECT timestamp_ms // 60000 AS m, ad_id, count(*) AS n FROM dadf GROUP BY 1, 2"),
+]
+for _k, _sql in {
+    "stream_dynamic_ad_stat": "SELECT * FROM dstat",
+    "stream_dynamic_province_top3": """SELECT date_key, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date_key, province ORDER BY click_count DESC, ad_id) AS rn
+    FROM (SELECT date_key, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+            FROM dstat GROUP BY 1, 2, 3) a) r WHERE rn <= 3""",
+    "stream_dynamic_click_trend": """SELECT strftime(make_timestamp(m * 60000000), '%Y%m%d') AS date,
+       strftime(make_timestamp(m * 60000000), '%H') AS hour,
+       strftime(make_timestamp(m * 60000000), '%M') AS minute, ad_id, n AS click_count FROM dmin""",
+    "stream_dynamic_recent_hour": """SELECT strftime(make_timestamp(s * 60000000), '%Y-%m-%d %H:%M') AS window_start,
+       strftime(make_timestamp((s + 60) * 60000000), '%Y-%m-%d %H:%M') AS window_end,
+       ad_id, CAST(sum(n) AS BIGINT) AS click_count
+  FROM (SELECT m - j.range AS s, ad_id, n FROM dmin CROSS JOIN range(0, 60) j) w
+ GROUP BY s, ad_id""",
+}.items():
+    register(_k, _sql, DYN_CTES)

@@ -213,15 +213,35 @@ def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
 
 # ---- STR5: sliding 60-minute window, 1-minute slide ----------------------------------------
 
+def _minute_day(c):
+    return F.date_format(F.timestamp_seconds(c * 60), "yyyy-MM-dd")
+
+
+def _refresh_windows(minutes: DaySnapshotTable, table: DaySnapshotTable, v: int, rows: DataFrame,
+                     window_minutes: int, slide_minutes: int) -> None:
+    """Recompute the windows holding a minute of ``rows`` (minute, ad_id, ...) from the stored
+    minutes of the days within one window length, and upsert them into ``table``."""
+    offsets = rows.select("minute", F.explode(F.array(
+        F.lit(-window_minutes), F.lit(0), F.lit(window_minutes))).alias("o"))
+    # a handful of day values, used only to choose which day folders to read
+    days = {r[0] for r in offsets.select(_minute_day(F.col("minute") + F.col("o")).alias("d"))
+            .distinct().collect()}
+    # minutes of those days, flagged when updated by this batch; recompute only the windows
+    # that hold a flagged minute (their other minutes are within one window length, so read)
+    near = (minutes.read_days(days).select("minute", "ad_id", F.col("click_count").alias("n"))
+            .join(rows.select("minute", "ad_id", F.lit(1).alias("updated")).distinct(),
+                  ["minute", "ad_id"], "left"))
+    fresh = ADS.windows_from_minutes(near, window_minutes, slide_minutes, only_flagged="updated")
+    table.apply(v, fresh, lambda old, d: SINK.upsert_replace(old, d, ["window_start", "ad_id"]))
+
+
 def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                     window_minutes: int = 60, slide_minutes: int = 1, watermark: str = "60 minutes",
                     checkpoint: str | None = None):
     """Sliding windows without 60x state: the state store keeps per-minute counts; each batch
     upserts the updated minutes into ``recent_minutes`` and recomputes only the windows that
     contain an updated minute, from the stored minutes of the days within a window length."""
-    def minute_day(c):
-        return F.date_format(F.timestamp_seconds(c * 60), "yyyy-MM-dd")
-    minutes = DaySnapshotTable(spark, f"{root}/recent_minutes", MINUTE_SCHEMA, minute_day(F.col("minute")))
+    minutes = DaySnapshotTable(spark, f"{root}/recent_minutes", MINUTE_SCHEMA, _minute_day(F.col("minute")))
     table = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA, F.substring("window_start", 1, 10))
     s = (_filtered_stream(spark, cfg, blacklist).withWatermark("event_time", watermark)
          .groupBy(F.window("event_time", "1 minute").alias("w"), "ad_id")
@@ -231,23 +251,54 @@ def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame |
         v = batch_id + 1
         rows = df.select(F.expr("unix_seconds(w.start) div 60").alias("minute"), "ad_id", "click_count")
         minutes.apply(v, rows, lambda old, d: SINK.upsert_replace(old, d, ["minute", "ad_id"]))
-        offsets = rows.select("minute", F.explode(F.array(
-            F.lit(-window_minutes), F.lit(0), F.lit(window_minutes))).alias("o"))
-        # a handful of day values, used only to choose which day folders to read
-        days = {r[0] for r in offsets.select(minute_day(F.col("minute") + F.col("o")).alias("d"))
-                .distinct().collect()}
-        # minutes of those days, flagged when updated by this batch; recompute only the windows
-        # that hold a flagged minute (their other minutes are within one window length, so read)
-        near = (minutes.read_days(days).select("minute", "ad_id", F.col("click_count").alias("n"))
-                .join(rows.select("minute", "ad_id", F.lit(1).alias("updated")), ["minute", "ad_id"], "left"))
-        fresh = ADS.windows_from_minutes(near, window_minutes, slide_minutes, only_flagged="updated")
-        table.apply(v, fresh, lambda old, d: SINK.upsert_replace(old, d, ["window_start", "ad_id"]))
+        _refresh_windows(minutes, table, v, rows, window_minutes, slide_minutes)
         minutes.vacuum(KEEP_VERSIONS)
         table.vacuum(KEEP_VERSIONS)
 
     return _run(s, batch, checkpoint or f"{root}/_ckpt_recent", cfg)
 
 
+# ---- STR2 for every branch: per-batch blacklist, totals kept in the sink tables --------------
+
+def run_dynamic(spark, cfg: StreamConfig, root: str, blacklist_root: str, window_minutes: int = 60,
+                slide_minutes: int = 1, checkpoint: str | None = None):
+    """The original layout: one stream, each micro-batch filtered by the blacklist as it stands
+    at that batch (the table ``run_blacklist`` maintains under ``blacklist_root``), feeding every
+    output. Running totals live in the versioned day-partitioned tables (additive upsert of the
+    batch's counts), so there is no state store and no watermark: late rows still count.
+
+    Tables under ``root``: ad_stat, province_top3, click_trend, recent_minutes, recent_hour.
+    """
+    black = SnapshotTable(spark, f"{blacklist_root}/blacklist", BLACKLIST_SCHEMA)
+    stat = DaySnapshotTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, F.col("date_key"))
+    top = DaySnapshotTable(spark, f"{root}/province_top3", TOP3_SCHEMA, F.col("date_key"))
+    trend = DaySnapshotTable(spark, f"{root}/click_trend", TREND_SCHEMA, F.col("date"))
+    minutes = DaySnapshotTable(spark, f"{root}/recent_minutes", MINUTE_SCHEMA, _minute_day(F.col("minute")))
+    recent = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA, F.substring("window_start", 1, 10))
+    stat_keys = ["date_key", "province", "city", "ad_id"]
+    groups = ["date_key", "province"]
+
+    def batch(df, batch_id):
+        v = batch_id + 1
+        kept = ADS.ad_blacklist_filter(df, black.read()).persist()
+        try:
+            totals = stat.apply(v, ADS.ad_stat(kept), lambda old, d: SINK.upsert_add(old, d, stat_keys))
+            ranked = ADS.ad_province_top3(ADS.ad_province_count(totals))
+            top.apply(v, ranked, lambda old, d: SINK.replace_group(old, d, groups))
+            trend.apply(v, ADS.ad_click_trend(kept),
+                        lambda old, d: SINK.upsert_add(old, d, ["date", "hour", "minute", "ad_id"]))
+            per_min = (kept.groupBy(F.expr("timestamp_ms div 60000").alias("minute"), "ad_id")
+                       .agg(F.count(F.lit(1)).alias("click_count")))
+            minutes.apply(v, per_min, lambda old, d: SINK.upsert_add(old, d, ["minute", "ad_id"]))
+            _refresh_windows(minutes, recent, v, per_min, window_minutes, slide_minutes)
+        finally:
+            kept.unpersist()
+        for t in (stat, top, trend, minutes, recent):
+            t.vacuum(KEEP_VERSIONS)
+
+    return _run(parsed_stream(spark, cfg), batch, checkpoint or f"{root}/_ckpt_dynamic", cfg, "append")
+
+
 def fresh_root(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
@@ -260,6 +311,7 @@ TABLE_DAYS = {
     "province_top3": lambda: F.col("date_key"),
     "click_trend": lambda: F.col("date"),
     "recent_hour": lambda: F.substring("window_start", 1, 10),
+    "recent_minutes": lambda: _minute_day(F.col("minute")),
     "blacklist": None,
 }
 
