@@ -22,8 +22,9 @@ from clickscope.params import DEFAULT_TASK_ID
 CLICK, ORDER, PAY = 0, 1, 2
 
 
-def _category_events(actions: DataFrame) -> DataFrame:
-    """(category_id, kind) for every click, every ordered id and every paid id (duplicates kept)."""
+def _category_events(actions: DataFrame, *keep: str) -> DataFrame:
+    """(category_id, kind, *keep) for every click, every ordered id and every paid id
+    (duplicates kept)."""
     def tagged(arr, kind):
         return F.transform(arr, lambda c: F.struct(c.alias("category_id"), F.lit(kind).alias("kind")))
 
@@ -32,7 +33,7 @@ def _category_events(actions: DataFrame) -> DataFrame:
     order = F.coalesce(split_ids("order_category_ids"), F.array().cast("array<bigint>"))
     pay = F.coalesce(split_ids("pay_category_ids"), F.array().cast("array<bigint>"))
     events = F.concat(tagged(click, CLICK), tagged(order, ORDER), tagged(pay, PAY))
-    return actions.select(F.explode(events).alias("ev")).select("ev.category_id", "ev.kind")
+    return actions.select(*keep, F.explode(events).alias("ev")).select("ev.category_id", "ev.kind", *keep)
 
 
 def category_click_count(actions: DataFrame) -> DataFrame:
@@ -98,3 +99,30 @@ def top10_active_session(category_sessions: DataFrame, n: int = 10,
     return (category_sessions.withColumn("_rn", F.row_number().over(w))
             .where(F.col("_rn") <= int(n))
             .select(F.lit(taskid).alias("taskid"), "category_id", "session_id", "click_count"))
+
+
+def category_session_matrix(actions: DataFrame) -> DataFrame:
+    """Click, order and pay counts per (category, session) in one pass over the actions.
+
+    The top-N categories and the per-session click counts are both derived from this one
+    aggregate, so a pipeline that needs both reads and filters the actions once (the two
+    consumers share its exchange)."""
+    k = F.col("kind")
+    return _category_events(actions, "session_id").groupBy("category_id", "session_id").agg(
+        F.count_if(k == CLICK).alias("click_count"),
+        F.count_if(k == ORDER).alias("order_count"),
+        F.count_if(k == PAY).alias("pay_count"),
+    )
+
+
+def full_count_from_matrix(matrix: DataFrame) -> DataFrame:
+    """category_full_count from the (category, session) matrix."""
+    return matrix.groupBy("category_id").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("click_count", "order_count", "pay_count")])
+
+
+def session_count_from_matrix(matrix: DataFrame, top_categories: DataFrame) -> DataFrame:
+    """category_session_count from the matrix: clicked (category, session) pairs of the top list."""
+    top_ids = F.broadcast(top_categories.select("category_id"))  # at most n rows
+    return (matrix.where(F.col("click_count") > 0).join(top_ids, "category_id", "left_semi")
+            .select("category_id", "session_id", "click_count"))

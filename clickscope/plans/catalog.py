@@ -167,9 +167,14 @@ def q_category_full_count(spark, sf_dir):
     return CAT.category_full_count(filtered_actions(fixtures(spark, sf_dir)))
 
 
+@shared
+def category_matrix(t: FixtureTables) -> DataFrame:
+    return CAT.category_session_matrix(filtered_actions(t))
+
+
 @shared
 def top_categories(t: FixtureTables) -> DataFrame:
-    return CAT.top10_category(CAT.category_full_count(filtered_actions(t)))
+    return CAT.top10_category(CAT.full_count_from_matrix(category_matrix(t)))
 
 
 @query("top10_category")
@@ -180,13 +185,20 @@ def q_top10_category(spark, sf_dir):
 @query("category_session_count")
 def q_category_session_count(spark, sf_dir):
     t = fixtures(spark, sf_dir)
-    return CAT.category_session_count(filtered_actions(t), top_categories(t))
+    return CAT.session_count_from_matrix(category_matrix(t), top_categories(t))
 
 
 @query("top10_active_session")
 def q_top10_active_session(spark, sf_dir):
     t = fixtures(spark, sf_dir)
-    return CAT.top10_active_session(CAT.category_session_count(filtered_actions(t), top_categories(t)))
+    return CAT.top10_active_session(CAT.session_count_from_matrix(category_matrix(t), top_categories(t)))
+
+
+@query("category_session_count_direct")
+def q_category_session_count_direct(spark, sf_dir):
+    """The same counts computed directly from the actions (cross-check of the matrix form)."""
+    t = fixtures(spark, sf_dir)
+    return CAT.category_session_count(filtered_actions(t), top_categories(t))
 
 
 # ---- page funnel -----------------------------------------------------------------------

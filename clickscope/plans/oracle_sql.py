@@ -207,6 +207,7 @@ for _k, _sql in {
     "category_full_count": "SELECT * FROM cfc",
     "top10_category": "SELECT * FROM top10",
     "category_session_count": "SELECT * FROM csc",
+    "category_session_count_direct": "SELECT * FROM csc",
     "top10_active_session": f"""SELECT '{TASK}' AS taskid, category_id, session_id, click_count FROM (
   SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id ASC) AS rn
     FROM csc) r WHERE rn <= 10""",
