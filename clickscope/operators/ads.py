@@ -14,9 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-LOG_COLUMNS = ["timestamp_ms", "province", "city", "user_id", "ad_id"]
-
-
 def ad_log_parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """PRJ3/PRJ4: 'timestamp_ms province city userid adid' -> typed columns + yyyyMMdd date key."""
     parts = F.split(F.col(value_col), " ")

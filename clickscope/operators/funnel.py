@@ -4,8 +4,9 @@ Scale notes
 - Consecutive pages per session need the session's actions in time order. The default
   ``page_transitions`` sorts globally by (session, time, event_id) with range partitioning,
   so a hot session is spread over many tasks instead of landing in one window partition;
-  pairs that cross a task boundary are stitched from a per-task edge table (one row per
-  task). ``page_transitions_window`` is the plain window form, used as a cross-check.
+  pairs that cross a task boundary are stitched from an edge table holding each task's
+  first and last row (two rows per task). ``page_transitions_window`` is the plain window
+  form, used as a cross-check.
 - Pairs are cut to the target path (broadcast: its size is the parameter's length) before
   counting, and the count is a partial + final hash aggregate.
 - Rates are computed over at most len(path) rows.

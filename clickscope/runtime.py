@@ -7,7 +7,6 @@ local temp directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,13 +66,4 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "use_utc", "BASE_CONF",
-           "is_local_path", "local_fs_path"]
+__all__ = ["build_session", "checkpoint_root", "scratch_path", "use_utc", "BASE_CONF"]
