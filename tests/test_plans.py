@@ -58,3 +58,10 @@ def test_single_pass_category_counts(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "partial_count" in p
     assert "SortMergeJoin(" not in p.split("Generate")[0]  # no join above the explode
+
+
+def test_no_cross_products_or_row_udfs_anywhere(spark):
+    bad = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
+    for name, fn in E.queries().items():
+        p = plan(fn(spark, SF_SMALL))
+        assert not [b for b in bad if b in p], name

@@ -50,3 +50,17 @@ def test_stream_blacklist_multi_batch(spark, tmp_path):
     parsed = ADS.ad_blacklist_filter(ADS.ad_log_parse(t.ad_lines), t.blacklist)
     want = rows_of(t.blacklist.unionByName(ADS.ad_blacklist(ADS.ad_user_click_count(parsed), 1)).distinct())
     assert got == want
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    t = fixtures(spark, SF_SMALL)
+    root = str(tmp_path / "pt")
+    cfg = ST.StreamConfig(source_dir=SF_SMALL, processing_time="1 second")
+    q = ST.run_click_trend(spark, cfg, root, blacklist=t.blacklist, checkpoint=str(tmp_path / "ck"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = ST.read_table(spark, root, "click_trend", ST.TREND_SCHEMA)
+    want = ADS.ad_click_trend(ADS.ad_blacklist_filter(ADS.ad_log_parse(t.ad_lines), t.blacklist))
+    assert rows_of(got) == rows_of(want)
