@@ -165,7 +165,7 @@ def sample_quotas(filtered: DataFrame, total: int = 100) -> DataFrame:
     q = hours.select(
         "date", "hour", "hour_count",
         F.sum("hour_count").over(Window.partitionBy("date")).alias("day_count"),
-        F.size(F.collect_set("date").over(everything)).alias("days"),
+        F.size(F.collect_set("date").over(everything)).cast("bigint").alias("days"),
     )
     per_day = F.expr(f"{int(total)} div days")
     return q.select("date", "hour", "hour_count", "day_count", "days",

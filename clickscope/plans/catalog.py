@@ -118,6 +118,11 @@ def q_session_hour_counts(spark, sf_dir):
     return S.session_hour_counts(filtered(fixtures(spark, sf_dir)))
 
 
+@query("session_sample_quotas")
+def q_session_sample_quotas(spark, sf_dir):
+    return S.sample_quotas(filtered(fixtures(spark, sf_dir)))
+
+
 @query("session_random_extract")
 def q_session_random_extract(spark, sf_dir):
     return S.session_random_extract(filtered(fixtures(spark, sf_dir)))

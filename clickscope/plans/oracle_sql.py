@@ -157,6 +157,12 @@ FINAL: dict[str, str] = {
     "session_aggr_stat_keywords": _aggr_stat_sql("filt_kw"),
     "session_hour_counts": _hour_counts_sql("filt"),
     "session_random_extract": _extract_sql("filt"),
+    "session_sample_quotas": f"""SELECT date, hour, hour_count, day_count, days,
+       least(hour_count, hour_count * (100 // days) // day_count) AS quota, 100 // days AS per_day
+  FROM (SELECT date, hour, session_count AS hour_count,
+               CAST(sum(session_count) OVER (PARTITION BY date) AS BIGINT) AS day_count,
+               count(DISTINCT date) OVER () AS days
+          FROM ({_hour_counts_sql('filt')}) h) q""",
     "session_extract_detail": f"""SELECT '{TASK}' AS taskid, {', '.join(S.DETAIL_COLUMNS)}
   FROM va WHERE session_id IN (SELECT session_id FROM ({_extract_sql('filt')}) x)""",
     "session_filtered_actions": "SELECT * FROM va WHERE session_id IN (SELECT session_id FROM filt)",

@@ -260,3 +260,21 @@ def test_pair_emitter_ships_by_value(tmp_path):
     res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True)
     assert res.returncode == 0, res.stderr
     assert res.stdout.strip() == "[['a', 1, 2]]"
+
+
+def test_today_and_yesterday(spark):
+    import datetime
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    r = spark.range(1).select(C.today().alias("t"), C.yesterday().alias("y")).collect()[0]
+    now = datetime.datetime.now(datetime.timezone.utc).date()
+    assert r["t"] in {str(now), str(now + datetime.timedelta(days=1))}  # midnight race
+    assert datetime.date.fromisoformat(r["t"]) - datetime.date.fromisoformat(r["y"]) == datetime.timedelta(days=1)
+
+
+def test_task_params_from_json_dict():
+    p = TaskParams.from_dict({"startDate": "2024-01-01", "endDate": "2024-01-30", "startAge": "20",
+                              "endAge": "", "professionals": "", "cities": "city1,city2", "sex": "",
+                              "keywords": "kw1,kw2", "categoryIds": "", "targetPageFlow": "1,2,3"})
+    assert p.start_age == 20 and p.end_age is None and p.sex is None
+    assert p.cities == ("city1", "city2") and p.keywords == ("kw1", "kw2") and p.category_ids == ()
+    assert p.target_page_flow == (1, 2, 3) and p.professionals == ()

@@ -65,3 +65,8 @@ def test_no_cross_products_or_row_udfs_anywhere(spark):
     for name, fn in E.queries().items():
         p = plan(fn(spark, SF_SMALL))
         assert not [b for b in bad if b in p], name
+
+
+def test_session_rollup_is_partially_aggregated(spark):
+    p = plan(E.queries()["session_summary"](spark, SF_SMALL))
+    assert "partial_collect_set" in p and "partial_min" in p
