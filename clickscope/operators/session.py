@@ -9,6 +9,8 @@ Scale notes
   rank is cut at the run-wide upper bound ``total`` first, so Catalyst plans a
   ``WindowGroupLimit`` before the shuffle and a hot hour never ships more than ``total``
   rows per map task; the exact per-hour quota is applied after.
+- ``session_filtered_actions`` salts hot sessions (see its docstring), so one session holding
+  a large share of all actions is spread over many tasks of the semi join.
 """
 
 from __future__ import annotations
@@ -204,10 +206,27 @@ def session_extract_detail(extract: DataFrame, actions: DataFrame,
         F.lit(taskid).alias("taskid"), *DETAIL_COLUMNS)
 
 
-def session_filtered_actions(actions: DataFrame, filtered: DataFrame) -> DataFrame:
+# Actions of one session handled per task in the session semi join; larger sessions are salted.
+HOT_SESSION_ROWS = 4_000_000
+
+
+def session_filtered_actions(actions: DataFrame, filtered: DataFrame,
+                             hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
     """JN2: actions of the sessions that passed the filter (semi join on session_id).
 
-    Both sides grow with the data, so this is a shuffle join; AQE splits a skewed
-    session partition (skew join handles left-semi).
+    Skew: the session side reaches this join straight from the roll-up's aggregate, so AQE's
+    skew-join split cannot apply. Instead a session with more than ``hot_rows`` actions
+    (``step_length`` from the roll-up) gets n = ceil(step_length / hot_rows) salts: its actions
+    take salt pmod(xxhash64(event_id), n) and its session row is repeated n times, so the
+    join on (session_id, salt) spreads it over n tasks. The hot list holds at most
+    (number of actions / hot_rows) rows -- a proven bound -- and is broadcast; sessions that
+    are not hot keep salt 0.
     """
-    return actions.join(filtered.select("session_id"), "session_id", "left_semi")
+    n = F.greatest(F.lit(1), F.ceil(F.col("step_length") / F.lit(int(hot_rows)))).cast("int")
+    sessions = filtered.select("session_id", n.alias("_n"))
+    hot = F.broadcast(sessions.where(F.col("_n") > 1))
+    salted = (actions.join(hot, "session_id", "left")
+              .withColumn("_salt", F.when(F.col("_n").isNull(), F.lit(0))
+                          .otherwise(F.pmod(F.xxhash64("event_id"), F.col("_n")).cast("int"))))
+    keys = sessions.select("session_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_salt"))
+    return salted.join(keys, ["session_id", "_salt"], "left_semi").select(*actions.columns)

@@ -278,3 +278,15 @@ def test_task_params_from_json_dict():
     assert p.start_age == 20 and p.end_age is None and p.sex is None
     assert p.cities == ("city1", "city2") and p.keywords == ("kw1", "kw2") and p.category_ids == ()
     assert p.target_page_flow == (1, 2, 3) and p.professionals == ()
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 1000])
+def test_salted_session_semi_join(spark, hot_rows):
+    hot = [dict(session_id="hot", page_id=i % 10, action_time=f"2024-01-01 00:{i // 60 % 60:02d}:{i % 60:02d}")
+           for i in range(300)]
+    cold = [dict(session_id=f"c{k}", page_id=k % 10) for k in range(30)]
+    a = actions(spark, *(hot + cold))
+    summ = S.session_summary(a).where(F.col("session_id") != "c3")  # c3 filtered out
+    got = rows_of(S.session_filtered_actions(a, summ, hot_rows=hot_rows))
+    want = rows_of(a.join(summ.select("session_id"), "session_id", "left_semi").select(*a.columns))
+    assert got == want and len(got) == 329
