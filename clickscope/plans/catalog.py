@@ -10,16 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickscope.functions import columns as C
 from clickscope.operators import ads as ADS
 from clickscope.operators import area as AREA
 from clickscope.operators import category as CAT
 from clickscope.operators import funnel as FUN
 from clickscope.operators import session as S
 from clickscope.params import DEFAULT_PARAMS, KEYWORD_PARAMS, TaskParams
-from clickscope.runtime import use_utc
+from clickscope.runtime import scratch_path, use_utc
+from clickscope.sinks import ops as SINK
+from clickscope.sinks.snapshot import DaySnapshotTable, SnapshotTable
 from clickscope.sources import tables as SRC
 from clickscope.sources.fixtures import FixtureTables
+from clickscope.streaming import ad_stream as ST
+from clickscope.streaming.ad_stream import (AD_STAT_SCHEMA, BLACKLIST_SCHEMA, TOP3_SCHEMA,
+                                            USER_COUNT_SCHEMA, StreamConfig)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -287,8 +294,6 @@ def q_area_top3_product(spark, sf_dir):
 
 @query("group_concat_distinct")
 def q_group_concat_distinct(spark, sf_dir):
-    from clickscope.functions import columns as C
-    from pyspark.sql import functions as F
     basic = area_basic(fixtures(spark, sf_dir))
     return basic.groupBy("area").agg(
         C.group_concat_distinct(C.concat_long_string("city_id", "city_name", ":")).alias("city_infos"),
@@ -360,13 +365,11 @@ def q_ad_recent_hour(spark, sf_dir):
 # ---- ad clicks (Structured Streaming replay; read back the sink tables) ------------------
 
 def _stream_cfg(sf_dir: str):
-    from clickscope.streaming.ad_stream import StreamConfig
     return StreamConfig(source_dir=sf_dir)
 
 
 @query("stream_ad_blacklist")
 def q_stream_ad_blacklist(spark, sf_dir):
-    from clickscope.streaming import ad_stream as ST
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_blacklist")
     ST.run_blacklist(spark, _stream_cfg(sf_dir), root, seed=t.blacklist,
@@ -376,7 +379,6 @@ def q_stream_ad_blacklist(spark, sf_dir):
 
 @query("stream_ad_user_click_count")
 def q_stream_ad_user_click_count(spark, sf_dir):
-    from clickscope.streaming import ad_stream as ST
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_user_counts")
     ST.run_blacklist(spark, _stream_cfg(sf_dir), root, seed=t.blacklist,
@@ -386,7 +388,6 @@ def q_stream_ad_user_click_count(spark, sf_dir):
 
 @query("stream_ad_stat")
 def q_stream_ad_stat(spark, sf_dir):
-    from clickscope.streaming import ad_stream as ST
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_ad_stat")
     ST.run_ad_stat(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
@@ -395,7 +396,6 @@ def q_stream_ad_stat(spark, sf_dir):
 
 @query("stream_ad_province_top3")
 def q_stream_ad_province_top3(spark, sf_dir):
-    from clickscope.streaming import ad_stream as ST
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_top3")
     ST.run_province_top3(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
@@ -404,7 +404,6 @@ def q_stream_ad_province_top3(spark, sf_dir):
 
 @query("stream_ad_click_trend")
 def q_stream_ad_click_trend(spark, sf_dir):
-    from clickscope.streaming import ad_stream as ST
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_trend")
     ST.run_click_trend(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
@@ -413,7 +412,6 @@ def q_stream_ad_click_trend(spark, sf_dir):
 
 @query("stream_ad_recent_hour")
 def q_stream_ad_recent_hour(spark, sf_dir):
-    from clickscope.streaming import ad_stream as ST
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_recent")
     ST.run_recent_hour(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
@@ -423,7 +421,6 @@ def q_stream_ad_recent_hour(spark, sf_dir):
 # ---- sinks: apply two batches (clicks before / from noon, UTC), return the table ---------
 
 def _halves(t: FixtureTables):
-    from pyspark.sql import functions as F
     f = ad_filtered(t)
     am = F.expr("(timestamp_ms div 3600000) % 24 < 12")
     return f.where(am), f.where(~am)
@@ -431,8 +428,6 @@ def _halves(t: FixtureTables):
 
 @query("sink_append")
 def q_sink_append(spark, sf_dir):
-    from clickscope.runtime import scratch_path
-    from clickscope.sinks import ops as SINK
     b1, b2 = _halves(fixtures(spark, sf_dir))
     path = scratch_path(spark, "sink_append")
     SINK.append(ADS.ad_stat(b1), path)
@@ -442,8 +437,6 @@ def q_sink_append(spark, sf_dir):
 
 @query("sink_overwrite")
 def q_sink_overwrite(spark, sf_dir):
-    from clickscope.runtime import scratch_path
-    from clickscope.sinks import ops as SINK
     b1, b2 = _halves(fixtures(spark, sf_dir))
     path = scratch_path(spark, "sink_overwrite")
     SINK.overwrite(ADS.ad_stat(b1), path)
@@ -453,9 +446,6 @@ def q_sink_overwrite(spark, sf_dir):
 
 def _two_versions(spark, name, schema, first, second, update):
     """Apply two batches to a day-partitioned snapshot table and return the current table."""
-    from pyspark.sql import functions as F
-    from clickscope.runtime import scratch_path
-    from clickscope.sinks.snapshot import DaySnapshotTable
     table = DaySnapshotTable(spark, scratch_path(spark, name), schema, F.col("date_key"))
     table.apply(1, first, update)
     table.apply(2, second, update)
@@ -464,8 +454,6 @@ def _two_versions(spark, name, schema, first, second, update):
 
 @query("sink_upsert_add")
 def q_sink_upsert_add(spark, sf_dir):
-    from clickscope.sinks import ops as SINK
-    from clickscope.streaming.ad_stream import USER_COUNT_SCHEMA
     b1, b2 = _halves(fixtures(spark, sf_dir))
     keys = ["date_key", "user_id", "ad_id"]
     return _two_versions(spark, "sink_upsert_add", USER_COUNT_SCHEMA, ADS.ad_user_click_count(b1),
@@ -474,8 +462,6 @@ def q_sink_upsert_add(spark, sf_dir):
 
 @query("sink_upsert_replace")
 def q_sink_upsert_replace(spark, sf_dir):
-    from clickscope.sinks import ops as SINK
-    from clickscope.streaming.ad_stream import AD_STAT_SCHEMA
     b1, b2 = _halves(fixtures(spark, sf_dir))
     keys = ["date_key", "province", "city", "ad_id"]
     return _two_versions(spark, "sink_upsert_replace", AD_STAT_SCHEMA, ADS.ad_stat(b1), ADS.ad_stat(b2),
@@ -484,8 +470,6 @@ def q_sink_upsert_replace(spark, sf_dir):
 
 @query("sink_replace_group")
 def q_sink_replace_group(spark, sf_dir):
-    from clickscope.sinks import ops as SINK
-    from clickscope.streaming.ad_stream import TOP3_SCHEMA
     b1, b2 = _halves(fixtures(spark, sf_dir))
 
     def top3(b):
@@ -496,10 +480,6 @@ def q_sink_replace_group(spark, sf_dir):
 
 @query("sink_blacklist_insert")
 def q_sink_blacklist_insert(spark, sf_dir):
-    from clickscope.runtime import scratch_path
-    from clickscope.sinks import ops as SINK
-    from clickscope.sinks.snapshot import SnapshotTable
-    from clickscope.streaming.ad_stream import BLACKLIST_SCHEMA
     t = fixtures(spark, sf_dir)
     b1, b2 = _halves(t)
     table = SnapshotTable(spark, scratch_path(spark, "sink_blacklist"), BLACKLIST_SCHEMA)
@@ -517,8 +497,6 @@ SCALAR_PIVOT_TIME = "2024-01-15 12:00:00"
 
 @query("scalar_functions")
 def q_scalar_functions(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from clickscope.functions import columns as C
     a = actions_in_range(fixtures(spark, sf_dir))
     pivot = F.lit(SCALAR_PIVOT_TIME)
     ts = C.parse_time("action_time")
@@ -555,7 +533,6 @@ _DYNAMIC_RUNS: dict[tuple, tuple] = {}
 def _dynamic_run(spark, sf_dir):
     """Run the blacklist stream, then the all-branch stream filtering each batch by that
     blacklist; both read the whole events table. One run serves all stream_dynamic_* keys."""
-    from clickscope.streaming import ad_stream as ST
     key = (id(spark), sf_dir)
     hit = _DYNAMIC_RUNS.get(key)
     if hit is not None and hit[0] is spark:
@@ -571,7 +548,6 @@ def _dynamic_run(spark, sf_dir):
 
 def _dynamic_table(name, schema_name):
     def q(spark, sf_dir):
-        from clickscope.streaming import ad_stream as ST
         root = _dynamic_run(spark, sf_dir)
         return ST.read_table(spark, f"{root}/out", name, getattr(ST, schema_name))
     return q
