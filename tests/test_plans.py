@@ -70,3 +70,39 @@ def test_no_cross_products_or_row_udfs_anywhere(spark):
 def test_session_rollup_is_partially_aggregated(spark):
     p = plan(E.queries()["session_summary"](spark, SF_SMALL))
     assert "partial_collect_set" in p and "partial_min" in p
+
+
+def test_hot_user_join_is_split_by_aqe(spark):
+    """A user owning most sessions: AQE's skew join splits that partition of the user join."""
+    from pyspark.sql import functions as F
+    from clickscope.operators import session as S
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        summ = spark.range(0, 100000, numPartitions=4).select(
+            F.concat(F.lit("s"), F.col("id").cast("string")).alias("session_id"),
+            F.when(F.col("id") % 3 != 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("bigint").alias("user_id"),
+            F.lit(None).cast("string").alias("search_keywords"),
+            F.lit(None).cast("string").alias("click_category_ids"),
+            F.lit(1).cast("bigint").alias("visit_length"), F.lit(1).cast("bigint").alias("step_length"),
+            F.lit("t").alias("start_time"))
+        users = spark.range(0, 1000).select(F.col("id").alias("user_id"), F.lit(30).alias("age"),
+                                            F.lit("p").alias("professional"), F.lit("male").alias("sex"),
+                                            F.lit("c").alias("city"))
+        out = S.session_full_info(summ, users)
+        assert out.count() == 100000
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
