@@ -69,6 +69,12 @@ def _pair_emitter():
     return pairs_in_partition
 
 
+def _ranged(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Actions range-partitioned on (session, time, event_id) into a fixed number of tasks."""
+    n = num_partitions or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _ordered(actions).repartitionByRange(n, "session_id", "t", "event_id")
+
+
 def page_transitions(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """WIN4: (session, page, next page) in (time, event_id) order, skew-safe.
 
@@ -78,9 +84,7 @@ def page_transitions(actions: DataFrame, num_partitions: int | None = None) -> D
     rows per task) by ordering it on the sort key: the row before a task's first row is
     the previous non-empty task's last row.
     """
-    spark = actions.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = _ordered(actions).repartitionByRange(n, "session_id", "t", "event_id")
+    ranged = _ranged(actions, num_partitions)
     inner = (ranged.sortWithinPartitions("session_id", "t", "event_id")
              .select("session_id", "page_id")
              .mapInPandas(_pair_emitter(), PAIR_SCHEMA))
@@ -132,9 +136,14 @@ def page_convert_rate(actions: DataFrame, flow, transitions: DataFrame | None =
     """AGG15: rate_1 = n_1 / start count, rate_i = n_i / n_(i-1); zero denominator -> null."""
     spark = actions.sparkSession
     path = target_path(spark, flow)
-    transitions = page_transitions(actions) if transitions is None else transitions
+    if transitions is None:
+        transitions = page_transitions(actions)
+        # counted off the same range exchange as the transitions: no second scan of the actions
+        counted = _ranged(actions)
+    else:
+        counted = actions
     splits = page_split_count(transitions, path)
-    start = start_page_count(actions, list(flow)[0]).select(
+    start = start_page_count(counted, list(flow)[0]).select(
         F.lit(0).alias("step"), F.lit("start").alias("page_split"),
         F.col("start_page_count").alias("split_count"))
     # at most len(flow) rows: a single ordered window is fine.
