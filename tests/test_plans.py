@@ -106,3 +106,33 @@ def test_hot_user_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_user_blacklist_anti_join_is_split_by_aqe(spark):
+    """A user with most ad clicks: with the blacklist read from a table, AQE splits the anti join."""
+    from pyspark.sql import functions as F
+    from clickscope.operators import ads as ADS
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        clicks = spark.range(0, 100000, numPartitions=4).select(
+            F.when(F.col("id") % 3 != 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("bigint").alias("user_id"),
+            (F.col("id") % 20).alias("ad_id"))
+        black = spark.range(500, 1000).select(F.col("id").alias("user_id"))
+        out = ADS.ad_blacklist_filter(clicks, black)
+        assert out.count() == 83333
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
