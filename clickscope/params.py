@@ -31,6 +31,12 @@ class TaskParams:
     category_ids: tuple[str, ...] = field(default_factory=tuple)
     target_page_flow: tuple[int, ...] = (1, 2, 3, 4, 5, 6, 7)
 
+    @staticmethod
+    def from_json(text: str) -> "TaskParams":
+        """Build from the original task-parameter JSON text."""
+        import json
+        return TaskParams.from_dict(json.loads(text))
+
     @staticmethod
     def from_dict(d: dict) -> "TaskParams":
         """Build from the original JSON keys (startDate, endDate, startAge, ...)."""

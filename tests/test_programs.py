@@ -21,3 +21,21 @@ def test_batch_programs_match_queries(spark, tmp_path):
         want = q[key](spark, SF_SMALL)
         got = spark.read.parquet(f"{out}/{table}").select(*want.columns)
         assert rows_of(got) == rows_of(want), table
+
+
+def test_ad_program_drains_and_matches_dynamic_queries(spark, tmp_path):
+    from clickscope.plans.catalog import FIXTURE_BLACKLIST_THRESHOLD
+    from clickscope.streaming import ad_stream as ST
+    t = fixtures(spark, SF_SMALL)
+    root = str(tmp_path / "ads")
+    PG.run_ad_program(spark, ST.StreamConfig(source_dir=SF_SMALL), root, seed_blacklist=t.blacklist,
+                      threshold=FIXTURE_BLACKLIST_THRESHOLD)
+    got = ST.read_table(spark, f"{root}/stats", "ad_stat", ST.AD_STAT_SCHEMA)
+    assert rows_of(got) == rows_of(E.queries()["stream_dynamic_ad_stat"](spark, SF_SMALL))
+
+
+def test_params_from_json():
+    from clickscope.params import TaskParams
+    p = TaskParams.from_json('{"startDate": "2024-01-01", "endDate": "2024-01-30", "sex": "male", '
+                             '"targetPageFlow": "1,2"}')
+    assert p.sex == "male" and p.target_page_flow == (1, 2) and p.start_age is None
