@@ -89,6 +89,7 @@ class DaySnapshotTable:
         self.root = root.rstrip("/")
         self.schema = schema
         self.day_of = day_of
+        self.last_days: set[str] | None = None
 
     def _listing(self) -> dict[str, list[int]]:
         fs, root = _fs(self.spark, self.root)
@@ -105,11 +106,25 @@ class DaySnapshotTable:
                 out[name[len(DAY_COL) + 1:]] = sorted(vs)
         return out
 
+    def _day_versions(self, days) -> dict[str, list[int]]:
+        """Versions of the given days only: one folder lookup per day, never a full listing,
+        so a long-running stream does not list its whole history every batch."""
+        fs, _ = _fs(self.spark, self.root)
+        jvm = self.spark.sparkContext._jvm
+        out: dict[str, list[int]] = {}
+        for day in days:
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{DAY_COL}={day}")
+            if fs.exists(p):
+                vs = [int(x.getPath().getName()[2:]) for x in fs.listStatus(p)
+                      if x.getPath().getName().startswith("v=")]
+                if vs:
+                    out[str(day)] = sorted(vs)
+        return out
+
     def _paths(self, below: int | None = None, days=None) -> list[str]:
+        listing = self._listing() if days is None else self._day_versions(days)
         paths = []
-        for day, vs in self._listing().items():
-            if days is not None and day not in days:
-                continue
+        for day, vs in listing.items():
             ok = [v for v in vs if below is None or v < below]
             if ok:
                 paths.append(f"{self.root}/{DAY_COL}={day}/v={ok[-1]}")
@@ -128,11 +143,14 @@ class DaySnapshotTable:
         """Newest rows of the given days only."""
         return self._load(self._paths(days=set(days)))
 
-    def vacuum(self, keep: int = 2) -> None:
-        """Per day, delete all but the newest ``keep`` versions."""
+    def vacuum(self, keep: int = 2, days=None) -> None:
+        """Per day, delete all but the newest ``keep`` versions; ``days=None`` means the days the
+        last ``apply`` wrote (or every day if there was none)."""
         fs, _ = _fs(self.spark, self.root)
         jvm = self.spark.sparkContext._jvm
-        for day, vs in self._listing().items():
+        days = self.last_days if days is None else days
+        listing = self._listing() if days is None else self._day_versions(days)
+        for day, vs in listing.items():
             for v in vs[:-keep] if keep > 0 else []:
                 fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{DAY_COL}={day}/v={v}"), True)
 
@@ -157,6 +175,7 @@ class DaySnapshotTable:
              .partitionBy(DAY_COL, "v").parquet(self.root))
         finally:
             delta.unpersist()
-        written = self._listing()
-        return self._load([f"{self.root}/{DAY_COL}={d}/v={int(version)}" for d in sorted(days)
-                           if int(version) in written.get(d, [])])
+        self.last_days = {str(d) for d in days}
+        written = self._day_versions(days)
+        return self._load([f"{self.root}/{DAY_COL}={d}/v={int(version)}" for d in sorted(written)
+                           if int(version) in written[d]])
