@@ -290,3 +290,17 @@ def test_salted_session_semi_join(spark, hot_rows):
     got = rows_of(S.session_filtered_actions(a, summ, hot_rows=hot_rows))
     want = rows_of(a.join(summ.select("session_id"), "session_id", "left_semi").select(*a.columns))
     assert got == want and len(got) == 329
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_read_table_formats(spark, tmp_path, fmt):
+    from clickscope.schemas import USER_INFO
+    from clickscope.sources import tables as SRC
+    from clickscope.plans.catalog import fixtures
+    from tests.conftest import SF_SMALL
+    users = fixtures(spark, SF_SMALL).users
+    path = str(tmp_path / f"users_{fmt}")
+    writer = users.write.mode("overwrite")
+    (writer.option("header", "true").csv(path) if fmt == "csv" else writer.format(fmt).save(path))
+    back = SRC.read_table(spark, path, USER_INFO, fmt=fmt).select(*USER_INFO.fieldNames())
+    assert rows_of(back) == rows_of(users)
