@@ -1,8 +1,8 @@
 """Session construction and the shared checkpoint folder.
 
 On a cluster the checkpoint folder is whatever ``spark.checkpoint.dir`` names (a shared
-file system). Only when it is unset (local tests, the bench) do we create one under the
-local temp directory.
+file system). If it is unset, a cluster session raises; a local[...] session, whose only process
+is the driver, gets a folder under the local temp directory.
 """
 
 from __future__ import annotations
@@ -51,7 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # older API surface
             root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="clickscope-ckpt-")
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="clickscope-ckpt-")  # one process: its own disk is the shared one
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
