@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import (chat_trees, line_dedup, minhash_dedup, mixing, quality_rules, rp_forest,
+from clickscope.llm import (chat_trees, interpolation, line_dedup, minhash_dedup, mixing, quality_rules, rp_forest,
                             sentencepiece_codec, warc)
 from clickscope.llm.common import documents
 
@@ -25,6 +25,11 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_classes(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "class_id", "n_links")
 
 
+def op4_interpolation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document under the interpolated model and the smoothed unigram model."""
+    return interpolation.score_documents(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op5_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every twentieth vector."""
     vectors = _table(spark, sf_dir, "embeddings")
@@ -62,5 +67,5 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_minhash_dedup, op5_forest_neighbours, op6_chat_formatting, op7_warc, op8_line_dedup,
+    op1_quality_rules, op2_minhash_dedup, op4_interpolation_scores, op5_forest_neighbours, op6_chat_formatting, op7_warc, op8_line_dedup,
     op9_sentencepiece, op10_source_mixing)}
