@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickscope.llm import (chat_trees, interpolation, line_dedup, minhash_dedup, mixing, quality_rules, rp_forest,
-                            sentencepiece_codec, warc)
+                            sentencepiece_codec, toxicity, warc)
 from clickscope.llm.common import documents
 
 
@@ -25,6 +25,11 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_classes(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "class_id", "n_links")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.score_documents(documents(spark, sf_dir, "doc_id", "text"), _table(spark, sf_dir, "labels"))
+
+
 def op4_interpolation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of every document under the interpolated model and the smoothed unigram model."""
     return interpolation.score_documents(documents(spark, sf_dir, "doc_id", "text"))
@@ -67,5 +72,5 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_minhash_dedup, op4_interpolation_scores, op5_forest_neighbours, op6_chat_formatting, op7_warc, op8_line_dedup,
+    op1_quality_rules, op2_minhash_dedup, op3_toxicity, op4_interpolation_scores, op5_forest_neighbours, op6_chat_formatting, op7_warc, op8_line_dedup,
     op9_sentencepiece, op10_source_mixing)}
