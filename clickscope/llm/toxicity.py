@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters as the embedding of its hash beside the mean embedding of its character trigrams, so unseen
-forms of a known stem still speak. Two GRUs read a window of WINDOW words forwards and backwards; attention
+A word (a run of bytes between white space and ASCII punctuation, A-Z lowered) enters as the embedding of
+its hash beside the mean embedding of its character trigrams (over UTF-8), so unseen forms of a known stem still speak. Two GRUs read a window of WINDOW words forwards and backwards; attention
 pools their states; a linear layer gives the window's logit. A document is scored by its highest window,
 over all windows (they start every STRIDE words and overlap).
 
@@ -15,13 +15,11 @@ Scoring runs in Arrow batches: the input side of both GRUs is computed once per
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +27,15 @@ WINDOW, STRIDE = 48, 36
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 12
 WORD_BITS, CHAR_BITS = 16, 15
 BATCH_WORDS = 400_000
-_SPLIT = re.compile(r"[\x20\x09-\x0D]+")
-_EDGE = ".,;:!?\"'()[]{}*#$%&|<>-_«»¿¡"
+# bytes of words, lower case; 0 separates: white space, control characters and ASCII punctuation
+_LETTERS = np.array([c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 0 for c in range(256)], np.uint8)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+
+def _scramble(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ (x >> np.uint64(32))
 
 
 @dataclass(frozen=True)
@@ -47,32 +52,29 @@ def _sigmoid(x):
 
 
 class Words:
-    """Distinct words of a batch as hashes and trigram hashes; number 0 is padding."""
-
-    def __init__(self, distinct: list[str]):
-        clean = [w.lower().strip(_EDGE) for w in distinct]
-        self.word = np.array([0, *[1 + xxhash.xxh32_intdigest(w) % ((1 << WORD_BITS) - 1) for w in clean]], np.int64)
-        text = "".join(f"\x02{w}\x03" for w in clean)
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        sizes = np.array([len(w) + 2 for w in clean], np.int64)
-        if len(codes) < 3:
-            self.tri, self.bounds = np.zeros(1, np.int64), np.zeros(len(self.word), np.int64)
-            return
-        h = (codes[:-2] * np.uint64(0x9E3779B1) + codes[1:-1]) * np.uint64(0x85EBCA77) + codes[2:]
-        h = (h ^ (h >> np.uint64(15))) * np.uint64(0xC2B2AE3D27D4EB4F)
-        tri = 1 + (h >> np.uint64(40)).astype(np.int64) % ((1 << CHAR_BITS) - 1)
-        # a word of n characters has n trigrams with its marks; an empty one has none
-        start = np.cumsum(sizes) - sizes
-        own = np.maximum(sizes - 2, 0)
-        at = np.repeat(start, own) + np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
-        self.tri = tri[at] if len(at) else np.zeros(1, np.int64)
-        self.owner = np.repeat(np.arange(1, len(self.word)), own)
-        self.count = np.concatenate([[1], np.maximum(own, 1)]).astype(np.float32)
+    """The distinct words of a batch: rows of the word table and hashed trigrams; number 0 is padding.
+
+    data: lower-case bytes; start, size: of one occurrence of every distinct word; h: their hashes.
+    """
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, h: np.ndarray):
+        self.word = np.concatenate([[0], 1 + (_scramble(h) % np.uint64((1 << WORD_BITS) - 1)).astype(np.int64)])
+        # every word between two marks, one after the other
+        wide = size + 2
+        first = np.cumsum(wide) - wide
+        codes = np.zeros(int(wide.sum()) + 2, np.uint64)
+        spot = np.repeat(first + 1 - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        codes[spot] = data[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        codes[first], codes[first + wide - 1] = 2, 3
+        tri = _scramble(codes[:-2] << np.uint64(16) | codes[1:-1] << np.uint64(8) | codes[2:])
+        self.tri = 1 + (tri[spot - 1] % np.uint64((1 << CHAR_BITS) - 1)).astype(np.int64)
+        self.owner = np.repeat(np.arange(1, len(size) + 1), size)
+        self.count = np.concatenate([[1], size]).astype(np.float32)
 
     def chars(self, table: np.ndarray) -> np.ndarray:
         """Mean trigram embedding of every word."""
         out = np.zeros((len(self.word), table.shape[1]), np.float32)
-        if hasattr(self, "owner") and len(self.owner):
+        if len(self.owner):
             first = np.flatnonzero(np.diff(self.owner, prepend=0))
             out[self.owner[first]] = np.add.reduceat(table[self.tri], first, axis=0)
             out /= self.count[:, None]
@@ -81,30 +83,36 @@ class Words:
     def spread(self, grad: np.ndarray, table: np.ndarray) -> np.ndarray:
         """The gradient of the trigram table for a gradient per word."""
         out = np.zeros_like(table)
-        if hasattr(self, "owner") and len(self.owner):
+        if len(self.owner):
             np.add.at(out, self.tri, (grad / self.count[:, None])[self.owner])
         return out
 
 
 def windows_of(texts: list[str | None]) -> tuple[Words, np.ndarray, np.ndarray]:
     """(distinct words, word numbers by window, document of each window). An empty text has one empty window."""
-    number: dict[str, int] = {}
-    flat, starts, ends, owner, at = [], [], [], [], 0
-    for d, text in enumerate(texts):
-        own = [w for w in _SPLIT.split(text or "") if w]
-        for w in own:
-            if w not in number:
-                number[w] = len(number) + 1
-        flat += map(number.__getitem__, own)
-        n = max(1, -(-(len(own) - (WINDOW - STRIDE)) // STRIDE))
-        starts += range(at, at + n * STRIDE, STRIDE)
-        ends += [at + len(own)] * n
-        owner += [d] * n
-        at += len(own)
-    ids = np.array([*flat, *[0] * WINDOW], np.int64)
-    place = np.array(starts, np.int64)[:, None] + np.arange(WINDOW)
-    inside = place < np.array(ends, np.int64)[:, None]
-    return Words(list(number)), np.where(inside, ids[np.minimum(place, len(ids) - 1)], 0), np.array(owner, np.int64)
+    parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    data = _LETTERS[np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)]
+    inner = data > 0
+    edge = np.diff(inner.astype(np.int8), prepend=0)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    # a hash that does not depend on the place: sums of byte * B^place, divided by B^start
+    power = np.cumprod(np.full(len(data), _BASE, np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * power, dtype=np.uint64)])
+    back = np.cumprod(np.full(len(data), _BASE_INVERSE, np.uint64))
+    _, some, number = np.unique((sums[end] - sums[start]) * back[start], return_index=True, return_inverse=True)
+    h = (sums[end[some]] - sums[start[some]]) * back[start[some]]
+    doc_end = np.cumsum([len(p) + 1 for p in parts])
+    sizes = np.bincount(np.searchsorted(doc_end, start, "right"), minlength=len(parts)) if len(parts) else np.zeros(0, np.int64)
+    total = len(start)
+    ids = np.zeros(total + 1, np.int32)
+    ids[:total] = number + 1
+    n = np.maximum(1, -(-(sizes - (WINDOW - STRIDE)) // STRIDE))  # windows of each document
+    owner = np.repeat(np.arange(len(parts)), n)
+    last = np.cumsum(sizes)
+    starts = (last - sizes)[owner] + STRIDE * (np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n))
+    place = starts[:, None] + np.arange(WINDOW)
+    place = np.where(place < last[owner][:, None], place, total)
+    return Words(data, start[some], (end - start)[some], h), ids[place], owner
 
 
 class Net:
@@ -262,12 +270,11 @@ def _subset(words: Words, used: np.ndarray) -> Words:
     """The words numbered `used`, renumbered in that order after the padding."""
     out, used = object.__new__(Words), used[used > 0]
     out.word = np.concatenate([[0], words.word[used]])
-    if hasattr(words, "owner"):
-        lo, hi = np.searchsorted(words.owner, used), np.searchsorted(words.owner, used, "right")
-        n = hi - lo
-        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        out.tri, out.owner = words.tri[at], np.repeat(np.arange(1, len(used) + 1), n)
-        out.count = np.concatenate([[1], words.count[used]]).astype(np.float32)
+    lo, hi = np.searchsorted(words.owner, used), np.searchsorted(words.owner, used, "right")
+    n = hi - lo
+    at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    out.tri, out.owner = words.tri[at], np.repeat(np.arange(1, len(used) + 1), n)
+    out.count = np.concatenate([[1], words.count[used]]).astype(np.float32)
     return out
 
 
