@@ -30,7 +30,7 @@ from clickscope.llm.components import connected_components
 SHINGLE = 5
 SIMILARITY = 0.8
 FEATURE_BITS = 18
-BANDS, ROWS = 12, 4
+BANDS, ROWS = 12, 5
 SAMPLES = BANDS * ROWS
 TABLE_BITS = 15  # rows of the table of random variates, picked by a shingle's hash
 SEED = 7
@@ -117,8 +117,8 @@ class Sampler:
         self.b = rng.random(shape, dtype=np.float32)
         self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
 
-    def bands(self, h: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """One 64-bit key per band."""
+    def draw(self, h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One 64-bit key per band, and 32 bits of every sample."""
         best = np.full(SAMPLES, np.inf, np.float32)
         sample = np.zeros(SAMPLES, np.uint64)
         log_w = np.log(weight)[:, None]
@@ -137,23 +137,25 @@ class Sampler:
         out = np.zeros(BANDS, np.uint64)
         for k in range(ROWS):
             out = mix(out ^ sample[k::ROWS]) * _MUL
-        return out + np.arange(BANDS, dtype=np.uint64)
+        return out + np.arange(BANDS, dtype=np.uint64), (sample >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _sketch(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
         for batch in batches:
-            flat, sizes = [], []
-            for words in _documents(batch, "words"):
-                keys = sampler.bands(*weighted_set(words, weights.value)) if len(words) else np.empty(0, np.uint64)
-                flat.append(keys)
-                sizes.append(len(keys))
-            keys = pa.array(np.concatenate(flat).view(np.int64) if flat else np.empty(0, np.int64))
-            bounds = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            drawn = [sampler.draw(*weighted_set(words, weights.value)) if len(words) else None
+                     for words in _documents(batch, "words")]
+            some = np.array([x is not None for x in drawn], np.int64)
+
+            def lists(i, kind, width):
+                flat = np.concatenate([np.empty(0, kind), *[x[i].view(kind) for x in drawn if x is not None]])
+                bounds = np.concatenate([[0], np.cumsum(some * width)]).astype(np.int32)
+                return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
+
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "k1", "k2", "f1", "f2")] + [pa.ListArray.from_arrays(bounds, keys)],
-                names=["doc_id", "k1", "k2", "f1", "f2", "bands"])
+                [*[batch.column(c) for c in ("doc_id", "k1", "k2", "f1", "f2")], lists(0, np.int64, BANDS), lists(1, np.int32, SAMPLES)],
+                names=["doc_id", "k1", "k2", "f1", "f2", "bands", "samples"])
     return run
 
 
@@ -187,10 +189,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     words = docs.select("doc_id", k1.alias("k1"), k2.alias("k2"), _hashed(F.col("text")).alias("words"))
     words = words.withColumns({"f1": F.xxhash64("words"), "f2": F.xxhash64(F.lit(23), F.col("words"))})
     weights = spark.sparkContext.broadcast(feature_weights(words.select("words")))
-    sketches = settle(words.mapInArrow(_sketch(weights), "doc_id long, k1 long, k2 long, f1 long, f2 long, bands array<long>"),
+    sketches = settle(words.mapInArrow(_sketch(weights), "doc_id long, k1 long, k2 long, f1 long, f2 long, bands array<long>, samples array<int>"),
                       "sketches")
-    texts = sketches.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    banded = texts.select(F.col("f1").alias("node"), F.explode("bands").alias("bucket"))
+    texts = sketches.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
+    banded = texts.select(F.col("f1").alias("node"), "samples", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("lead")).where("size > 1")
     buckets = settle(banded.join(sizes, "bucket"), "buckets")
     nodes = settle(buckets.select(F.col("node").alias("f1")).distinct(), "nodes")
@@ -199,17 +201,24 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     links = _links(buckets, held, weights, similarity)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     roots = settle(connected_components(links).join(degree, "node"), "roots")
-    named = sketches.drop("bands").join(roots, F.col("f1") == F.col("node"), "left").withColumns(
+    named = sketches.drop("bands", "samples").join(roots, F.col("f1") == F.col("node"), "left").withColumns(
         {"root": F.coalesce("root", "f1"), "n_links": F.coalesce("n_links", F.lit(0))})
     named = settle(named.drop("node"), "named")
     names = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return named.join(names, "root").select("doc_id", "k1", "k2", "f1", "class_id", F.col("n_links").cast("long").alias("n_links"))
 
 
+def _agreed(a: str, b: str):
+    """The number of samples that two texts have in common."""
+    return sum((F.get(a, F.lit(i)) == F.get(b, F.lit(i))).cast("int") for i in range(SAMPLES))
+
+
 def _links(buckets: DataFrame, held: DataFrame, weights, similarity: float) -> DataFrame:
     """Verified links of texts in a common bucket, enough to join every class (see the module's text)."""
     hashed = held.select("f1", _hashed(F.col("text")).alias("words"))
     largest = buckets.agg(F.max("size")).first()[0] or 0
+    tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(SAMPLES * (similarity - 4.5 * (similarity * (1 - similarity) / SAMPLES) ** 0.5))
     labelled = buckets.withColumn("root", F.col("node"))
     leaders, links = 1, None
     while True:
@@ -217,11 +226,12 @@ def _links(buckets: DataFrame, held: DataFrame, weights, similarity: float) -> D
             chosen = labelled.where("node = lead")
         else:
             chosen = labelled.where(F.expr(f"pmod(xxhash64(node, bucket), size) < {leaders}"))
-        chosen = chosen.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        met = (labelled.join(chosen, "bucket").where("root <> root_a")
+        chosen = chosen.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("samples").alias("samples_a"))
+        met = (labelled.join(chosen, "bucket").where(F.expr("root <> root_a") & (_agreed("samples", "samples_a") >= least))
                .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
+        # pairs are few bytes but much work: a fixed number of tasks, whatever their size
         compared = (met.join(hashed.select(F.col("f1").alias("b"), F.col("words").alias("words_b")), "b")
-                    .join(hashed.select(F.col("f1").alias("a"), F.col("words").alias("words_a")), "a")
+                    .repartition(tasks, "a").join(hashed.select(F.col("f1").alias("a"), F.col("words").alias("words_a")), "a")
                     .select("a", "b", "words_a", "words_b"))
         new = settle(compared.mapInArrow(_verify(weights, similarity), "a long, b long"), "near-links")
         links = new if links is None else links.unionByName(new).distinct()
