@@ -15,18 +15,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 def ad_log_parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """PRJ3/PRJ4: 'timestamp_ms province city userid adid' -> typed columns + yyyyMMdd date key."""
+    """PRJ3/PRJ4: 'timestamp_ms province city userid adid' -> typed columns + yyyyMMdd date key.
+
+    A missing or non-numeric field is null; ``parsable`` tells such rows apart."""
     parts = F.split(F.col(value_col), " ")
+    field = lambda i: F.get(parts, F.lit(i))
     parsed = lines.select(
-        parts[0].try_cast("bigint").alias("timestamp_ms"),
-        parts[1].alias("province"),
-        parts[2].alias("city"),
-        parts[3].try_cast("bigint").alias("user_id"),
-        parts[4].try_cast("bigint").alias("ad_id"),
+        field(0).try_cast("bigint").alias("timestamp_ms"),
+        field(1).alias("province"),
+        field(2).alias("city"),
+        field(3).try_cast("bigint").alias("user_id"),
+        field(4).try_cast("bigint").alias("ad_id"),
     )
     return parsed.withColumn("date_key", F.date_format(F.timestamp_millis("timestamp_ms"), "yyyyMMdd"))
 
 
+def parsable() -> F.Column:
+    """True where every field of a parsed line is present."""
+    return F.array_position(F.array(*[F.col(c).isNull() for c in (
+        "timestamp_ms", "province", "city", "user_id", "ad_id")]), True) == 0
+
+
 def with_event_time(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("event_time", F.timestamp_millis("timestamp_ms"))
 

@@ -2,11 +2,10 @@
 
 Scale notes
 - Consecutive pages per session need the session's actions in time order. The default
-  ``page_transitions`` sorts globally by (session, time, event_id) with range partitioning,
-  so a hot session is spread over many tasks instead of landing in one window partition;
-  pairs that cross a task boundary are stitched from an edge table holding each task's
-  first and last row (two rows per task). ``page_transitions_window`` is the plain window
-  form, used as a cross-check.
+  ``page_transitions`` links them inside (session, hour) windows, so a hot session is spread over
+  its hours, and then links the last row of each hour to the first of the session's next one (two
+  rows per session and hour). ``page_transitions_window`` is the plain window form, used as a
+  cross-check. Both are JVM only and each row's place depends on its own values alone.
 - Pairs are cut to the target path (broadcast: its size is the parameter's length) before
   counting, and the count is a partial + final hash aggregate.
 - Rates are computed over at most len(path) rows.
@@ -16,97 +15,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickscope.functions import columns as C
 from clickscope.params import DEFAULT_TASK_ID
 
-PAIR_SCHEMA = T.StructType([
-    T.StructField("session_id", T.StringType()),
-    T.StructField("from_page", T.LongType()),
-    T.StructField("to_page", T.LongType()),
-])
+BUCKET_SECONDS = 3600
+
 
 def _ordered(actions: DataFrame) -> DataFrame:
+    """Session, time in seconds, tie-breaker (event_id, else page_id) and page."""
+    tie = "event_id" if "event_id" in actions.columns else "page_id"
     return actions.select("session_id", F.unix_seconds(C.parse_time("action_time")).alias("t"),
-                          "event_id", "page_id")
+                          F.col(tie).alias("tie"), "page_id")
 
 
 def page_transitions_window(actions: DataFrame) -> DataFrame:
-    """WIN4 (window form): (session, page, next page) in (time, event_id) order."""
-    w = Window.partitionBy("session_id").orderBy("t", "event_id")
+    """WIN4 (window form): (session, page, next page) in (time, event_id) order. A next page that is
+    null gives no pair; null sessions form one group."""
+    w = Window.partitionBy("session_id").orderBy("t", "tie")
     return (_ordered(actions)
             .select("session_id", F.col("page_id").alias("from_page"),
                     F.lead("page_id").over(w).alias("to_page"))
             .where(F.col("to_page").isNotNull()))
 
 
-def _pair_emitter():
-    """The per-task pair emitter, built as a closure so it is shipped to the Python workers by
-    value (workers need not have this package on their path)."""
-    import numpy as np
-    import pandas as pd
-
-    def pairs_in_partition(batches):
-        """Rows arrive sorted by (session, t, event_id): emit the pairs of consecutive rows of
-        one session inside this task (batch borders included)."""
-        prev_sid, prev_page = None, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            sid = pdf["session_id"].to_numpy(dtype=object)
-            page = pdf["page_id"].to_numpy(dtype="int64")
-            if prev_sid is not None:
-                sid = np.concatenate([np.array([prev_sid], dtype=object), sid])
-                page = np.concatenate([np.array([prev_page], dtype="int64"), page])
-            same = sid[1:] == sid[:-1]
-            out = pd.DataFrame({"session_id": sid[1:][same], "from_page": page[:-1][same],
-                                "to_page": page[1:][same]})
-            prev_sid, prev_page = sid[-1], int(page[-1])
-            if len(out):
-                yield out
-
-    return pairs_in_partition
-
-
-def _ranged(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Actions range-partitioned on (session, time, event_id) into a fixed number of tasks."""
-    n = num_partitions or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return _ordered(actions).repartitionByRange(n, "session_id", "t", "event_id")
-
-
-def page_transitions(actions: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """WIN4: (session, page, next page) in (time, event_id) order, skew-safe.
-
-    The explicit partition count keeps AQE from coalescing the range exchange, so the
-    Python branch (pairs inside a task) and the edge branch (first/last row per task) see
-    the same task boundaries. Pairs across a boundary are found in the edge table (two
-    rows per task) by ordering it on the sort key: the row before a task's first row is
-    the previous non-empty task's last row.
-    """
-    ranged = _ranged(actions, num_partitions)
-    inner = (ranged.sortWithinPartitions("session_id", "t", "event_id")
-             .select("session_id", "page_id")
-             .mapInPandas(_pair_emitter(), PAIR_SCHEMA))
-    key = F.struct("session_id", "t", "event_id", "page_id")
-    per_task = (ranged.select(F.spark_partition_id().alias("part"), key.alias("k"))
-                .groupBy("part").agg(F.min("k").alias("first"), F.max("k").alias("last")))
-    edges = per_task.select(F.explode(F.array(
-        F.struct(F.col("first").alias("k"), F.lit(0).alias("kind")),
-        F.struct(F.col("last").alias("k"), F.lit(1).alias("kind")))).alias("e")).select(
-        F.col("e.k.session_id").alias("session_id"), F.col("e.k.t").alias("t"),
-        F.col("e.k.event_id").alias("event_id"), F.col("e.k.page_id").alias("page_id"),
-        F.col("e.kind").alias("kind"))
-    # two rows per task: bounded by the partition count, one ordered window is fine.
-    w = Window.orderBy("session_id", "t", "event_id", "kind")
-    linked = edges.select("session_id", "page_id", "kind",
-                          F.lag("session_id").over(w).alias("p_sid"),
-                          F.lag("page_id").over(w).alias("p_page"),
-                          F.lag("kind").over(w).alias("p_kind"))
-    cross = linked.where((F.col("kind") == 0) & (F.col("p_kind") == 1)
-                         & (F.col("p_sid") == F.col("session_id"))).select(
-        "session_id", F.col("p_page").alias("from_page"), F.col("page_id").alias("to_page"))
-    return inner.unionByName(cross)
+def page_transitions(actions: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """WIN4: (session, page, next page) in (time, event_id) order, skew-safe; the same rows as the
+    window form."""
+    w = Window.partitionBy("session_id", "b").orderBy("t", "tie")
+    linked = (_ordered(actions).withColumn("b", F.floor(F.col("t") / int(bucket_seconds)))
+              .select("session_id", "b", "page_id", F.lead("page_id").over(w).alias("next"),
+                      (F.lag(F.lit(1)).over(w).isNull()).alias("is_first"),
+                      (F.lead(F.lit(1)).over(w).isNull()).alias("is_last")))
+    inner = linked.where("next is not null").select("session_id", F.col("page_id").alias("from_page"),
+                                                    F.col("next").alias("to_page"))
+    edges = (linked.where("is_first or is_last").groupBy("session_id", "b")
+             .agg(F.max(F.when(F.col("is_first"), F.col("page_id"))).alias("first_page"),
+                  F.max(F.when(F.col("is_last"), F.col("page_id"))).alias("last_page")))
+    # one row per session and hour
+    across = Window.partitionBy("session_id").orderBy("b")
+    cross = edges.select("session_id", F.col("last_page").alias("from_page"),
+                         F.lead("first_page").over(across).alias("to_page"))
+    return inner.unionByName(cross.where("to_page is not null"))
 
 
 def target_path(spark: SparkSession, flow) -> DataFrame:
@@ -138,12 +88,8 @@ def page_convert_rate(actions: DataFrame, flow, transitions: DataFrame | None =
     path = target_path(spark, flow)
     if transitions is None:
         transitions = page_transitions(actions)
-        # counted off the same range exchange as the transitions: no second scan of the actions
-        counted = _ranged(actions)
-    else:
-        counted = actions
     splits = page_split_count(transitions, path)
-    start = start_page_count(counted, list(flow)[0]).select(
+    start = start_page_count(actions, list(flow)[0]).select(
         F.lit(0).alias("step"), F.lit("start").alias("page_split"),
         F.col("start_page_count").alias("split_count"))
     # at most len(flow) rows: a single ordered window is fine.

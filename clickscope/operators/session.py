@@ -206,27 +206,19 @@ def session_extract_detail(extract: DataFrame, actions: DataFrame,
         F.lit(taskid).alias("taskid"), *DETAIL_COLUMNS)
 
 
-# Actions of one session handled per task in the session semi join; larger sessions are salted.
-HOT_SESSION_ROWS = 4_000_000
+# Every session's actions are spread over this many parts in the session semi join.
+SESSION_SALTS = 8
 
 
-def session_filtered_actions(actions: DataFrame, filtered: DataFrame,
-                             hot_rows: int = HOT_SESSION_ROWS) -> DataFrame:
+def session_filtered_actions(actions: DataFrame, filtered: DataFrame, salts: int = SESSION_SALTS) -> DataFrame:
     """JN2: actions of the sessions that passed the filter (semi join on session_id).
 
     Skew: the session side reaches this join straight from the roll-up's aggregate, so AQE's
-    skew-join split cannot apply. Instead a session with more than ``hot_rows`` actions
-    (``step_length`` from the roll-up) gets n = ceil(step_length / hot_rows) salts: its actions
-    take salt pmod(xxhash64(event_id), n) and its session row is repeated n times, so the
-    join on (session_id, salt) spreads it over n tasks. The hot list holds at most
-    (number of actions / hot_rows) rows -- a proven bound -- and is broadcast; sessions that
-    are not hot keep salt 0.
+    skew-join split cannot apply. Instead every session takes ``salts`` parts: its row is repeated
+    per part (one short row each) and its actions fall into a part by a hash of their time and
+    event_id (page_id where the table has none). One path for every session, whatever its size.
     """
-    n = F.greatest(F.lit(1), F.ceil(F.col("step_length") / F.lit(int(hot_rows)))).cast("int")
-    sessions = filtered.select("session_id", n.alias("_n"))
-    hot = F.broadcast(sessions.where(F.col("_n") > 1))
-    salted = (actions.join(hot, "session_id", "left")
-              .withColumn("_salt", F.when(F.col("_n").isNull(), F.lit(0))
-                          .otherwise(F.pmod(F.xxhash64("event_id"), F.col("_n")).cast("int"))))
-    keys = sessions.select("session_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_salt"))
+    tie = "event_id" if "event_id" in actions.columns else "page_id"
+    salted = actions.withColumn("_salt", F.pmod(F.xxhash64("action_time", tie), F.lit(int(salts))).cast("int"))
+    keys = filtered.select("session_id", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))).alias("_salt"))
     return salted.join(keys, ["session_id", "_salt"], "left_semi").select(*actions.columns)

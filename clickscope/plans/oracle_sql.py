@@ -300,9 +300,7 @@ for _k, _sql in {
     FROM api) r WHERE rn <= 3""",
     "group_concat_distinct": """SELECT area,
        NULLIF(array_to_string(list_sort(list_distinct(
-           list(CAST(city_id AS VARCHAR) || ':' || city_name))), ','), '') AS city_infos,
-       NULLIF(array_to_string(list_sort(list_distinct(list(CAST(product_id AS VARCHAR)))), ','), '')
-         AS product_ids
+           list(CAST(city_id AS VARCHAR) || ':' || city_name))), ','), '') AS city_infos
   FROM acb GROUP BY area""",
 }.items():
     register(_k, _sql, AREA_CTES)
@@ -428,11 +426,23 @@ register("scalar_functions", f"""SELECT event_id,
   FROM va""")
 
 
-# ---- dynamic blacklist: every branch filtered by the final blacklist (seed + new users) ----
+# ---- dynamic blacklist: three batches by event_id, newest first; each is filtered by the list as it
+# stood before the batch, then adds the users whose running count passes the threshold
 
+_BATCH = "2 - event_id * 3 // ((SELECT max(event_id) FROM events) + 1)"
+_NEXT = """SELECT user_id FROM {old} UNION
+SELECT user_id FROM (SELECT strftime(make_timestamp(timestamp_ms * 1000), '%Y%m%d') AS d, user_id, ad_id, count(*) AS n
+                       FROM ({kept}) k GROUP BY 1, 2, 3) c WHERE n > {limit}"""
 DYN_CTES = AD_CTES + [
-    ("fbl", "SELECT user_id FROM bl UNION SELECT user_id FROM ablack"),
-    ("dadf", "SELECT * FROM adp WHERE user_id NOT IN (SELECT user_id FROM fbl)"),
+    ("arrived", f"""SELECT {_BATCH} AS batch, epoch_us(ts) // 1000 AS timestamp_ms, CAST(user_id % 10 AS VARCHAR) AS province,
+       'c_' || CAST(event_id % 3 AS VARCHAR) AS city, CAST(user_id AS BIGINT) AS user_id, CAST(k % 20 AS BIGINT) AS ad_id,
+       strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y%m%d') AS date_key FROM ev"""),
+    ("k0", "SELECT * FROM arrived WHERE batch = 0 AND user_id NOT IN (SELECT user_id FROM bl)"),
+    ("l1", _NEXT.format(old="bl", kept="SELECT * FROM k0", limit=AD_THRESHOLD)),
+    ("k1", "SELECT * FROM arrived WHERE batch = 1 AND user_id NOT IN (SELECT user_id FROM l1)"),
+    ("l2", _NEXT.format(old="l1", kept="SELECT * FROM k0 UNION ALL SELECT * FROM k1", limit=AD_THRESHOLD)),
+    ("k2", "SELECT * FROM arrived WHERE batch = 2 AND user_id NOT IN (SELECT user_id FROM l2)"),
+    ("dadf", "SELECT * FROM k0 UNION ALL SELECT * FROM k1 UNION ALL SELECT * FROM k2"),
     ("dstat", "SELECT date_key, province, city, ad_id, count(*) AS click_count FROM dadf GROUP BY 1, 2, 3, 4"),
     ("dmin", "SELECT timestamp_ms // 60000 AS m, ad_id, count(*) AS n FROM dadf GROUP BY 1, 2"),
 ]

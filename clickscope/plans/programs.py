@@ -71,9 +71,7 @@ def run_area_program(actions: DataFrame, products: DataFrame, params: TaskParams
 
 def run_ad_program(spark, cfg: ST.StreamConfig, root: str, seed_blacklist: DataFrame | None = None,
                    threshold: int = 100):
-    """The ad-click stream: the blacklist query, then every other output filtered by the
-    blacklist as it stands at each batch (tables under ``root``). With a processing-time
-    trigger both queries keep running and are returned; with availableNow they drain and stop."""
-    bl = ST.run_blacklist(spark, cfg, f"{root}/blacklist_state", seed=seed_blacklist, threshold=threshold)
-    rest = ST.run_dynamic(spark, cfg, f"{root}/stats", blacklist_root=f"{root}/blacklist_state")
-    return bl, rest
+    """The ad-click stream: every batch is filtered by the blacklist as it stood before it, feeds all
+    outputs and extends the list (tables under ``root``/stats). With a processing-time trigger the query
+    keeps running and is returned; with availableNow it drains and stops."""
+    return ST.run_dynamic(spark, cfg, f"{root}/stats", seed=seed_blacklist, threshold=threshold)

@@ -119,21 +119,26 @@ def run_blacklist(spark: SparkSession, cfg: StreamConfig, root: str, seed: DataF
     black = SnapshotTable(spark, f"{root}/blacklist", BLACKLIST_SCHEMA)
     if black.latest() is None:
         black.apply(0, lambda old: old if seed is None else seed.select("user_id"))
-    keys = ["date_key", "user_id", "ad_id"]
 
     def batch(df: DataFrame, batch_id: int) -> None:
         v = batch_id + 1
         listed = black.read_before(v)
-        delta = ADS.ad_user_click_count(ADS.ad_blacklist_filter(df, listed))
-        totals = counts.apply(v, delta, lambda old, d: SINK.upsert_add(old, d, keys))
-        touched = totals.join(delta.select(*keys), keys, "left_semi")
-        black.apply(v, lambda old: SINK.blacklist_insert(old, ADS.ad_blacklist(touched, threshold)))
+        _extend_blacklist(counts, black, v, ADS.ad_blacklist_filter(df, listed), threshold)
         counts.vacuum(KEEP_VERSIONS)
         black.vacuum(KEEP_VERSIONS)
 
     return _run(parsed_stream(spark, cfg), batch, checkpoint or f"{root}/_ckpt_blacklist", cfg, "append")
 
 
+def _extend_blacklist(counts, black, v: int, kept: DataFrame, threshold: int) -> None:
+    """Add the batch's clicks to the running counts; list every user whose count now passes the threshold."""
+    keys = ["date_key", "user_id", "ad_id"]
+    delta = ADS.ad_user_click_count(kept)
+    totals = counts.apply(v, delta, lambda old, d: SINK.upsert_add(old, d, keys))
+    touched = totals.join(delta.select(*keys), keys, "left_semi")
+    black.apply(v, lambda old: SINK.blacklist_insert(old, ADS.ad_blacklist(touched, threshold)))
+
+
 # ---- STR4: cumulative clicks per (date, province, city, ad) --------------------------------
 
 def _filtered_stream(spark, cfg, blacklist: DataFrame | None) -> DataFrame:
@@ -142,37 +147,27 @@ def _filtered_stream(spark, cfg, blacklist: DataFrame | None) -> DataFrame:
     return s if blacklist is None else ADS.ad_blacklist_filter(s, blacklist)
 
 
-def _stat_stream(spark, cfg, blacklist, state_watermark: str | None) -> DataFrame:
-    s = _filtered_stream(spark, cfg, blacklist)
-    keys = ["date_key", "province", "city", "ad_id"]
-    if state_watermark:
-        # bounded state: a day's keys are dropped once the watermark passes the day's end.
-        s = s.withWatermark("event_time", state_watermark)
-        return (s.groupBy(F.window("event_time", "1 day"), *keys)
-                .agg(F.count(F.lit(1)).alias("click_count")).drop("window"))
-    return s.groupBy(*keys).agg(F.count(F.lit(1)).alias("click_count"))
-
-
 def run_ad_stat(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
-                state_watermark: str | None = None, checkpoint: str | None = None):
-    """Running totals from the state store (update mode), upserted into ``<root>/ad_stat``."""
+                checkpoint: str | None = None):
+    """Running totals kept in ``<root>/ad_stat``: each batch adds its counts. No state store, no
+    watermark: rows of any age count."""
     table = DaySnapshotTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, F.col("date_key"))
     keys = ["date_key", "province", "city", "ad_id"]
 
     def batch(df, batch_id):
-        table.apply(batch_id + 1, df, lambda old, d: SINK.upsert_replace(old, d, keys))
+        table.apply(batch_id + 1, ADS.ad_stat(df), lambda old, d: SINK.upsert_add(old, d, keys))
         table.vacuum(KEEP_VERSIONS)
 
-    return _run(_stat_stream(spark, cfg, blacklist, state_watermark), batch,
-                checkpoint or f"{root}/_ckpt_ad_stat", cfg)
+    return _run(_filtered_stream(spark, cfg, blacklist), batch,
+                checkpoint or f"{root}/_ckpt_ad_stat", cfg, "append")
 
 
 # ---- STR7: top-3 ads per (date, province) ---------------------------------------------------
 
 def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                       n: int = 3, checkpoint: str | None = None):
-    """Rank cannot run on a streaming DataFrame: totals come from the state store, and each
-    batch re-ranks only the (date, province) groups it touched, then replaces those groups."""
+    """Rank cannot run on a streaming DataFrame: totals are kept in a table, and each batch
+    re-ranks only the (date, province) groups it touched, then replaces those groups."""
     stat = DaySnapshotTable(spark, f"{root}/ad_stat_for_top3", AD_STAT_SCHEMA, F.col("date_key"))
     top = DaySnapshotTable(spark, f"{root}/province_top3", TOP3_SCHEMA, F.col("date_key"))
     keys = ["date_key", "province", "city", "ad_id"]
@@ -180,35 +175,30 @@ def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame
 
     def batch(df, batch_id):
         v = batch_id + 1
-        totals = stat.apply(v, df, lambda old, d: SINK.upsert_replace(old, d, keys))
+        totals = stat.apply(v, ADS.ad_stat(df), lambda old, d: SINK.upsert_add(old, d, keys))
         touched = totals.join(df.select(*groups).distinct(), groups, "left_semi")
         ranked = ADS.ad_province_top3(ADS.ad_province_count(touched), n)
         top.apply(v, ranked, lambda old, d: SINK.replace_group(old, d, groups))
         stat.vacuum(KEEP_VERSIONS)
         top.vacuum(KEEP_VERSIONS)
 
-    return _run(_stat_stream(spark, cfg, blacklist, None), batch,
-                checkpoint or f"{root}/_ckpt_top3", cfg)
+    return _run(_filtered_stream(spark, cfg, blacklist), batch,
+                checkpoint or f"{root}/_ckpt_top3", cfg, "append")
 
 
 # ---- STR6: clicks per minute and ad ---------------------------------------------------------
 
 def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
-                    watermark: str = "60 minutes", checkpoint: str | None = None):
+                    checkpoint: str | None = None):
+    """Clicks per minute and ad kept in ``<root>/click_trend``; late rows add to their minute."""
     table = DaySnapshotTable(spark, f"{root}/click_trend", TREND_SCHEMA, F.col("date"))
     keys = ["date", "hour", "minute", "ad_id"]
-    s = (_filtered_stream(spark, cfg, blacklist).withWatermark("event_time", watermark)
-         .groupBy(F.window("event_time", "1 minute").alias("w"), "ad_id")
-         .agg(F.count(F.lit(1)).alias("click_count")))
 
     def batch(df, batch_id):
-        t = F.col("w.start")
-        rows = df.select(F.date_format(t, "yyyyMMdd").alias("date"), F.date_format(t, "HH").alias("hour"),
-                         F.date_format(t, "mm").alias("minute"), "ad_id", "click_count")
-        table.apply(batch_id + 1, rows, lambda old, d: SINK.upsert_replace(old, d, keys))
+        table.apply(batch_id + 1, ADS.ad_click_trend(df), lambda old, d: SINK.upsert_add(old, d, keys))
         table.vacuum(KEEP_VERSIONS)
 
-    return _run(s, batch, checkpoint or f"{root}/_ckpt_trend", cfg)
+    return _run(_filtered_stream(spark, cfg, blacklist), batch, checkpoint or f"{root}/_ckpt_trend", cfg, "append")
 
 
 # ---- STR5: sliding 60-minute window, 1-minute slide ----------------------------------------
@@ -221,8 +211,9 @@ def _refresh_windows(minutes: DaySnapshotTable, table: DaySnapshotTable, v: int,
                      window_minutes: int, slide_minutes: int) -> None:
     """Recompute the windows holding a minute of ``rows`` (minute, ad_id, ...) from the stored
     minutes of the days within one window length, and upsert them into ``table``."""
-    offsets = rows.select("minute", F.explode(F.array(
-        F.lit(-window_minutes), F.lit(0), F.lit(window_minutes))).alias("o"))
+    # every day from one window length before to one after
+    reach = [*range(-window_minutes, window_minutes, 1440), window_minutes]
+    offsets = rows.select("minute", F.explode(F.array(*[F.lit(o) for o in reach])).alias("o"))
     # a handful of day values, used only to choose which day folders to read
     days = {r[0] for r in offsets.select(_minute_day(F.col("minute") + F.col("o")).alias("d"))
             .distinct().collect()}
@@ -236,40 +227,44 @@ def _refresh_windows(minutes: DaySnapshotTable, table: DaySnapshotTable, v: int,
 
 
 def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
-                    window_minutes: int = 60, slide_minutes: int = 1, watermark: str = "60 minutes",
-                    checkpoint: str | None = None):
-    """Sliding windows without 60x state: the state store keeps per-minute counts; each batch
-    upserts the updated minutes into ``recent_minutes`` and recomputes only the windows that
-    contain an updated minute, from the stored minutes of the days within a window length."""
+                    window_minutes: int = 60, slide_minutes: int = 1, checkpoint: str | None = None):
+    """Sliding windows from per-minute totals: each batch adds its minutes to ``recent_minutes`` and
+    recomputes only the windows that contain one of them, from the stored minutes of the days within
+    a window length. Rows of any age count."""
     minutes = DaySnapshotTable(spark, f"{root}/recent_minutes", MINUTE_SCHEMA, _minute_day(F.col("minute")))
     table = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA, F.substring("window_start", 1, 10))
-    s = (_filtered_stream(spark, cfg, blacklist).withWatermark("event_time", watermark)
-         .groupBy(F.window("event_time", "1 minute").alias("w"), "ad_id")
-         .agg(F.count(F.lit(1)).alias("click_count")))
 
     def batch(df, batch_id):
         v = batch_id + 1
-        rows = df.select(F.expr("unix_seconds(w.start) div 60").alias("minute"), "ad_id", "click_count")
-        minutes.apply(v, rows, lambda old, d: SINK.upsert_replace(old, d, ["minute", "ad_id"]))
+        rows = _per_minute(df)
+        minutes.apply(v, rows, lambda old, d: SINK.upsert_add(old, d, ["minute", "ad_id"]))
         _refresh_windows(minutes, table, v, rows, window_minutes, slide_minutes)
         minutes.vacuum(KEEP_VERSIONS)
         table.vacuum(KEEP_VERSIONS)
 
-    return _run(s, batch, checkpoint or f"{root}/_ckpt_recent", cfg)
+    return _run(_filtered_stream(spark, cfg, blacklist), batch, checkpoint or f"{root}/_ckpt_recent", cfg, "append")
+
+
+def _per_minute(clicks: DataFrame) -> DataFrame:
+    return (clicks.groupBy(F.expr("timestamp_ms div 60000").alias("minute"), "ad_id")
+            .agg(F.count(F.lit(1)).alias("click_count")))
 
 
 # ---- STR2 for every branch: per-batch blacklist, totals kept in the sink tables --------------
 
-def run_dynamic(spark, cfg: StreamConfig, root: str, blacklist_root: str, window_minutes: int = 60,
-                slide_minutes: int = 1, checkpoint: str | None = None):
-    """The original layout: one stream, each micro-batch filtered by the blacklist as it stands
-    at that batch (the table ``run_blacklist`` maintains under ``blacklist_root``), feeding every
-    output. Running totals live in the versioned day-partitioned tables (additive upsert of the
-    batch's counts), so there is no state store and no watermark: late rows still count.
+def run_dynamic(spark, cfg: StreamConfig, root: str, seed: DataFrame | None = None, threshold: int = 100,
+                window_minutes: int = 60, slide_minutes: int = 1, checkpoint: str | None = None):
+    """The original layout: one stream. Each micro-batch is filtered by the blacklist as it stood before the
+    batch (version batch id; version 0 is the seed), feeds every output, and then extends the list. Running
+    totals live in the versioned day-partitioned tables, so there is no state store and no watermark.
 
-    Tables under ``root``: ad_stat, province_top3, click_trend, recent_minutes, recent_hour.
+    Tables under ``root``: blacklist, user_click_count, ad_stat, province_top3, click_trend, recent_minutes,
+    recent_hour.
     """
-    black = SnapshotTable(spark, f"{blacklist_root}/blacklist", BLACKLIST_SCHEMA)
+    black = SnapshotTable(spark, f"{root}/blacklist", BLACKLIST_SCHEMA)
+    if black.latest() is None:
+        black.apply(0, lambda old: old if seed is None else seed.select("user_id"))
+    counts = DaySnapshotTable(spark, f"{root}/user_click_count", USER_COUNT_SCHEMA, F.col("date_key"))
     stat = DaySnapshotTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, F.col("date_key"))
     top = DaySnapshotTable(spark, f"{root}/province_top3", TOP3_SCHEMA, F.col("date_key"))
     trend = DaySnapshotTable(spark, f"{root}/click_trend", TREND_SCHEMA, F.col("date"))
@@ -280,20 +275,20 @@ def run_dynamic(spark, cfg: StreamConfig, root: str, blacklist_root: str, window
 
     def batch(df, batch_id):
         v = batch_id + 1
-        kept = ADS.ad_blacklist_filter(df, black.read()).persist()
+        kept = ADS.ad_blacklist_filter(df, black.read_before(v)).persist()
         try:
             totals = stat.apply(v, ADS.ad_stat(kept), lambda old, d: SINK.upsert_add(old, d, stat_keys))
             ranked = ADS.ad_province_top3(ADS.ad_province_count(totals))
             top.apply(v, ranked, lambda old, d: SINK.replace_group(old, d, groups))
             trend.apply(v, ADS.ad_click_trend(kept),
                         lambda old, d: SINK.upsert_add(old, d, ["date", "hour", "minute", "ad_id"]))
-            per_min = (kept.groupBy(F.expr("timestamp_ms div 60000").alias("minute"), "ad_id")
-                       .agg(F.count(F.lit(1)).alias("click_count")))
+            per_min = _per_minute(kept)
             minutes.apply(v, per_min, lambda old, d: SINK.upsert_add(old, d, ["minute", "ad_id"]))
             _refresh_windows(minutes, recent, v, per_min, window_minutes, slide_minutes)
+            _extend_blacklist(counts, black, v, kept, threshold)
         finally:
             kept.unpersist()
-        for t in (stat, top, trend, minutes, recent):
+        for t in (stat, top, trend, minutes, recent, counts, black):
             t.vacuum(KEEP_VERSIONS)
 
     return _run(parsed_stream(spark, cfg), batch, checkpoint or f"{root}/_ckpt_dynamic", cfg, "append")

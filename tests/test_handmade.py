@@ -50,7 +50,7 @@ def test_unpadded_hour_sorts_by_time(spark):
     r = S.session_summary(a).collect()[0]
     assert r["start_time"] == "2019-08-28 05:03:04"
     assert r["visit_length"] == 9 * 3600 + 56 * 60 + 56
-    pairs = rows_of(FUN.page_transitions(a, num_partitions=2))
+    pairs = rows_of(FUN.page_transitions(a, bucket_seconds=60))
     assert pairs == [("s1", 1, 2)]
 
 
@@ -177,7 +177,7 @@ def test_hot_session_transitions_match_window(spark, parts):
     hot = _session(spark, [i % 10 for i in range(1500)], sid="hot")
     cold = [r for k in range(20) for r in _session(spark, [k % 10, (k + 3) % 10, k % 7], sid=f"c{k}")]
     a = actions(spark, *(hot + cold))
-    assert rows_of(FUN.page_transitions(a, num_partitions=parts)) == rows_of(FUN.page_transitions_window(a))
+    assert rows_of(FUN.page_transitions(a, bucket_seconds=parts)) == rows_of(FUN.page_transitions_window(a))
 
 
 def test_day_snapshot_rewrites_only_touched_days(spark, tmp_path):
@@ -280,14 +280,14 @@ def test_task_params_from_json_dict():
     assert p.target_page_flow == (1, 2, 3) and p.professionals == ()
 
 
-@pytest.mark.parametrize("hot_rows", [1, 7, 1000])
-def test_salted_session_semi_join(spark, hot_rows):
+@pytest.mark.parametrize("salts", [1, 7, 100])
+def test_salted_session_semi_join(spark, salts):
     hot = [dict(session_id="hot", page_id=i % 10, action_time=f"2024-01-01 00:{i // 60 % 60:02d}:{i % 60:02d}")
            for i in range(300)]
     cold = [dict(session_id=f"c{k}", page_id=k % 10) for k in range(30)]
     a = actions(spark, *(hot + cold))
     summ = S.session_summary(a).where(F.col("session_id") != "c3")  # c3 filtered out
-    got = rows_of(S.session_filtered_actions(a, summ, hot_rows=hot_rows))
+    got = rows_of(S.session_filtered_actions(a, summ, salts=salts))
     want = rows_of(a.join(summ.select("session_id"), "session_id", "left_semi").select(*a.columns))
     assert got == want and len(got) == 329
 
@@ -304,3 +304,21 @@ def test_read_table_formats(spark, tmp_path, fmt):
     (writer.option("header", "true").csv(path) if fmt == "csv" else writer.format(fmt).save(path))
     back = SRC.read_table(spark, path, USER_INFO, fmt=fmt).select(*USER_INFO.fieldNames())
     assert rows_of(back) == rows_of(users)
+
+
+def test_transitions_with_null_pages_sessions_and_no_event_id(spark):
+    rows = [("a", "2024-01-01 00:59:59", 1), ("a", "2024-01-01 01:00:01", None), ("a", "2024-01-01 01:00:02", 3),
+            ("a", "2024-01-01 05:00:00", 4), (None, "2024-01-01 00:00:00", 7), (None, "2024-01-01 09:00:00", 8)]
+    a = spark.createDataFrame(rows, "session_id string, action_time string, page_id long")
+    got = sorted(FUN.page_transitions(a).collect(), key=str)
+    assert got == sorted(FUN.page_transitions_window(a).collect(), key=str)
+    assert [tuple(r) for r in got] == sorted([("a", 3, 4), ("a", None, 3), (None, 7, 8)], key=lambda r: "Row(session_id=%r, from_page=%r, to_page=%r)" % r)
+    summ = spark.createDataFrame([("a",)], "session_id string")
+    assert S.session_filtered_actions(a, summ).count() == 4
+
+
+def test_short_ad_lines_become_nulls(spark):
+    from clickscope.operators import ads as ADS
+    lines = spark.createDataFrame([("1700000000000 p c 5 6",), ("1700000000000 p",), ("x p c y z",), ("",), (None,)], "value string")
+    parsed = ADS.ad_log_parse(lines)
+    assert parsed.count() == 5 and parsed.where(ADS.parsable()).count() == 1
