@@ -22,21 +22,26 @@ def _towards_smallest(edges: DataFrame, keep_larger: bool) -> DataFrame:
             .unionByName(low.select("u", F.col("low").alias("v"))))
 
 
+def _settled(state: DataFrame) -> bool:
+    """True if every edge leads from a node with no other edge to the smallest node of its component."""
+    ends = state.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("n_up")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("n_up")))).alias("e"))
+    seen = ends.groupBy("e.node").agg(F.sum("e.n_up").alias("n_up"), F.count("*").alias("n"))
+    return not seen.where("n_up > 0 and n > 1").agg(F.count("*")).first()[0]
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """edges: columns a, b. Returns node, root: the smallest node of its component.
+    """edges: columns a, b (of a written table; they are read twice). Returns node, root: the smallest node
+    of its component.
 
     Loops, repeated and null edges are ignored; nodes without an edge to another node are not returned.
     """
-    state = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                   .distinct(), "components")
-    mark = None
+    state = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     for _ in range(max_rounds):
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _towards_smallest(both, keep_larger=True).where("u <> v").distinct()
+        large = _towards_smallest(both, keep_larger=True).where("u <> v")
         state = settle(_towards_smallest(large, keep_larger=False).where("u <> v").distinct(), "components")
-        new = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if new == mark:
+        if _settled(state):
             return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        mark = new
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

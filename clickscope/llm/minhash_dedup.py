@@ -8,9 +8,10 @@ IDF count them), so the table of frequencies has a fixed size at any scale and c
 Equal word sequences form one distinct text. Each distinct text draws SAMPLES consistent samples (two
 texts agree on one with a probability equal to their weighted Jaccard similarity), which are banded. Texts
 that share a band are candidates. In a bucket, all members are compared with one leader; members that are
-not yet in the leaders' classes meet more leaders in each further round until every pair of a bucket that
-still lies in different classes was compared: large groups cost one comparison per member, and no pair is
-lost to a cap. A link needs a true weighted Jaccard similarity of at least `similarity`.
+not yet in the leaders' classes meet more leaders in each further round, or all at once where that makes no
+more pairs than the next round of leaders, until every pair of a bucket that still lies in different classes
+was compared: large groups cost one comparison per member, and no pair is lost to a cap. A link needs a true
+weighted Jaccard similarity of at least `similarity`.
 
 Python runs only inside tasks on Arrow batches. What reaches the driver is the frequency table.
 """
@@ -198,9 +199,9 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     nodes = settle(buckets.select(F.col("node").alias("f1")).distinct(), "nodes")
     held = settle(docs.select("text", _hashed(F.col("text")).alias("words")).select("text", F.xxhash64("words").alias("f1"))
                   .join(nodes, "f1", "left_semi").groupBy("f1").agg(F.min("text").alias("text")), "texts")
-    links = _links(buckets, held, weights, similarity)
+    links, classes = _links(buckets, held, weights, similarity)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    roots = settle(connected_components(links).join(degree, "node"), "roots")
+    roots = settle(classes.join(degree, "node"), "roots")
     named = sketches.drop("bands", "samples").join(roots, F.col("f1") == F.col("node"), "left").withColumns(
         {"root": F.coalesce("root", "f1"), "n_links": F.coalesce("n_links", F.lit(0))})
     named = settle(named.drop("node"), "named")
@@ -213,19 +214,15 @@ def _agreed(a: str, b: str):
     return sum((F.get(a, F.lit(i)) == F.get(b, F.lit(i))).cast("int") for i in range(SAMPLES))
 
 
-def _links(buckets: DataFrame, held: DataFrame, weights, similarity: float) -> DataFrame:
-    """Verified links of texts in a common bucket, enough to join every class (see the module's text)."""
+def _links(buckets: DataFrame, held: DataFrame, weights, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Verified links of texts in a common bucket, enough to join every class (see the module's text), and
+    the root of every linked text."""
     hashed = held.select("f1", _hashed(F.col("text")).alias("words"))
-    largest = buckets.agg(F.max("size")).first()[0] or 0
     tasks = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     least = int(SAMPLES * (similarity - 4.5 * (similarity * (1 - similarity) / SAMPLES) ** 0.5))
     labelled = buckets.withColumn("root", F.col("node"))
-    leaders, links = 1, None
+    chosen, leaders, links, roots, last = labelled.where("node = lead"), 1, None, None, False
     while True:
-        if leaders == 1:
-            chosen = labelled.where("node = lead")
-        else:
-            chosen = labelled.where(F.expr(f"pmod(xxhash64(node, bucket), size) < {leaders}"))
         chosen = chosen.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("samples").alias("samples_a"))
         met = (labelled.join(chosen, "bucket").where(F.expr("root <> root_a") & (_agreed("samples", "samples_a") >= least))
                .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
@@ -234,17 +231,27 @@ def _links(buckets: DataFrame, held: DataFrame, weights, similarity: float) -> D
                     .repartition(tasks, "a").join(hashed.select(F.col("f1").alias("a"), F.col("words").alias("words_a")), "a")
                     .select("a", "b", "words_a", "words_b"))
         new = settle(compared.mapInArrow(_verify(weights, similarity), "a long, b long"), "near-links")
-        links = new if links is None else links.unionByName(new).distinct()
-        if leaders >= largest:
-            return settle(links, "near-links")
-        roots = settle(connected_components(links), "near-roots")
-        labelled = (buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-        open_ = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-        labelled = settle(labelled.join(open_.select("bucket"), "bucket", "left_semi"), "open-buckets")
-        largest = labelled.agg(F.max("size")).first()[0] or 0
-        if leaders >= largest:
-            return settle(links, "near-links")
+        # pairs of different classes only: no link comes twice
+        links = new if links is None else links.unionByName(new)
+        if roots is None or not new.isEmpty():
+            roots = connected_components(links)
+        if last:
+            return links, roots
+        labelled = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        open_ = (labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+                 .groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+                 .where("main.n < n").select("bucket", "main", F.expr("(n - main.n) * n").alias("pairs")))
+        labelled = settle(labelled.join(open_, "bucket"), "open-buckets")
+        largest, members = labelled.agg(F.max("size"), F.count("*")).first()
+        if leaders >= (largest or 0):
+            return links, roots
+        pairs = labelled.select("bucket", "pairs").distinct().agg(F.sum("pairs")).first()[0]
         leaders *= 8
+        if pairs <= leaders * members:
+            # all that is left: every text outside its bucket's largest class meets the whole bucket
+            chosen, last = labelled.where("root <> main.root"), True
+        else:
+            chosen, last = labelled.where(F.expr(f"pmod(xxhash64(node, bucket), size) < {leaders}")), leaders >= largest
 
 
 def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
