@@ -19,21 +19,28 @@ def upsert_add(old: DataFrame, delta: DataFrame, keys: list[str], value: str = "
             .groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value)))
 
 
+def _without(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``old`` whose key is not in ``batch``; a null key equals a null key."""
+    seen = batch.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return old.join(seen, same, "left_anti")
+
+
 def upsert_replace(old: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """SNK4/SNK5: rows of the batch replace rows with the same key; other rows stay."""
-    kept = old.join(delta.select(*keys).distinct(), keys, "left_anti")
+    kept = _without(old, delta, keys)
     return delta.select(*old.columns).unionByName(kept)
 
 
 def replace_group(old: DataFrame, batch: DataFrame, group_keys: list[str]) -> DataFrame:
     """SNK6: every group present in the batch is deleted and re-inserted from the batch."""
-    kept = old.join(batch.select(*group_keys).distinct(), group_keys, "left_anti")
+    kept = _without(old, batch, group_keys)
     return batch.select(*old.columns).unionByName(kept)
 
 
 def blacklist_insert(old: DataFrame, users: DataFrame) -> DataFrame:
     """SNK7: add users not yet listed (idempotent, no duplicates)."""
-    new = users.select("user_id").distinct().join(old.select("user_id"), "user_id", "left_anti")
+    new = _without(users.select("user_id").distinct(), old, ["user_id"])
     return old.select("user_id").unionByName(new)
 
 

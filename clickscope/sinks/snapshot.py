@@ -72,6 +72,7 @@ class SnapshotTable:
 
 
 DAY_COL = "part_day"
+NULL_DAY = "__HIVE_DEFAULT_PARTITION__"  # the folder name Spark gives to a null partition value
 
 
 class DaySnapshotTable:
@@ -164,7 +165,8 @@ class DaySnapshotTable:
         delta = delta.persist()
         try:
             # distinct days of one batch: a handful of values, used only to choose folders to read
-            days = {r[0] for r in delta.select(self.day_of.alias("d")).distinct().collect()}
+            days = {NULL_DAY if r[0] is None else r[0]
+                    for r in delta.select(self.day_of.alias("d")).distinct().collect()}
             old = self._load(self._paths(below=version, days=days))
             new = update(old, delta).select(*self.schema.fieldNames())
             # rebalance: AQE groups each day into few tasks (few files per day) and still splits a
