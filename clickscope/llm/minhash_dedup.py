@@ -179,11 +179,13 @@ def _hashed(text):
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per row of `docs`: doc_id, k1, k2 (its key), f1 (its distinct text), class_id (the smallest
-    doc_id of its class), n_links (different texts linked to its text by a comparison that was made).
+    """One row per row of `docs`: doc_id, k1, k2 (its key), f1 (its distinct text), root (its class: the
+    smallest f1 of the class), class_id (the smallest doc_id of its class), n_links (different texts linked
+    to its text by a comparison that was made).
 
-    Null and empty texts have no shingle; they are copies of each other. A null doc_id counts as larger
-    than any other. Other columns of `docs` only tell rows apart.
+    Classes are told apart by root alone: class_id is null where no row of a class has an id, and two classes
+    share it where a doc_id occurs with different texts. Null and empty texts have no shingle; they are copies
+    of each other. A null doc_id counts as larger than any other. Other columns of `docs` only tell rows apart.
     """
     spark = docs.sparkSession
     k1, k2 = row_key(docs)
@@ -206,7 +208,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         {"root": F.coalesce("root", "f1"), "n_links": F.coalesce("n_links", F.lit(0))})
     named = settle(named.drop("node"), "named")
     names = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return named.join(names, "root").select("doc_id", "k1", "k2", "f1", "class_id", F.col("n_links").cast("long").alias("n_links"))
+    return named.join(names, "root").select("doc_id", "k1", "k2", "f1", "root", "class_id", F.col("n_links").cast("long").alias("n_links"))
 
 
 def _agreed(a: str, b: str):
@@ -256,7 +258,7 @@ def _links(buckets: DataFrame, held: DataFrame, weights, similarity: float) -> t
 
 def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """`docs` with one row per class: the one with the smallest doc_id (then the smallest row key)."""
-    keep = (near_classes(docs, similarity).groupBy("class_id", F.col("class_id").isNull().alias("none"))
+    keep = (near_classes(docs, similarity).groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("first"))
             .select("first.k1", "first.k2"))
     names = ("_k1", "_k2")

@@ -136,6 +136,19 @@ def test_near_dedup(spark, docs, rows, none):
     assert minhash_dedup.near_dedup(none).count() == 0
 
 
+def test_near_dedup_keeps_classes_that_share_an_id(spark):
+    rng = random.Random(6)
+    texts = [_sentence(rng, 40) for _ in range(5)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r["text"], r["doc_id"]) for r in minhash_dedup.near_dedup(docs).collect())
+    assert kept == sorted(zip(texts, (None, None, None, 7, 7)))
+    roots = {}
+    for r in minhash_dedup.near_classes(docs).collect():
+        roots.setdefault(r["root"], set()).add(r["f1"])
+    assert len(roots) == 5 and all(len(x) == 1 for x in roots.values())
+
+
 def test_consistent_samples_estimate_the_similarity():
     rng = np.random.default_rng(0)
     weights = np.ones(1 << minhash_dedup.FEATURE_BITS, np.float32)
