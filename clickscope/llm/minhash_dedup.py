@@ -6,12 +6,14 @@ the number of documents that hold the shingle's feature, one of 2^18 hashed feat
 IDF count them), so the table of frequencies has a fixed size at any scale and covers every document.
 
 Equal word sequences form one distinct text. Each distinct text draws SAMPLES consistent samples (two
-texts agree on one with a probability equal to their weighted Jaccard similarity), which are banded. Texts
-that share a band are candidates. In a bucket, all members are compared with one leader; members that are
+texts agree on one with a probability equal to their weighted Jaccard similarity) and as many of the plain
+set, all shingles weighing 1; each kind is banded. Texts that share a band are candidates. In a bucket, all members are compared with one leader; members that are
 not yet in the leaders' classes meet more leaders in each further round, or all at once where that makes no
 more pairs than the next round of leaders, until every pair of a bucket that still lies in different classes
 was compared: large groups cost one comparison per member, and no pair is lost to a cap. A link needs a true
-weighted Jaccard similarity of at least `similarity`.
+Jaccard similarity of at least `similarity`, weighted or plain. The shingles that a large group shares are
+frequent and weigh half as much as each text's own, so the weighted similarity of its members is below the
+plain one; the plain one does not depend on the group's size.
 
 Python runs only inside tasks on Arrow batches. What reaches the driver is the frequency table.
 """
@@ -106,6 +108,23 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return low / total if total else 0.0
 
 
+def alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], similarity: float) -> bool:
+    """The plain or the weighted Jaccard similarity is at least `similarity`."""
+    n = len(np.intersect1d(a[0], b[0], assume_unique=True))
+    return n >= similarity * (len(a[0]) + len(b[0]) - n) or weighted_jaccard(a, b) >= similarity
+
+
+def _bands(sample: np.ndarray, first: int) -> np.ndarray:
+    out = np.zeros(BANDS, np.uint64)
+    for k in range(ROWS):
+        out = mix(out ^ sample[k::ROWS]) * _MUL
+    return out + np.arange(first, first + BANDS, dtype=np.uint64)
+
+
+def _short(sample: np.ndarray) -> np.ndarray:
+    return (sample >> np.uint64(48)).astype(np.uint16).view(np.int16)
+
+
 class Sampler:
     """Improved consistent weighted sampling: r, c ~ Gamma(2, 1) and b ~ U(0, 1) per shingle and sample."""
 
@@ -117,9 +136,10 @@ class Sampler:
         self.inverse_r = (1 / r).astype(np.float32)
         self.b = rng.random(shape, dtype=np.float32)
         self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
+        self.plain = self.log_c + self.r * (self.b - 1)  # log_a of a weight of 1
 
     def draw(self, h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One 64-bit key per band, and 32 bits of every sample."""
+        """One 64-bit key per band, and 16 bits of every sample."""
         best = np.full(SAMPLES, np.inf, np.float32)
         sample = np.zeros(SAMPLES, np.uint64)
         log_w = np.log(weight)[:, None]
@@ -135,17 +155,30 @@ class Sampler:
             new = value < best
             key = mix(part[pick] ^ mix(t[pick, column].astype(np.int64).view(np.uint64)))
             best, sample = np.where(new, value, best), np.where(new, key, sample)
-        out = np.zeros(BANDS, np.uint64)
-        for k in range(ROWS):
-            out = mix(out ^ sample[k::ROWS]) * _MUL
-        return out + np.arange(BANDS, dtype=np.uint64), (sample >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        return _bands(sample, 0), _short(sample)
+
+    def draw_plain(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same of the plain set; its bands are told apart from the weighted ones."""
+        best = np.full(SAMPLES, np.inf, np.float32)
+        sample = np.zeros(SAMPLES, np.uint64)
+        for at in range(0, len(h), 4096):
+            part = h[at:at + 4096]
+            log_a = self.plain[(part >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
+            pick = np.argmin(log_a, axis=0)
+            value = log_a[pick, np.arange(SAMPLES)]
+            new = value < best
+            best, sample = np.where(new, value, best), np.where(new, mix(part[pick]), sample)
+        return _bands(sample, BANDS), _short(sample)
+
+    def draw_both(self, h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.concatenate(x) for x in zip(self.draw(h, weight), self.draw_plain(h)))
 
 
 def _sketch(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
         for batch in batches:
-            drawn = [sampler.draw(*weighted_set(words, weights.value)) if len(words) else None
+            drawn = [sampler.draw_both(*weighted_set(words, weights.value)) if len(words) else None
                      for words in _documents(batch, "words")]
             some = np.array([x is not None for x in drawn], np.int64)
 
@@ -155,7 +188,7 @@ def _sketch(weights):
                 return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))
 
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("doc_id", "k1", "k2", "f1", "f2")], lists(0, np.int64, BANDS), lists(1, np.int32, SAMPLES)],
+                [*[batch.column(c) for c in ("doc_id", "k1", "k2", "f1", "f2")], lists(0, np.int64, 2 * BANDS), lists(1, np.int16, 2 * SAMPLES)],
                 names=["doc_id", "k1", "k2", "f1", "f2", "bands", "samples"])
     return run
 
@@ -169,7 +202,7 @@ def _verify(weights, similarity):
             for i, (x, y) in enumerate(zip(_documents(batch, "words_a"), _documents(batch, "words_b"))):
                 if a[i] != last:
                     last, held = a[i], weighted_set(x, weights.value)
-                keep[i] = weighted_jaccard(held, weighted_set(y, weights.value)) >= similarity
+                keep[i] = alike(held, weighted_set(y, weights.value), similarity)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
     return run
 
@@ -180,8 +213,9 @@ def _hashed(text):
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of `docs`: doc_id, k1, k2 (its key), f1 (its distinct text), root (its class: the
-    smallest f1 of the class), class_id (the smallest doc_id of its class), n_links (different texts linked
-    to its text by a comparison that was made).
+    smallest f1 of the class), class_id (the smallest doc_id of its class), n_links_found (different texts
+    linked to its text by the comparisons made: texts already in one class are not compared, so its true number
+    of near copies can be higher).
 
     Classes are told apart by root alone: class_id is null where no row of a class has an id, and two classes
     share it where a doc_id occurs with different texts. Null and empty texts have no shingle; they are copies
@@ -192,28 +226,30 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     words = docs.select("doc_id", k1.alias("k1"), k2.alias("k2"), _hashed(F.col("text")).alias("words"))
     words = words.withColumns({"f1": F.xxhash64("words"), "f2": F.xxhash64(F.lit(23), F.col("words"))})
     weights = spark.sparkContext.broadcast(feature_weights(words.select("words")))
-    sketches = settle(words.mapInArrow(_sketch(weights), "doc_id long, k1 long, k2 long, f1 long, f2 long, bands array<long>, samples array<int>"),
+    sketches = settle(words.mapInArrow(_sketch(weights), "doc_id long, k1 long, k2 long, f1 long, f2 long, bands array<long>, samples array<short>"),
                       "sketches")
     texts = sketches.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("samples").alias("samples"))
-    banded = texts.select(F.col("f1").alias("node"), "samples", F.explode("bands").alias("bucket"))
+    banded = texts.select(F.col("f1").alias("node"), F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("lead")).where("size > 1")
-    buckets = settle(banded.join(sizes, "bucket"), "buckets")
+    buckets = settle(banded.join(sizes, "bucket").join(texts.select(F.col("f1").alias("node"), "samples"), "node"), "buckets")
     nodes = settle(buckets.select(F.col("node").alias("f1")).distinct(), "nodes")
     held = settle(docs.select("text", _hashed(F.col("text")).alias("words")).select("text", F.xxhash64("words").alias("f1"))
                   .join(nodes, "f1", "left_semi").groupBy("f1").agg(F.min("text").alias("text")), "texts")
     links, classes = _links(buckets, held, weights, similarity)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links_found"))
     roots = settle(classes.join(degree, "node"), "roots")
     named = sketches.drop("bands", "samples").join(roots, F.col("f1") == F.col("node"), "left").withColumns(
-        {"root": F.coalesce("root", "f1"), "n_links": F.coalesce("n_links", F.lit(0))})
+        {"root": F.coalesce("root", "f1"), "n_links_found": F.coalesce("n_links_found", F.lit(0))})
     named = settle(named.drop("node"), "named")
     names = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return named.join(names, "root").select("doc_id", "k1", "k2", "f1", "root", "class_id", F.col("n_links").cast("long").alias("n_links"))
+    return named.join(names, "root").select("doc_id", "k1", "k2", "f1", "root", "class_id", F.col("n_links_found").cast("long").alias("n_links_found"))
 
 
 def _agreed(a: str, b: str):
-    """The number of samples that two texts have in common."""
-    return sum((F.get(a, F.lit(i)) == F.get(b, F.lit(i))).cast("int") for i in range(SAMPLES))
+    """The number of samples of one kind that two texts have in common, the larger of both kinds."""
+    def of(first):
+        return sum((F.get(a, F.lit(i)) == F.get(b, F.lit(i))).cast("int") for i in range(first, first + SAMPLES))
+    return F.greatest(of(0), of(SAMPLES))
 
 
 def _links(buckets: DataFrame, held: DataFrame, weights, similarity: float) -> tuple[DataFrame, DataFrame]:

@@ -22,8 +22,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document (its smallest doc_id, and its root, which no other class has)
-    and the verified links of its text."""
-    return minhash_dedup.near_classes(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "class_id", "root", "n_links")
+    and the links of its text that the comparisons made have verified (not all: texts already in one class are
+    not compared)."""
+    return minhash_dedup.near_classes(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "class_id", "root", "n_links_found")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,6 +178,18 @@ def test_near_classes_hold_all_clear_pairs(spark):
     assert all(any(len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b]) for b in ids if b != a) for a in ids if got[a] != a)
 
 
+def test_near_classes_hold_pairs_at_the_bar_in_a_large_group(spark):
+    """A third of all rows copy one text of 100 shingles; the near copies have a plain overlap of 89/111 = 0.802 with it."""
+    rng = random.Random(8)
+    base = _sentence(rng, 104).split()
+    near = {1000 + at: base[:at] + [f"own{at}x{i}" for i in range(7)] + base[at + 7:] for at in range(4, 92, 2)}
+    rows = [(i, " ".join(base)) for i in range(200)] + [(i, " ".join(w)) for i, w in near.items()]
+    rows += [(2000 + i, _sentence(rng, 104)) for i in range(400)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash_dedup.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[i] == 0 for i in near) >= 0.97 * len(near)
+    assert all(got[2000 + i] == 2000 + i for i in range(400))
+
+
 def test_sentencepiece_equals_the_library(spark, docs, none):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
