@@ -1,10 +1,11 @@
 """WARC 1.1 writing, and a salvage reader that recovers the sound records of damaged archives.
 
 Writing: one record per page. Of pages with equal payloads of at least REVISIT_BYTES bytes, the one with
-the smallest page_id is a response, the others are revisits that refer to it. A record is one string
-column and the archives are written by Spark's text writer (its line separator is the blank lines that end
-a WARC record), so files appear by the usual task commit, wherever the path lives. An archive holds at most
-`records` records.
+the smallest page_id is a response, the others are revisits that refer to it. A record is a gzip member of
+its own, so damage to one leaves the others readable. The members are written as they are by Spark's text
+writer (its line separator is the zero byte that ends a member), so files appear by the usual task commit,
+wherever the path lives; they are gzip files, though named .txt. An archive holds at most `per_archive`
+records.
 
 Reading: an archive is walked member by member (gzip) and record by record. A record is sound if its
 version line, headers, Content-Length, closing blank lines and digests hold. After a failed check the
@@ -14,6 +15,7 @@ also the next gzip member), goes on there and logs the bytes between as a quaran
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 import zlib
@@ -31,6 +33,7 @@ ARCHIVE_RECORDS = 2_000
 END = "\r\n\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 MEMBER = b"\x1f\x8b\x08"
+STEP = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -82,9 +85,25 @@ def records(plan: DataFrame) -> DataFrame:
     return plan.select(F.concat(head, block).alias("value"))
 
 
+def _member(record: bytes) -> bytes:
+    """A gzip member without its last byte, a zero."""
+    packed = gzip.compress(record, 6, mtime=0)
+    if packed[-1]:  # the high byte of a length above 16 MB; an empty member ends in a zero
+        packed += gzip.compress(b"", 6, mtime=0)
+    return packed[:-1]
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        packed = [_member(x.as_py() + END.encode()) for x in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["value"])
+
+
 def write_archives(pages: DataFrame, path: str, per_archive: int = ARCHIVE_RECORDS) -> None:
     """Write every page to gzip archives in the folder `path`; an empty table gives no record."""
-    (records(revisit_plan(pages)).write.option("lineSep", END).option("compression", "gzip")
+    packed = records(revisit_plan(pages)).select(F.col("value").cast("binary")).mapInArrow(_members, "value binary")
+    # the cast keeps the bytes, and the writer writes them unchanged
+    (packed.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("compression", "none")
      .option("maxRecordsPerFile", per_archive).text(path))
 
 
@@ -98,16 +117,19 @@ def _inflate(data: bytes) -> Iterator[tuple[int, int, bytes, bool]]:
             return
         if start > at:
             yield at, start, b"", False
-        engine, parts, pos, sound = zlib.decompressobj(31), [], start, False
-        try:
-            while pos < len(data) and not engine.eof:
-                # small steps keep all that precedes a damaged place
-                step = 1 << 16 if len(data) - pos > 1 << 16 else len(data) - pos
+        engine, parts, pos, step, sound = zlib.decompressobj(31), [], start, STEP, False
+        while pos < len(data) and not engine.eof and step:
+            before = engine.copy()
+            try:
                 parts.append(engine.decompress(data[pos:pos + step]))
                 pos += step
+            except zlib.error:
+                # again from before the step in smaller ones, to keep all that precedes the damaged byte
+                engine, step = before, step // 2
+        if step:
             sound = engine.eof
-            pos -= len(engine.unused_data)
-        except zlib.error:
+            pos = min(pos, len(data)) - len(engine.unused_data)
+        else:
             pos = data.find(MEMBER, start + 1)
             pos = len(data) if pos < 0 else pos
         yield start, pos, b"".join(parts), sound

@@ -253,6 +253,38 @@ def test_warc_salvage():
     assert any(k == "gap" for k, *_ in warc.salvage(b"".join(members)))
 
 
+def test_warc_salvage_of_written_archives(spark, tmp_path):
+    """One flipped byte costs one record of an archive that write_archives made, wherever it lies."""
+    pages = spark.range(100).selectExpr("id as page_id", "'u' as url", "concat(sha2(string(id), 512), sha2(string(-id), 512)) as html")
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "a"))
+    files = [p.read_bytes() for p in (tmp_path / "a").glob("part-*")]
+    data = max(files, key=len)
+    whole = [h["warc-record-id"] for k, _, _, h, _ in warc.salvage(data) if k == "record"]
+    assert len(whole) == 100 and gzip.decompress(data).count(b"WARC/1.1\r\n") == 100
+    for at in range(len(data) // 2, len(data), len(data) // 17):
+        bad = data[:at] + bytes([data[at] ^ 255]) + data[at + 1:]
+        assert sum(k == "record" for k, *_ in warc.salvage(bad)) >= 99
+
+
+def test_warc_salvage_inside_a_member():
+    """Of one member with many records, all that precede the damaged byte are read."""
+    rng = random.Random(9)
+    records = []
+    for i in range(100):
+        block = b"HTTP/1.1 200 OK\r\n\r\n" + rng.randbytes(200).hex().encode()
+        records.append(b"WARC/1.1\r\nWARC-Record-ID: <urn:page:%d>\r\nWARC-Block-Digest: sha256:%s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+                       % (i, hashlib.sha256(block).hexdigest().encode(), len(block), block))
+    data = gzip.compress(b"".join(records))
+    assert len(data) < (1 << 16)
+    for share in (0.6, 0.75, 0.9):
+        at = int(share * len(data))
+        bad = data[:at] + bytes([data[at] ^ 255]) + data[at + 1:]
+        read = zlib.decompressobj(31).decompress(data[:at])
+        got = [h["warc-record-id"] for k, _, _, h, _ in warc.salvage(bad) if k == "record"]
+        sure = read.count(b"WARC/1.1\r\n") - 1
+        assert sure > 40 and got[:sure] == [f"<urn:page:{i}>" for i in range(sure)]
+
+
 def test_warc_pages(spark):
     long = "é" * 80
     pages = spark.createDataFrame([(1, "u\r\nX: y", long, 1), (5, None, long, 1), (3, "u", "tiny", 1), (4, "u", "tiny", 1),
