@@ -6,7 +6,9 @@ permutation whose words come nearest the target. A binary tree over the output s
 vector of all sources: at each node the left half draws its share from a multivariate hypergeometric
 distribution, so every shard is a uniform sample of the mix while the totals stay exact. Tree nodes are
 seeded by their position, so any task can walk down to its own shards. The shares of a source are
-consecutive ranges of its permuted blocks, hence disjoint; inside a shard rows are ordered by a hash.
+consecutive ranges of its permuted blocks, hence disjoint. Inside a shard rows are ordered by a seeded hash.
+A row is a run of adjacent blocks of a document that one pass put in one shard: blocks that are not adjacent
+are never joined, so a long document is several rows.
 
 Blocks are numbered with per-bucket counts and local ranks (a bucket is a 1/1024 slice of a source), so a
 source that holds most rows is spread over many tasks. Only one row per source reaches the driver.
@@ -227,27 +229,43 @@ def taken_words(mixed: Mix) -> DataFrame:
                     F.coalesce("shards", F.lit(0)).cast("long").alias("shards")))
 
 
-def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
-    """The mix with the columns of `docs`: one row per document and pass that took any of its blocks.
+def mixed_shards(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
+    """The mix by shard: the columns of `docs`, with the row's text, and mix_shard, mix_position (its seeded
+    place in the shard), mix_pass, mix_block (its first block) and mix_words.
 
-    A pass that took all blocks keeps the text as it is; else the text is the taken blocks in their order,
-    with the spaces that follow their words. n_chars, if present, is counted anew where text was left out.
+    Rows are sorted by shard and position, partition after partition: a shard is one stretch of rows, which
+    may span partitions. A row that holds a whole document keeps the text as it is; else the text is its
+    blocks with the spaces that follow their words. n_chars, if present, is counted anew where text was left out.
     """
     b = params.block_words
     mixed = mix(docs, params)
-    parts = (mixed.draws.groupBy("k1", "k2", "copy", "pass")
-             .agg(F.sort_array(F.collect_list("block")).alias("blocks"), F.sum("words").alias("got"))
-             .withColumnsRenamed({"k1": "_k1", "k2": "_k2"}))
+    key = ["k1", "k2", "copy", "pass", "shard"]
+    ordered = Window.partitionBy(*key).orderBy("block")
+    runs = (mixed.draws.withColumn("run", F.col("block") - F.row_number().over(ordered)).groupBy(*key, "run")
+            .agg(F.min("block").alias("mix_block"), F.count("*").alias("_n"), F.sum("words").alias("mix_words"))
+            .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("copy").alias("_copy"), F.col("pass").alias("mix_pass"),
+                    F.col("shard").alias("mix_shard"), "mix_block", "mix_words", "_n",
+                    F.xxhash64(F.lit(params.seed), "shard", *key[:4], "mix_block").alias("mix_position")))
+    parts = runs.groupBy("_k1", "_k2").agg(F.collect_list(F.struct(
+        "mix_shard", "mix_position", "mix_pass", "mix_block", "mix_words", "_n")).alias("_runs"))
     texts = mixed.rows.dropDuplicates(["k1", "k2"]).join(
         parts, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")))
-    # words with the white space that follows them; a leading space belongs to the first word
+    whole = F.col("mix_words") == F.col("size")
+    # words with the white space that follows them; a leading space belongs to no block
     pieces = F.filter(F.split(F.regexp_replace("text", r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"), lambda w: w != "")
-    cut = once(once(texts, _pieces=F.when(F.col("got") < F.col("size"), pieces)),
-               _text=F.when(F.col("got") == F.col("size"), F.col("text")).otherwise(F.array_join(F.flatten(F.transform(
-                   "blocks", lambda i: F.slice(F.col("_pieces"), (i * b + 1).cast("int"), F.lit(b)))), "")))
+    # a text is split once, whatever the number of its rows
+    split = once(texts, _pieces=F.when(F.exists("_runs", lambda r: r["mix_words"] < F.col("size")), pieces))
+    cut = once(split.select("*", F.inline("_runs")).drop("_runs"),
+               _text=F.when(whole, F.col("text")).otherwise(F.array_join(F.slice(
+                   F.col("_pieces"), (F.col("mix_block") * b + 1).cast("int"), (F.col("_n") * b).cast("int")), "")))
     columns = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
         own = F.col(f"_in{docs.columns.index('n_chars')}")
-        columns["n_chars"] = F.when(F.col("got") == F.col("size"), own).otherwise(
-            F.length("_text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*shown(docs, **columns))
+        columns["n_chars"] = F.when(whole, own).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
+    rows = cut.select(*shown(docs, **columns), "mix_shard", "mix_position", "mix_pass", "mix_block", "mix_words")
+    return rows.repartitionByRange("mix_shard", "mix_position").sortWithinPartitions("mix_shard", "mix_position")
+
+
+def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
+    """The rows of mixed_shards, in its order, with the columns of `docs` alone."""
+    return mixed_shards(docs, params).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -69,8 +69,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
-    return mixing.taken_words(mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source")))
+    """The mixed texts by shard, shuffled inside each."""
+    return mixing.mixed_shards(documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
 QUERIES = {f.__name__: f for f in (

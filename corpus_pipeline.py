@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights; a document that is taken twice is two rows."""
+    """Sources mixed to their target weights, in shard order; every run of blocks that a pass put in a shard is a row."""
     return mixed_documents(docs)
 
 

@@ -224,6 +224,27 @@ def test_mixing(spark, docs, none):
     assert mixing.mixed_documents(none).count() == 0
 
 
+def test_mixed_shards_are_shuffled_runs(spark, docs):
+    params = mixing.MixParams(block_words=16, shard_words=200)
+    ids = docs.where("doc_id < 12").dropDuplicates(["doc_id"])
+    text = {r["doc_id"]: r["text"].split() for r in ids.collect()}
+    # every row of the mix is one stretch of its document
+    out = [(r["doc_id"], r["text"].split()) for r in mixing.mixed_documents(ids, params).collect()]
+    assert all(any(text[i][at:at + len(w)] == w for at in range(0, len(text[i]), 16)) for i, w in out)
+    rows = mixing.mixed_shards(ids, params).collect()
+    assert [(r["doc_id"], r["text"].split()) for r in rows] == out
+    places = [(r["mix_shard"], r["mix_position"]) for r in rows]
+    assert places == sorted(places) and len(set(places)) == len(places) and len({s for s, _ in places}) > 3
+    first = [r["doc_id"] for r in rows if r["mix_shard"] == 0]
+    assert first != sorted(first)
+    per = {}
+    for r in rows:
+        assert text[r["doc_id"]][16 * r["mix_block"]:][:r["mix_words"]] == r["text"].split()
+        per[r["mix_shard"]] = per.get(r["mix_shard"], 0) + r["mix_words"]
+    drawn = mixing.mix(ids, params).draws.groupBy("shard").agg(F.sum("words").alias("n")).collect()
+    assert per == {r["shard"]: r["n"] for r in drawn}
+
+
 def test_targets_and_split():
     got = mixing.source_targets([("b", 100), ("a", 10), (None, 50)], mixing.MixParams())
     assert [g[0] for g in got] == ["a", "b", None] and abs(sum(g[2] for g in got) - 240) < 1e-9
