@@ -64,6 +64,30 @@ select page_id, cast(n as bigint) as payload_bytes, sha256(h) as payload_digest,
        case when n >= 100 and page_id is distinct from first then first end as refers_to
 from f"""
 
+PHRASES = r"""
+with t as (select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+           from documents),
+pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as p from t),
+words as (select lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+total as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+grams as (select lang, m, array_to_string(w[i:i + m - 1], ' ') as phrase
+          from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from words, range(1, 4) sizes(m) where len(w) >= m)),
+f as (select lang, m, phrase, count(*) as f from grams group by all having count(*) >= 10),
+cand as (select lang, m, phrase, f as a, string_split(phrase, ' ') as w from f where m > 1),
+cuts as (select c.lang, c.phrase, c.a, k, l.f as l, r.f as r,
+                cast(1000000 * cast(c.a as hugeint) * c.a // (cast(l.f as hugeint) * r.f) as bigint) as score
+         from (select *, unnest(range(1, m)) as k from cand) c
+         join f l on l.lang = c.lang and l.phrase = array_to_string(w[1:k], ' ')
+         join f r on r.lang = c.lang and r.phrase = array_to_string(w[k + 1:], ' ')),
+best as (select lang, phrase, a, arg_min(struct_pack(l := l, r := r, score := score), [score, k]) as b from cuts group by all),
+longer as (select lang, p, max(a) as a from (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as p
+                                             from cand where m = 3) group by all),
+kept as (select best.* from best left join longer on best.lang = longer.lang and best.phrase = longer.p
+         where longer.a is null or 100 * longer.a < 50 * best.a),
+ranked as (select *, row_number() over (partition by lang order by b.score desc, a desc, phrase) as rank from kept)
+select ranked.lang, cast(rank as integer) as rank, phrase, a, b.l as l, b.r as r, n, b.score as score
+from ranked join total on ranked.lang = total.lang where rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": QUALITY, "op6_chat_formatting": CHAT, "op7_warc": WARC}
+    return {"op1_quality_rules": QUALITY, "op6_chat_formatting": CHAT, "op7_warc": WARC, "op13_phrases": PHRASES}

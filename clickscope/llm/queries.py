@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickscope.llm import (chat_trees, interpolation, line_dedup, minhash_dedup, mixing, quality_rules, rp_forest,
-                            sentencepiece_codec, toxicity, warc)
+from clickscope.llm import (chat_trees, interpolation, line_dedup, minhash_dedup, mixing, phrases, pii, quality_rules,
+                            rp_forest, sentencepiece_codec, toxicity, warc, whitening)
 from clickscope.llm.common import documents
 
 
@@ -73,6 +73,22 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_shards(documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans per kind and all spans, disguised ones included, of every document. The counts are of base spans;
+    n_added counts the others."""
+    return pii.span_digests(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector projected on the first 32 whitened components."""
+    return whitening.whitened_components(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return phrases.collocations(documents(spark, sf_dir, "text", "lang"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_minhash_dedup, op3_toxicity, op4_interpolation_scores, op5_forest_neighbours, op6_chat_formatting, op7_warc, op8_line_dedup,
-    op9_sentencepiece, op10_source_mixing)}
+    op9_sentencepiece, op10_source_mixing, op11_pii, op12_whitening, op13_phrases)}
