@@ -6,7 +6,8 @@ Scale notes
 - The blacklist grows with the number of users, so the anti join carries no broadcast
   hint; the optimizer and AQE choose from its measured size.
 - The 60-minute sliding window is computed from per-minute counts: raw rows are first
-  reduced to one row per (minute, ad), and only those rows are expanded 60x.
+  reduced to one row per (minute, ad), those are shuffled once by (ad, day), and windows
+  come into being only after that.
 """
 
 from __future__ import annotations
@@ -89,29 +90,44 @@ def ad_click_trend(filtered: DataFrame) -> DataFrame:
                           "ad_id", "click_count")
 
 
+MINUTES_A_DAY = 1440
+
+
 def windows_from_minutes(per_min: DataFrame, window_minutes: int = 60, slide_minutes: int = 1,
                          only_flagged: str | None = None) -> DataFrame:
     """(minute, ad_id, n) per-minute counts -> (window_start, window_end, ad_id, click_count) for
     every sliding window that starts on a ``slide_minutes`` boundary and contains a minute.
 
-    Only the pre-aggregated minute rows are expanded (one row per window they fall in). With
-    ``only_flagged``, keep just the windows holding a minute whose flag column is 1."""
+    The sum over a window changes only where a minute enters or leaves it. Per ad and day of the window's start,
+    a range frame sums the window that starts at each of these points, and the windows up to the next point
+    share that sum. The minutes of the first window length of a day also go to the day before; nothing else is
+    copied before the shuffle. With ``only_flagged``, keep just the windows holding a minute whose flag
+    column is 1. Rows without a minute are in no window."""
     if window_minutes % slide_minutes:
         raise ValueError("window must be a multiple of the slide")
-    k = window_minutes // slide_minutes
-    flag = [F.col(only_flagged).alias("_f")] if only_flagged else []
-    starts = per_min.select(
-        "ad_id", "n", *flag,
-        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_j"),
-        (F.col("minute") - F.col("minute") % slide_minutes).alias("_base"))
-    wins = starts.select("ad_id", "n", *(["_f"] if only_flagged else []),
-                         (F.col("_base") - F.col("_j") * slide_minutes).alias("_start"))
-    aggs = [F.sum("n").cast("bigint").alias("click_count")]
-    if only_flagged:
-        aggs.append(F.max("_f").alias("_f"))
-    agg = wins.groupBy("_start", "ad_id").agg(*aggs)
-    if only_flagged:
-        agg = agg.where(F.col("_f") == 1)
+    chunk = MINUTES_A_DAY * -(-window_minutes // MINUTES_A_DAY)
+    own = F.floor(F.col("minute") / chunk).cast("bigint")
+    flag = F.col(only_flagged).cast("int") if only_flagged else F.lit(1)
+    rows = (per_min.where(F.col("minute").isNotNull())
+            .select("ad_id", F.col("minute").cast("bigint").alias("_minute"), F.col("n").cast("bigint").alias("_n"), flag.alias("_f"),
+                    own.alias("_own"), F.when(F.col("minute") - own * chunk < window_minutes - 1, own - 1).alias("_edge")))
+    dealt = (rows.unpivot(["ad_id", "_minute", "_n", "_f"], ["_own", "_edge"], "_which", "_chunk")
+             .where(F.col("_chunk").isNotNull()).repartition("ad_id", "_chunk"))
+    m, zero, null = F.col("_minute"), F.lit(0).cast("bigint"), F.lit(None).cast("int")
+    points = dealt.select("ad_id", "_chunk", F.inline(F.array(
+        F.struct(m.alias("_at"), F.col("_n").alias("_n"), F.col("_f").alias("_f")),
+        F.struct((m - window_minutes + 1).alias("_at"), zero.alias("_n"), null.alias("_f")),
+        F.struct((m + 1).alias("_at"), zero.alias("_n"), null.alias("_f")))))
+    order = Window.partitionBy("ad_id", "_chunk").orderBy("_at")
+    frame = order.rangeBetween(0, window_minutes - 1)
+    sums = points.select("ad_id", "_chunk", "_at", F.lead("_at").over(order).alias("_next"),
+                         F.sum("_n").over(frame).alias("click_count"), F.max("_f").over(frame).alias("_f"))
+    low = F.greatest(F.col("_at"), F.col("_chunk") * chunk)
+    low = low + F.pmod(-low, F.lit(slide_minutes))
+    high = F.least(F.col("_next"), (F.col("_chunk") + 1) * chunk) - 1
+    agg = (sums.where((F.col("_f") == 1) & (F.col("_next") > F.col("_at"))).withColumns({"_low": low, "_high": high})
+           .where(F.col("_low") <= F.col("_high"))
+           .select("ad_id", "click_count", F.explode(F.sequence("_low", "_high", F.lit(slide_minutes).cast("bigint"))).alias("_start")))
     return agg.select(window_label(F.col("_start")).alias("window_start"),
                       window_label(F.col("_start") + window_minutes).alias("window_end"),
                       "ad_id", "click_count")

@@ -21,12 +21,11 @@ from clickscope.operators import session as S
 from clickscope.params import DEFAULT_PARAMS, KEYWORD_PARAMS, TaskParams
 from clickscope.runtime import scratch_path, use_utc
 from clickscope.sinks import ops as SINK
-from clickscope.sinks.snapshot import DaySnapshotTable, SnapshotTable
+from clickscope.sinks.deltas import DeltaTable
 from clickscope.sources import tables as SRC
 from clickscope.sources.fixtures import FixtureTables
 from clickscope.streaming import ad_stream as ST
-from clickscope.streaming.ad_stream import (AD_STAT_SCHEMA, BLACKLIST_SCHEMA, TOP3_SCHEMA,
-                                            USER_COUNT_SCHEMA, StreamConfig)
+from clickscope.streaming.ad_stream import StreamConfig
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -341,7 +340,7 @@ def q_stream_ad_blacklist(spark, sf_dir):
     root = ST.fresh_root(spark, "stream_blacklist")
     ST.run_blacklist(spark, _stream_cfg(sf_dir), root, seed=t.blacklist,
                      threshold=FIXTURE_BLACKLIST_THRESHOLD)
-    return ST.read_table(spark, root, "blacklist", ST.BLACKLIST_SCHEMA)
+    return ST.read_table(spark, root, "blacklist")
 
 
 @query("stream_ad_user_click_count")
@@ -350,7 +349,7 @@ def q_stream_ad_user_click_count(spark, sf_dir):
     root = ST.fresh_root(spark, "stream_user_counts")
     ST.run_blacklist(spark, _stream_cfg(sf_dir), root, seed=t.blacklist,
                      threshold=FIXTURE_BLACKLIST_THRESHOLD)
-    return ST.read_table(spark, root, "user_click_count", ST.USER_COUNT_SCHEMA)
+    return ST.read_table(spark, root, "user_click_count")
 
 
 @query("stream_ad_stat")
@@ -358,7 +357,7 @@ def q_stream_ad_stat(spark, sf_dir):
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_ad_stat")
     ST.run_ad_stat(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
-    return ST.read_table(spark, root, "ad_stat", ST.AD_STAT_SCHEMA)
+    return ST.read_table(spark, root, "ad_stat")
 
 
 @query("stream_ad_province_top3")
@@ -366,7 +365,7 @@ def q_stream_ad_province_top3(spark, sf_dir):
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_top3")
     ST.run_province_top3(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
-    return ST.read_table(spark, root, "province_top3", ST.TOP3_SCHEMA)
+    return ST.read_table(spark, root, "province_top3")
 
 
 @query("stream_ad_click_trend")
@@ -374,7 +373,7 @@ def q_stream_ad_click_trend(spark, sf_dir):
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_trend")
     ST.run_click_trend(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
-    return ST.read_table(spark, root, "click_trend", ST.TREND_SCHEMA)
+    return ST.read_table(spark, root, "click_trend")
 
 
 @query("stream_ad_recent_hour")
@@ -382,7 +381,7 @@ def q_stream_ad_recent_hour(spark, sf_dir):
     t = fixtures(spark, sf_dir)
     root = ST.fresh_root(spark, "stream_recent")
     ST.run_recent_hour(spark, _stream_cfg(sf_dir), root, blacklist=t.blacklist)
-    return ST.read_table(spark, root, "recent_hour", ST.RECENT_SCHEMA)
+    return ST.read_table(spark, root, "recent_hour")
 
 
 # ---- sinks: apply two batches (clicks before / from noon, UTC), return the table ---------
@@ -411,28 +410,28 @@ def q_sink_overwrite(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _two_versions(spark, name, schema, first, second, update):
-    """Apply two batches to a day-partitioned snapshot table and return the current table."""
-    table = DaySnapshotTable(spark, scratch_path(spark, name), schema, F.col("date_key"))
-    table.apply(1, first, update)
-    table.apply(2, second, update)
-    return table.read()
+def _two_batches(spark, name, table, first, second):
+    """Write two batches to one of the day-partitioned tables of the ad stream and return its current rows."""
+    out = ST.open_table(spark, scratch_path(spark, name), table)
+    out.write(1, first)
+    out.write(2, second)
+    return out.read()
 
 
 @query("sink_upsert_add")
 def q_sink_upsert_add(spark, sf_dir):
     b1, b2 = _halves(fixtures(spark, sf_dir))
-    keys = ["date_key", "user_id", "ad_id"]
-    return _two_versions(spark, "sink_upsert_add", USER_COUNT_SCHEMA, ADS.ad_user_click_count(b1),
-                         ADS.ad_user_click_count(b2), lambda old, d: SINK.upsert_add(old, d, keys))
+    return _two_batches(spark, "sink_upsert_add", "user_click_count", ADS.ad_user_click_count(b1), ADS.ad_user_click_count(b2))
 
 
 @query("sink_upsert_replace")
 def q_sink_upsert_replace(spark, sf_dir):
     b1, b2 = _halves(fixtures(spark, sf_dir))
-    keys = ["date_key", "province", "city", "ad_id"]
-    return _two_versions(spark, "sink_upsert_replace", AD_STAT_SCHEMA, ADS.ad_stat(b1), ADS.ad_stat(b2),
-                         lambda old, d: SINK.upsert_replace(old, d, keys))
+    table = DeltaTable(spark, scratch_path(spark, "sink_upsert_replace"), ST.AD_STAT_SCHEMA, "replace",
+                       ["date_key", "province", "city", "ad_id"], F.col("date_key"))
+    table.write(1, ADS.ad_stat(b1))
+    table.write(2, ADS.ad_stat(b2))
+    return table.read()
 
 
 @query("sink_replace_group")
@@ -441,19 +440,16 @@ def q_sink_replace_group(spark, sf_dir):
 
     def top3(b):
         return ADS.ad_province_top3(ADS.ad_province_count(ADS.ad_stat(b)))
-    return _two_versions(spark, "sink_replace_group", TOP3_SCHEMA, top3(b1), top3(b2),
-                         lambda old, d: SINK.replace_group(old, d, ["date_key", "province"]))
+    return _two_batches(spark, "sink_replace_group", "province_top3", top3(b1), top3(b2))
 
 
 @query("sink_blacklist_insert")
 def q_sink_blacklist_insert(spark, sf_dir):
     t = fixtures(spark, sf_dir)
-    b1, b2 = _halves(t)
-    table = SnapshotTable(spark, scratch_path(spark, "sink_blacklist"), BLACKLIST_SCHEMA)
-    table.apply(0, lambda old: t.blacklist)
-    for v, b in ((1, b1), (2, b2)):
-        users = ADS.ad_blacklist(ADS.ad_user_click_count(b), FIXTURE_BLACKLIST_THRESHOLD)
-        table.apply(v, lambda old, u=users: SINK.blacklist_insert(old, u))
+    table = ST.open_table(spark, scratch_path(spark, "sink_blacklist"), "blacklist")
+    table.seed(t.blacklist)
+    for batch, clicks in enumerate(_halves(t), 1):
+        table.write(batch, ADS.ad_blacklist(ADS.ad_user_click_count(clicks), FIXTURE_BLACKLIST_THRESHOLD))
     return table.read()
 
 
@@ -494,7 +490,7 @@ def q_scalar_functions(spark, sf_dir):
 
 # ---- dynamic blacklist for every branch (one stream, per-batch blacklist, table state) -----
 
-def _dynamic_run(spark, sf_dir):
+def _dynamic_run(spark, sf_dir, output):
     """The whole events table as three arrivals by event_id, newest first; each is one micro-batch of the
     same checkpointed stream, so lists, totals and late rows carry over from batch to batch."""
     t = fixtures(spark, sf_dir)
@@ -504,18 +500,13 @@ def _dynamic_run(spark, sf_dir):
     cfg = StreamConfig(source_dir=f"{root}/in", file_glob="part-*")
     for part in (2, 1, 0):
         events.where(F.expr(f"event_id * 3 div {top + 1}") == part).write.mode("append").parquet(f"{root}/in")
-        ST.run_dynamic(spark, cfg, f"{root}/out", seed=t.blacklist, threshold=FIXTURE_BLACKLIST_THRESHOLD)
-    return root
+        ST.run_dynamic(spark, cfg, f"{root}/out", seed=t.blacklist, threshold=FIXTURE_BLACKLIST_THRESHOLD, outputs=(output,))
+    return ST.read_table(spark, f"{root}/out", output)
 
 
-def _dynamic_table(name, schema_name):
-    def q(spark, sf_dir):
-        root = _dynamic_run(spark, sf_dir)
-        return ST.read_table(spark, f"{root}/out", name, getattr(ST, schema_name))
-    return q
+def _dynamic_table(output):
+    return lambda spark, sf_dir: _dynamic_run(spark, sf_dir, output)
 
 
-QUERIES["stream_dynamic_ad_stat"] = _dynamic_table("ad_stat", "AD_STAT_SCHEMA")
-QUERIES["stream_dynamic_province_top3"] = _dynamic_table("province_top3", "TOP3_SCHEMA")
-QUERIES["stream_dynamic_click_trend"] = _dynamic_table("click_trend", "TREND_SCHEMA")
-QUERIES["stream_dynamic_recent_hour"] = _dynamic_table("recent_hour", "RECENT_SCHEMA")
+for _output in ST.OUTPUTS:
+    QUERIES[f"stream_dynamic_{_output}"] = _dynamic_table(_output)

@@ -5,8 +5,8 @@ classpath), otherwise a file-source replay of ``events`` parquet files turned in
 lines. Each output is its own streaming query with its own checkpoint folder under the
 shared checkpoint root, so offsets and state survive a restart and a lost executor.
 
-Sinks are versioned snapshot tables (``sinks.snapshot``) written from ``foreachBatch``; a
-version is named by the batch id, so a retried batch rewrites instead of adding twice.
+Sinks are tables of batch deltas (``sinks.deltas``) written from ``foreachBatch``; a delta is a
+folder named by the batch id, so a retried batch rewrites instead of adding twice.
 """
 
 from __future__ import annotations
@@ -19,8 +19,7 @@ from pyspark.sql import types as T
 
 from clickscope.operators import ads as ADS
 from clickscope.runtime import scratch_path
-from clickscope.sinks import ops as SINK
-from clickscope.sinks.snapshot import DaySnapshotTable, SnapshotTable
+from clickscope.sinks.deltas import DeltaTable
 from clickscope.sources.fixtures import ad_log_lines
 
 USER_COUNT_SCHEMA = T.StructType([
@@ -46,8 +45,31 @@ RECENT_SCHEMA = T.StructType([
     T.StructField("ad_id", T.LongType()), T.StructField("click_count", T.LongType())])
 
 
-# Snapshot versions kept per table (or per day): the newest plus the one a retried batch reads.
-KEEP_VERSIONS = 2
+
+def _minute_day(minute):
+    return F.date_format(F.timestamp_seconds(minute * 60), "yyyy-MM-dd")
+
+
+# schema, kind, key columns and day of every output table
+TABLES = {
+    "blacklist": (BLACKLIST_SCHEMA, "rows", ["user_id"], None),
+    "user_click_count": (USER_COUNT_SCHEMA, "add", ["date_key", "user_id", "ad_id"], lambda: F.col("date_key")),
+    "ad_stat": (AD_STAT_SCHEMA, "add", ["date_key", "province", "city", "ad_id"], lambda: F.col("date_key")),
+    "province_top3": (TOP3_SCHEMA, "group", ["date_key", "province"], lambda: F.col("date_key")),
+    "click_trend": (TREND_SCHEMA, "add", ["date", "hour", "minute", "ad_id"], lambda: F.col("date")),
+    "recent_minutes": (MINUTE_SCHEMA, "add", ["minute", "ad_id"], lambda: _minute_day(F.col("minute"))),
+    "recent_hour": (RECENT_SCHEMA, "replace", ["window_start", "window_end", "ad_id"], lambda: F.substring("window_start", 1, 10)),
+}
+
+
+def open_table(spark: SparkSession, root: str, name: str) -> DeltaTable:
+    schema, kind, keys, day = TABLES[name]
+    return DeltaTable(spark, f"{root}/{name}", schema, kind, keys, day and day())
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current rows of an output table."""
+    return open_table(spark, root, name).read()
 
 
 @dataclass
@@ -105,41 +127,58 @@ def _run(stream: DataFrame, batch_fn, checkpoint: str, cfg: StreamConfig, mode:
     return None
 
 
-# ---- STR2 + STR3: dynamic blacklist --------------------------------------------------------
+# ---- what one batch does to the tables; ``batch`` is the batch id, ``df`` its kept clicks -----
 
-def run_blacklist(spark: SparkSession, cfg: StreamConfig, root: str, seed: DataFrame | None = None,
-                  threshold: int = 100, checkpoint: str | None = None):
-    """Per batch: drop users listed before this batch, add the batch's clicks to the running
-    (date, user, ad) counts, and list every user whose running count exceeds ``threshold``.
+def _extend_blacklist(counts: DeltaTable, black: DeltaTable, batch: int, kept: DataFrame, threshold: int) -> None:
+    """STR3: add the batch's clicks to the running counts; list every user whose count now passes the threshold."""
+    delta = ADS.ad_user_click_count(kept).persist()
+    try:
+        counts.write(batch, delta)
+        totals = counts.touched(delta, counts.keys, counts.span(delta))
+        black.write(batch, ADS.ad_blacklist(totals, threshold))
+    finally:
+        delta.unpersist()
 
-    Tables: ``<root>/user_click_count`` and ``<root>/blacklist``; version = batch id + 1,
-    version 0 of the blacklist is the seed.
-    """
-    counts = DaySnapshotTable(spark, f"{root}/user_click_count", USER_COUNT_SCHEMA, F.col("date_key"))
-    black = SnapshotTable(spark, f"{root}/blacklist", BLACKLIST_SCHEMA)
-    if black.latest() is None:
-        black.apply(0, lambda old: old if seed is None else seed.select("user_id"))
 
-    def batch(df: DataFrame, batch_id: int) -> None:
-        v = batch_id + 1
-        listed = black.read_before(v)
-        _extend_blacklist(counts, black, v, ADS.ad_blacklist_filter(df, listed), threshold)
-        counts.vacuum(KEEP_VERSIONS)
-        black.vacuum(KEEP_VERSIONS)
+def _add_ad_stat(stat: DeltaTable, batch: int, kept: DataFrame) -> None:
+    """STR4: cumulative clicks per (date, province, city, ad)."""
+    stat.write(batch, ADS.ad_stat(kept))
+
+
+def _rank_provinces(stat: DeltaTable, top: DeltaTable, batch: int, kept: DataFrame, n: int = 3) -> None:
+    """STR7: rank cannot run on a streaming DataFrame, so the batch ranks the (date, province) groups it touched from
+    their totals and replaces those groups."""
+    groups = kept.select(*top.keys).distinct().persist()
+    try:
+        totals = stat.touched(groups, top.keys, stat.span(groups))
+        top.write(batch, ADS.ad_province_top3(ADS.ad_province_count(totals), n))
+    finally:
+        groups.unpersist()
+
 
-    return _run(parsed_stream(spark, cfg), batch, checkpoint or f"{root}/_ckpt_blacklist", cfg, "append")
+def _add_trend(trend: DeltaTable, batch: int, kept: DataFrame) -> None:
+    """STR6: clicks per minute and ad; late rows add to their minute."""
+    trend.write(batch, ADS.ad_click_trend(kept))
 
 
-def _extend_blacklist(counts, black, v: int, kept: DataFrame, threshold: int) -> None:
-    """Add the batch's clicks to the running counts; list every user whose count now passes the threshold."""
-    keys = ["date_key", "user_id", "ad_id"]
-    delta = ADS.ad_user_click_count(kept)
-    totals = counts.apply(v, delta, lambda old, d: SINK.upsert_add(old, d, keys))
-    touched = totals.join(delta.select(*keys), keys, "left_semi")
-    black.apply(v, lambda old: SINK.blacklist_insert(old, ADS.ad_blacklist(touched, threshold)))
+def _slide_windows(minutes: DeltaTable, recent: DeltaTable, batch: int, kept: DataFrame, window_minutes: int,
+                   slide_minutes: int) -> None:
+    """STR5: add the batch's minutes to the stored ones and write the windows that hold one of them anew, from the
+    stored minutes of the days within a window length. The flagged minutes of the batch are found by a join on
+    (minute, ad)."""
+    rows = (kept.groupBy(F.expr("timestamp_ms div 60000").alias("minute"), "ad_id")
+            .agg(F.count(F.lit(1)).alias("click_count")).persist())
+    try:
+        minutes.write(batch, rows)
+        days = minutes.span(rows, early=_minute_day(F.col("minute") - window_minutes), late=_minute_day(F.col("minute") + window_minutes))
+        updated = rows.select("minute", "ad_id", F.lit(1).alias("updated"))
+        near = minutes.touched(rows, ["ad_id"], days).withColumnRenamed("click_count", "n").join(updated, ["minute", "ad_id"], "left")
+        recent.write(batch, ADS.windows_from_minutes(near, window_minutes, slide_minutes, only_flagged="updated"))
+    finally:
+        rows.unpersist()
 
 
-# ---- STR4: cumulative clicks per (date, province, city, ad) --------------------------------
+# ---- one stream per output ------------------------------------------------------------------
 
 def _filtered_stream(spark, cfg, blacklist: DataFrame | None) -> DataFrame:
     s = parsed_stream(spark, cfg)
@@ -147,172 +186,92 @@ def _filtered_stream(spark, cfg, blacklist: DataFrame | None) -> DataFrame:
     return s if blacklist is None else ADS.ad_blacklist_filter(s, blacklist)
 
 
+def run_blacklist(spark: SparkSession, cfg: StreamConfig, root: str, seed: DataFrame | None = None,
+                  threshold: int = 100, checkpoint: str | None = None):
+    """Per batch: drop users listed before this batch, add the batch's clicks to the running
+    (date, user, ad) counts, and list every user whose running count exceeds ``threshold``.
+    Tables: ``user_click_count`` and ``blacklist``, which starts as the seed."""
+    return run_dynamic(spark, cfg, root, seed, threshold, checkpoint=checkpoint or f"{root}/_ckpt_blacklist", outputs=())
+
+
 def run_ad_stat(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                 checkpoint: str | None = None):
     """Running totals kept in ``<root>/ad_stat``: each batch adds its counts. No state store, no
     watermark: rows of any age count."""
-    table = DaySnapshotTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, F.col("date_key"))
-    keys = ["date_key", "province", "city", "ad_id"]
-
-    def batch(df, batch_id):
-        table.apply(batch_id + 1, ADS.ad_stat(df), lambda old, d: SINK.upsert_add(old, d, keys))
-        table.vacuum(KEEP_VERSIONS)
-
-    return _run(_filtered_stream(spark, cfg, blacklist), batch,
+    stat = open_table(spark, root, "ad_stat")
+    return _run(_filtered_stream(spark, cfg, blacklist), lambda df, b: _add_ad_stat(stat, b, df),
                 checkpoint or f"{root}/_ckpt_ad_stat", cfg, "append")
 
 
-# ---- STR7: top-3 ads per (date, province) ---------------------------------------------------
-
 def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                       n: int = 3, checkpoint: str | None = None):
-    """Rank cannot run on a streaming DataFrame: totals are kept in a table, and each batch
-    re-ranks only the (date, province) groups it touched, then replaces those groups."""
-    stat = DaySnapshotTable(spark, f"{root}/ad_stat_for_top3", AD_STAT_SCHEMA, F.col("date_key"))
-    top = DaySnapshotTable(spark, f"{root}/province_top3", TOP3_SCHEMA, F.col("date_key"))
-    keys = ["date_key", "province", "city", "ad_id"]
-    groups = ["date_key", "province"]
-
-    def batch(df, batch_id):
-        v = batch_id + 1
-        totals = stat.apply(v, ADS.ad_stat(df), lambda old, d: SINK.upsert_add(old, d, keys))
-        touched = totals.join(df.select(*groups).distinct(), groups, "left_semi")
-        ranked = ADS.ad_province_top3(ADS.ad_province_count(touched), n)
-        top.apply(v, ranked, lambda old, d: SINK.replace_group(old, d, groups))
-        stat.vacuum(KEEP_VERSIONS)
-        top.vacuum(KEEP_VERSIONS)
+    """Top ``n`` ads per (date, province), from the running totals in ``<root>/ad_stat``."""
+    stat, top = open_table(spark, root, "ad_stat"), open_table(spark, root, "province_top3")
 
-    return _run(_filtered_stream(spark, cfg, blacklist), batch,
-                checkpoint or f"{root}/_ckpt_top3", cfg, "append")
+    def batch(df, b):
+        _add_ad_stat(stat, b, df)
+        _rank_provinces(stat, top, b, df, n)
 
+    return _run(_filtered_stream(spark, cfg, blacklist), batch, checkpoint or f"{root}/_ckpt_top3", cfg, "append")
 
-# ---- STR6: clicks per minute and ad ---------------------------------------------------------
 
 def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                     checkpoint: str | None = None):
-    """Clicks per minute and ad kept in ``<root>/click_trend``; late rows add to their minute."""
-    table = DaySnapshotTable(spark, f"{root}/click_trend", TREND_SCHEMA, F.col("date"))
-    keys = ["date", "hour", "minute", "ad_id"]
-
-    def batch(df, batch_id):
-        table.apply(batch_id + 1, ADS.ad_click_trend(df), lambda old, d: SINK.upsert_add(old, d, keys))
-        table.vacuum(KEEP_VERSIONS)
-
-    return _run(_filtered_stream(spark, cfg, blacklist), batch, checkpoint or f"{root}/_ckpt_trend", cfg, "append")
-
-
-# ---- STR5: sliding 60-minute window, 1-minute slide ----------------------------------------
-
-def _minute_day(c):
-    return F.date_format(F.timestamp_seconds(c * 60), "yyyy-MM-dd")
-
-
-def _refresh_windows(minutes: DaySnapshotTable, table: DaySnapshotTable, v: int, rows: DataFrame,
-                     window_minutes: int, slide_minutes: int) -> None:
-    """Recompute the windows holding a minute of ``rows`` (minute, ad_id, ...) from the stored
-    minutes of the days within one window length, and upsert them into ``table``."""
-    # every day from one window length before to one after
-    reach = [*range(-window_minutes, window_minutes, 1440), window_minutes]
-    offsets = rows.select("minute", F.explode(F.array(*[F.lit(o) for o in reach])).alias("o"))
-    # a handful of day values, used only to choose which day folders to read
-    days = {r[0] for r in offsets.select(_minute_day(F.col("minute") + F.col("o")).alias("d"))
-            .distinct().collect()}
-    # minutes of those days, flagged when updated by this batch; recompute only the windows
-    # that hold a flagged minute (their other minutes are within one window length, so read)
-    near = (minutes.read_days(days).select("minute", "ad_id", F.col("click_count").alias("n"))
-            .join(rows.select("minute", "ad_id", F.lit(1).alias("updated")).distinct(),
-                  ["minute", "ad_id"], "left"))
-    fresh = ADS.windows_from_minutes(near, window_minutes, slide_minutes, only_flagged="updated")
-    table.apply(v, fresh, lambda old, d: SINK.upsert_replace(old, d, ["window_start", "ad_id"]))
+    """Clicks per minute and ad kept in ``<root>/click_trend``."""
+    trend = open_table(spark, root, "click_trend")
+    return _run(_filtered_stream(spark, cfg, blacklist), lambda df, b: _add_trend(trend, b, df),
+                checkpoint or f"{root}/_ckpt_trend", cfg, "append")
 
 
 def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                     window_minutes: int = 60, slide_minutes: int = 1, checkpoint: str | None = None):
-    """Sliding windows from per-minute totals: each batch adds its minutes to ``recent_minutes`` and
-    recomputes only the windows that contain one of them, from the stored minutes of the days within
-    a window length. Rows of any age count."""
-    minutes = DaySnapshotTable(spark, f"{root}/recent_minutes", MINUTE_SCHEMA, _minute_day(F.col("minute")))
-    table = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA, F.substring("window_start", 1, 10))
-
-    def batch(df, batch_id):
-        v = batch_id + 1
-        rows = _per_minute(df)
-        minutes.apply(v, rows, lambda old, d: SINK.upsert_add(old, d, ["minute", "ad_id"]))
-        _refresh_windows(minutes, table, v, rows, window_minutes, slide_minutes)
-        minutes.vacuum(KEEP_VERSIONS)
-        table.vacuum(KEEP_VERSIONS)
-
-    return _run(_filtered_stream(spark, cfg, blacklist), batch, checkpoint or f"{root}/_ckpt_recent", cfg, "append")
+    """Sliding windows from per-minute totals in ``<root>/recent_minutes``; rows of any age."""
+    minutes, recent = open_table(spark, root, "recent_minutes"), open_table(spark, root, "recent_hour")
+    return _run(_filtered_stream(spark, cfg, blacklist),
+                lambda df, b: _slide_windows(minutes, recent, b, df, window_minutes, slide_minutes),
+                checkpoint or f"{root}/_ckpt_recent", cfg, "append")
 
 
-def _per_minute(clicks: DataFrame) -> DataFrame:
-    return (clicks.groupBy(F.expr("timestamp_ms div 60000").alias("minute"), "ad_id")
-            .agg(F.count(F.lit(1)).alias("click_count")))
+# ---- STR2 for every branch: per-batch blacklist, totals kept in the sink tables --------------
 
+OUTPUTS = ("ad_stat", "province_top3", "click_trend", "recent_hour")
 
-# ---- STR2 for every branch: per-batch blacklist, totals kept in the sink tables --------------
 
 def run_dynamic(spark, cfg: StreamConfig, root: str, seed: DataFrame | None = None, threshold: int = 100,
-                window_minutes: int = 60, slide_minutes: int = 1, checkpoint: str | None = None):
+                window_minutes: int = 60, slide_minutes: int = 1, checkpoint: str | None = None,
+                outputs: tuple[str, ...] = OUTPUTS):
     """The original layout: one stream. Each micro-batch is filtered by the blacklist as it stood before the
-    batch (version batch id; version 0 is the seed), feeds every output, and then extends the list. Running
-    totals live in the versioned day-partitioned tables, so there is no state store and no watermark.
+    batch, feeds the wanted ``outputs``, and then extends the list. Running totals live in the delta tables, so
+    there is no state store and no watermark.
 
-    Tables under ``root``: blacklist, user_click_count, ad_stat, province_top3, click_trend, recent_minutes,
-    recent_hour.
+    Tables under ``root``: blacklist and user_click_count always; ad_stat (also for province_top3), province_top3,
+    click_trend, recent_minutes and recent_hour as wanted.
     """
-    black = SnapshotTable(spark, f"{root}/blacklist", BLACKLIST_SCHEMA)
-    if black.latest() is None:
-        black.apply(0, lambda old: old if seed is None else seed.select("user_id"))
-    counts = DaySnapshotTable(spark, f"{root}/user_click_count", USER_COUNT_SCHEMA, F.col("date_key"))
-    stat = DaySnapshotTable(spark, f"{root}/ad_stat", AD_STAT_SCHEMA, F.col("date_key"))
-    top = DaySnapshotTable(spark, f"{root}/province_top3", TOP3_SCHEMA, F.col("date_key"))
-    trend = DaySnapshotTable(spark, f"{root}/click_trend", TREND_SCHEMA, F.col("date"))
-    minutes = DaySnapshotTable(spark, f"{root}/recent_minutes", MINUTE_SCHEMA, _minute_day(F.col("minute")))
-    recent = DaySnapshotTable(spark, f"{root}/recent_hour", RECENT_SCHEMA, F.substring("window_start", 1, 10))
-    stat_keys = ["date_key", "province", "city", "ad_id"]
-    groups = ["date_key", "province"]
-
-    def batch(df, batch_id):
-        v = batch_id + 1
-        kept = ADS.ad_blacklist_filter(df, black.read_before(v)).persist()
+    if set(outputs) - set(OUTPUTS):
+        raise ValueError(f"unknown outputs: {sorted(set(outputs) - set(OUTPUTS))}")
+    needs = {"blacklist", "user_click_count", *outputs}
+    needs |= {"ad_stat"} if "province_top3" in needs else set()
+    needs |= {"recent_minutes"} if "recent_hour" in needs else set()
+    t = {name: open_table(spark, root, name) for name in sorted(needs)}
+    t["blacklist"].seed(None if seed is None else seed.select("user_id"))
+
+    def batch(df, b):
+        kept = ADS.ad_blacklist_filter(df, t["blacklist"].before(b)).persist()
         try:
-            totals = stat.apply(v, ADS.ad_stat(kept), lambda old, d: SINK.upsert_add(old, d, stat_keys))
-            ranked = ADS.ad_province_top3(ADS.ad_province_count(totals))
-            top.apply(v, ranked, lambda old, d: SINK.replace_group(old, d, groups))
-            trend.apply(v, ADS.ad_click_trend(kept),
-                        lambda old, d: SINK.upsert_add(old, d, ["date", "hour", "minute", "ad_id"]))
-            per_min = _per_minute(kept)
-            minutes.apply(v, per_min, lambda old, d: SINK.upsert_add(old, d, ["minute", "ad_id"]))
-            _refresh_windows(minutes, recent, v, per_min, window_minutes, slide_minutes)
-            _extend_blacklist(counts, black, v, kept, threshold)
+            if "ad_stat" in t:
+                _add_ad_stat(t["ad_stat"], b, kept)
+            if "province_top3" in t:
+                _rank_provinces(t["ad_stat"], t["province_top3"], b, kept)
+            if "click_trend" in t:
+                _add_trend(t["click_trend"], b, kept)
+            if "recent_hour" in t:
+                _slide_windows(t["recent_minutes"], t["recent_hour"], b, kept, window_minutes, slide_minutes)
+            _extend_blacklist(t["user_click_count"], t["blacklist"], b, kept, threshold)
         finally:
             kept.unpersist()
-        for t in (stat, top, trend, minutes, recent, counts, black):
-            t.vacuum(KEEP_VERSIONS)
 
     return _run(parsed_stream(spark, cfg), batch, checkpoint or f"{root}/_ckpt_dynamic", cfg, "append")
 
 
 def fresh_root(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
-
-
-# how each output table is partitioned by day (None: one unpartitioned snapshot)
-TABLE_DAYS = {
-    "user_click_count": lambda: F.col("date_key"),
-    "ad_stat": lambda: F.col("date_key"),
-    "ad_stat_for_top3": lambda: F.col("date_key"),
-    "province_top3": lambda: F.col("date_key"),
-    "click_trend": lambda: F.col("date"),
-    "recent_hour": lambda: F.substring("window_start", 1, 10),
-    "recent_minutes": lambda: _minute_day(F.col("minute")),
-    "blacklist": None,
-}
-
-
-def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    day = TABLE_DAYS.get(name)
-    if day is None:
-        return SnapshotTable(spark, f"{root}/{name}", schema).read()
-    return DaySnapshotTable(spark, f"{root}/{name}", schema, day()).read()

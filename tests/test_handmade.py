@@ -11,7 +11,6 @@ from clickscope.operators import session as S
 from clickscope.params import TaskParams
 from clickscope.schemas import USER_VISIT_ACTION
 from clickscope.sinks import ops as SINK
-from clickscope.sinks.snapshot import SnapshotTable
 from clickscope.streaming.ad_stream import AD_STAT_SCHEMA
 from tests.conftest import rows_of
 
@@ -151,17 +150,6 @@ def test_json_status(spark):
     assert got == {1: "Self", 2: "Third Party", 3: "Third Party"}
 
 
-def test_same_batch_id_twice_is_idempotent(spark, tmp_path):
-    t = SnapshotTable(spark, str(tmp_path / "stat"), AD_STAT_SCHEMA)
-    d1 = spark.createDataFrame([("20240101", "1", "c_1", 1, 5)], AD_STAT_SCHEMA)
-    d2 = spark.createDataFrame([("20240101", "1", "c_1", 1, 7), ("20240101", "2", "c_1", 1, 1)], AD_STAT_SCHEMA)
-    keys = ["date_key", "province", "city", "ad_id"]
-    t.apply(1, lambda old: SINK.upsert_add(old, d1, keys, "click_count"))
-    first = rows_of(t.apply(2, lambda old: SINK.upsert_add(old, d2, keys, "click_count")))
-    again = rows_of(t.apply(2, lambda old: SINK.upsert_add(old, d2, keys, "click_count")))
-    assert first == again == [("20240101", "1", "c_1", 1, 12), ("20240101", "2", "c_1", 1, 1)]
-
-
 def test_only_start_age_means_no_age_filter(spark):
     df = spark.createDataFrame([("s", 1, None, None, 1, 1, "t", 99, "p", "male", "c")],
                                "session_id string, user_id long, search_keywords string, click_category_ids string, "
@@ -180,88 +168,6 @@ def test_hot_session_transitions_match_window(spark, parts):
     assert rows_of(FUN.page_transitions(a, bucket_seconds=parts)) == rows_of(FUN.page_transitions_window(a))
 
 
-def test_day_snapshot_rewrites_only_touched_days(spark, tmp_path):
-    import os
-    from clickscope.sinks.snapshot import DAY_COL, DaySnapshotTable
-    root = str(tmp_path / "days")
-    t = DaySnapshotTable(spark, root, AD_STAT_SCHEMA, F.col("date_key"))
-    keys = ["date_key", "province", "city", "ad_id"]
-    d1 = spark.createDataFrame([("20240101", "1", "c", 1, 5), ("20240102", "1", "c", 1, 3)], AD_STAT_SCHEMA)
-    d2 = spark.createDataFrame([("20240101", "1", "c", 1, 7), ("20240101", "2", "c", 1, 1)], AD_STAT_SCHEMA)
-
-    def upd(old, d):
-        return SINK.upsert_add(old, d, keys, "click_count")
-    t.apply(1, d1, upd)
-    t.apply(2, d2, upd)
-    once = rows_of(t.read())
-    t.apply(2, d2, upd)  # retried batch
-    assert rows_of(t.read()) == once == [("20240101", "1", "c", 1, 12), ("20240101", "2", "c", 1, 1),
-                                         ("20240102", "1", "c", 1, 3)]
-    assert sorted(os.listdir(f"{root}/{DAY_COL}=20240102")) == ["v=1"]
-    assert sorted(os.listdir(f"{root}/{DAY_COL}=20240101")) == ["v=1", "v=2"]
-
-
-@pytest.mark.parametrize("op", ["replace", "group", "blacklist"])
-def test_sink_ops_idempotent(spark, tmp_path, op):
-    from clickscope.streaming.ad_stream import BLACKLIST_SCHEMA, TOP3_SCHEMA
-    if op == "blacklist":
-        t = SnapshotTable(spark, str(tmp_path / op), BLACKLIST_SCHEMA)
-        t.apply(0, lambda old: spark.createDataFrame([(7,)], BLACKLIST_SCHEMA))
-        users = spark.createDataFrame([(7,), (8,), (8,)], BLACKLIST_SCHEMA)
-        a = rows_of(t.apply(1, lambda old: SINK.blacklist_insert(old, users)))
-        b = rows_of(t.apply(1, lambda old: SINK.blacklist_insert(old, users)))
-        assert a == b == [(7,), (8,)]
-        return
-    schema = AD_STAT_SCHEMA if op == "replace" else TOP3_SCHEMA
-    t = SnapshotTable(spark, str(tmp_path / op), schema)
-    if op == "replace":
-        keys = ["date_key", "province", "city", "ad_id"]
-        b1 = spark.createDataFrame([("d", "1", "c", 1, 5), ("d", "1", "c", 2, 4)], schema)
-        b2 = spark.createDataFrame([("d", "1", "c", 1, 9)], schema)
-        fn = lambda old, b: SINK.upsert_replace(old, b, keys)
-        want = [("d", "1", "c", 1, 9), ("d", "1", "c", 2, 4)]
-    else:
-        b1 = spark.createDataFrame([("d", "1", 1, 5), ("d", "1", 2, 4), ("d", "2", 3, 1)], schema)
-        b2 = spark.createDataFrame([("d", "1", 3, 9)], schema)
-        fn = lambda old, b: SINK.replace_group(old, b, ["date_key", "province"])
-        want = [("d", "1", 3, 9), ("d", "2", 3, 1)]
-    t.apply(1, lambda old: fn(old, b1))
-    first = rows_of(t.apply(2, lambda old: fn(old, b2)))
-    again = rows_of(t.apply(2, lambda old: fn(old, b2)))
-    assert first == again == want
-
-
-def test_vacuum_keeps_newest_versions(spark, tmp_path):
-    import os
-    from clickscope.sinks.snapshot import DAY_COL, DaySnapshotTable
-    root = str(tmp_path / "vac")
-    t = DaySnapshotTable(spark, root, AD_STAT_SCHEMA, F.col("date_key"))
-    keys = ["date_key", "province", "city", "ad_id"]
-    for v in (1, 2, 3):
-        d = spark.createDataFrame([("20240101", "1", "c", 1, v)], AD_STAT_SCHEMA)
-        t.apply(v, d, lambda old, x: SINK.upsert_add(old, x, keys, "click_count"))
-    t.vacuum(2)
-    assert sorted(os.listdir(f"{root}/{DAY_COL}=20240101")) == ["v=2", "v=3"]
-    assert rows_of(t.read()) == [("20240101", "1", "c", 1, 6)]
-
-
-def test_pair_emitter_ships_by_value(tmp_path):
-    """Python workers may not have this package on their path: the mapInPandas function must
-    unpickle without importing it."""
-    import subprocess
-    import sys
-    from pyspark import cloudpickle
-    blob = tmp_path / "fn.pkl"
-    blob.write_bytes(cloudpickle.dumps(FUN._pair_emitter()))
-    code = ("import pickle, sys, pandas as pd; sys.path = [p for p in sys.path if 'repo' not in p]; "
-            f"fn = pickle.loads(open({str(blob)!r}, 'rb').read()); "
-            "out = list(fn(iter([pd.DataFrame({'session_id': ['a', 'a', 'b'], 'page_id': [1, 2, 3]})]))); "
-            "print(out[0].values.tolist())")
-    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True)
-    assert res.returncode == 0, res.stderr
-    assert res.stdout.strip() == "[['a', 1, 2]]"
-
-
 def test_today_and_yesterday(spark):
     import datetime
     spark.conf.set("spark.sql.session.timeZone", "UTC")

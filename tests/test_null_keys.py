@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickscope.runtime import scratch_path
 from clickscope.sinks import ops
-from clickscope.sinks.snapshot import DaySnapshotTable
+from clickscope.sinks.deltas import DeltaTable
 
 
 def test_null_key_is_replaced_once(spark):
@@ -24,8 +24,19 @@ def test_blacklist_lists_a_null_user_once(spark):
 
 def test_null_day_adds_up(spark):
     schema = spark.createDataFrame([], "date_key string, click_count long").schema
-    table = DaySnapshotTable(spark, scratch_path(spark, "null-day"), schema, F.col("date_key"))
+    table = DeltaTable(spark, scratch_path(spark, "null-day"), schema, "add", ["date_key"], F.col("date_key"))
     for batch in (0, 1):
         delta = spark.createDataFrame([(None, 1), ("2024-01-01", 2)], schema)
-        table.apply(batch, delta, lambda old, new: ops.upsert_add(old, new, ["date_key"]))
+        table.write(batch, delta)
+        assert {tuple(r) for r in table.touched(delta, ["date_key"], table.span(delta)).collect()} == {
+            (None, batch + 1), ("2024-01-01", 2 * batch + 2)}
     assert {tuple(r) for r in table.read().collect()} == {(None, 2), ("2024-01-01", 4)}
+
+
+def test_null_keys_in_tables_that_replace(spark):
+    schema = spark.createDataFrame([], "ad_id long, click_count long").schema
+    for kind in ("replace", "group"):
+        table = DeltaTable(spark, scratch_path(spark, f"null-{kind}"), schema, kind, ["ad_id"])
+        table.write(1, spark.createDataFrame([(None, 1), (2, 5)], schema))
+        table.write(2, spark.createDataFrame([(None, 7)], schema))
+        assert {tuple(r) for r in table.read().collect()} == {(None, 7), (2, 5)}

@@ -31,9 +31,9 @@ def test_ad_program_drains_one_batch_filtered_by_the_seed(spark, tmp_path):
     root = str(tmp_path / "ads")
     PG.run_ad_program(spark, ST.StreamConfig(source_dir=SF_SMALL), root, seed_blacklist=t.blacklist,
                       threshold=FIXTURE_BLACKLIST_THRESHOLD)
-    got = ST.read_table(spark, f"{root}/stats", "ad_stat", ST.AD_STAT_SCHEMA)
+    got = ST.read_table(spark, f"{root}/stats", "ad_stat")
     assert rows_of(got) == rows_of(E.queries()["ad_stat"](spark, SF_SMALL))
-    listed = ST.read_table(spark, f"{root}/stats", "blacklist", ST.BLACKLIST_SCHEMA)
+    listed = ST.read_table(spark, f"{root}/stats", "blacklist")
     assert rows_of(listed) == rows_of(E.queries()["stream_ad_blacklist"](spark, SF_SMALL))
 
 

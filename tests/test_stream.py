@@ -34,7 +34,7 @@ def test_stream_equals_batch_across_batches_and_restart(spark, tmp_path):
     ST.run_ad_stat(spark, cfg, root, blacklist=t.blacklist, checkpoint=ckpt)
     # restart on the same checkpoint: nothing new, nothing counted twice
     ST.run_ad_stat(spark, cfg, root, blacklist=t.blacklist, checkpoint=ckpt)
-    got = ST.read_table(spark, root, "ad_stat", ST.AD_STAT_SCHEMA)
+    got = ST.read_table(spark, root, "ad_stat")
     want = ADS.ad_stat(ADS.ad_blacklist_filter(ADS.ad_log_parse(t.ad_lines), t.blacklist))
     assert rows_of(got) == rows_of(want)
 
@@ -46,7 +46,7 @@ def test_stream_blacklist_multi_batch(spark, tmp_path):
     root = str(tmp_path / "bl")
     cfg = ST.StreamConfig(source_dir=src, file_glob="events_*.parquet", max_files_per_trigger=1)
     ST.run_blacklist(spark, cfg, root, seed=t.blacklist, threshold=1)
-    got = rows_of(ST.read_table(spark, root, "blacklist", ST.BLACKLIST_SCHEMA))
+    got = rows_of(ST.read_table(spark, root, "blacklist"))
     parsed = ADS.ad_blacklist_filter(ADS.ad_log_parse(t.ad_lines), t.blacklist)
     want = rows_of(t.blacklist.unionByName(ADS.ad_blacklist(ADS.ad_user_click_count(parsed), 1)).distinct())
     assert got == want
@@ -61,6 +61,6 @@ def test_processing_time_trigger(spark, tmp_path):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = ST.read_table(spark, root, "click_trend", ST.TREND_SCHEMA)
+    got = ST.read_table(spark, root, "click_trend")
     want = ADS.ad_click_trend(ADS.ad_blacklist_filter(ADS.ad_log_parse(t.ad_lines), t.blacklist))
     assert rows_of(got) == rows_of(want)
