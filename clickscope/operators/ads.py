@@ -19,16 +19,15 @@ def ad_log_parse(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """PRJ3/PRJ4: 'timestamp_ms province city userid adid' -> typed columns + yyyyMMdd date key.
 
     A missing or non-numeric field is null; ``parsable`` tells such rows apart."""
-    parts = F.split(F.col(value_col), " ")
-    field = lambda i: F.get(parts, F.lit(i))
-    parsed = lines.select(
-        field(0).try_cast("bigint").alias("timestamp_ms"),
-        field(1).alias("province"),
-        field(2).alias("city"),
-        field(3).try_cast("bigint").alias("user_id"),
-        field(4).try_cast("bigint").alias("ad_id"),
-    )
-    return parsed.withColumn("date_key", F.date_format(F.timestamp_millis("timestamp_ms"), "yyyyMMdd"))
+    columns = _parsed_columns(F.col(value_col))
+    return lines.select(*[c.alias(name) for name, c in columns.items()])
+
+
+def _parsed_columns(value: F.Column) -> dict[str, F.Column]:
+    parts = F.split(value, " ")
+    number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
+    return {"timestamp_ms": number(0), "province": F.get(parts, F.lit(1)), "city": F.get(parts, F.lit(2)), "user_id": number(3),
+            "ad_id": number(4), "date_key": F.date_format(F.timestamp_millis(number(0)), "yyyyMMdd")}
 
 
 def parsable() -> F.Column:
@@ -37,6 +36,25 @@ def parsable() -> F.Column:
         "timestamp_ms", "province", "city", "user_id", "ad_id")]), True) == 0
 
 
+def ad_log_checked(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """The parsed columns of ``ad_log_parse`` beside the raw line and ``fault``: null for a good line, else
+    ``short`` (fewer than five fields, or none) or ``number`` (a field that must be a number is not)."""
+    raw = lines.select(F.col(value_col).alias("value"))
+    fields = F.size(F.split(F.coalesce(F.col("value"), F.lit("")), " "))
+    return (raw.withColumns(_parsed_columns(F.col("value")))
+            .withColumn("fault", F.when(fields < 5, F.lit("short")).when(~parsable(), F.lit("number"))))
+
+
+def ad_parsed(checked: DataFrame) -> DataFrame:
+    """PRJ3: the good lines, typed."""
+    return checked.where("fault is null").drop("value", "fault")
+
+
+def ad_dead_letters(checked: DataFrame) -> DataFrame:
+    """PRJ3: the lines that do not parse, as they came: value, fault and how often."""
+    return checked.where("fault is not null").groupBy("value", "fault").agg(F.count(F.lit(1)).alias("line_count"))
+
+
 def with_event_time(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("event_time", F.timestamp_millis("timestamp_ms"))
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import split_ids
+from clickscope.operators.session import maybe_in, session_bitmap
 from clickscope.params import DEFAULT_TASK_ID
 
 CLICK, ORDER, PAY = 0, 1, 2
@@ -101,18 +102,28 @@ def top10_active_session(category_sessions: DataFrame, n: int = 10,
             .select(F.lit(taskid).alias("taskid"), "category_id", "session_id", "click_count"))
 
 
-def category_session_matrix(actions: DataFrame) -> DataFrame:
-    """Click, order and pay counts per (category, session) in one pass over the actions.
+def category_session_matrix(actions: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """Click, order and pay counts per (category, session) in one pass over the actions, of the given
+    ``sessions`` only.
 
     The top-N categories and the per-session click counts are both derived from this one
     aggregate, so a pipeline that needs both reads and filters the actions once (the two
-    consumers share its exchange)."""
+    consumers share its exchange). Sessions are chosen after counting: a session with very many
+    actions is then one row per category, and raw actions are not shuffled by session at all. A
+    bitmap of the sessions (fixed size) drops most others before the counting."""
     k = F.col("kind")
-    return _category_events(actions, "session_id").groupBy("category_id", "session_id").agg(
+    if sessions is not None:
+        actions = maybe_in(actions.where(_any_category()), session_bitmap(sessions.select("session_id")))
+    matrix = _category_events(actions, "session_id").groupBy("category_id", "session_id").agg(
         F.count_if(k == CLICK).alias("click_count"),
         F.count_if(k == ORDER).alias("order_count"),
         F.count_if(k == PAY).alias("pay_count"),
     )
+    return matrix if sessions is None else matrix.join(sessions.select("session_id"), "session_id", "left_semi")
+
+
+def _any_category():
+    return ((F.col("click_category_id") != -1) | F.col("order_category_ids").isNotNull() | F.col("pay_category_ids").isNotNull())
 
 
 def full_count_from_matrix(matrix: DataFrame) -> DataFrame:

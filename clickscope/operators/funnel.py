@@ -2,10 +2,9 @@
 
 Scale notes
 - Consecutive pages per session need the session's actions in time order. The default
-  ``page_transitions`` links them inside (session, hour) windows, so a hot session is spread over
-  its hours, and then links the last row of each hour to the first of the session's next one (two
-  rows per session and hour). ``page_transitions_window`` is the plain window form, used as a
-  cross-check. Both are JVM only and each row's place depends on its own values alone.
+  ``page_transitions`` cuts all actions into ranges of (session, time, tie) and links rows inside a
+  range and then across its ends, so one session may fill many tasks. ``page_transitions_window``
+  is the plain window form, used as a cross-check.
 - Pairs are cut to the target path (broadcast: its size is the parameter's length) before
   counting, and the count is a partial + final hash aggregate.
 - Rates are computed over at most len(path) rows.
@@ -19,9 +18,6 @@ from pyspark.sql import functions as F
 from clickscope.functions import columns as C
 from clickscope.params import DEFAULT_TASK_ID
 
-BUCKET_SECONDS = 3600
-
-
 def _ordered(actions: DataFrame) -> DataFrame:
     """Session, time in seconds, tie-breaker (event_id, else page_id) and page."""
     tie = "event_id" if "event_id" in actions.columns else "page_id"
@@ -39,24 +35,31 @@ def page_transitions_window(actions: DataFrame) -> DataFrame:
             .where(F.col("to_page").isNotNull()))
 
 
-def page_transitions(actions: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """WIN4: (session, page, next page) in (time, event_id) order, skew-safe; the same rows as the
-    window form."""
-    w = Window.partitionBy("session_id", "b").orderBy("t", "tie")
-    linked = (_ordered(actions).withColumn("b", F.floor(F.col("t") / int(bucket_seconds)))
-              .select("session_id", "b", "page_id", F.lead("page_id").over(w).alias("next"),
-                      (F.lag(F.lit(1)).over(w).isNull()).alias("is_first"),
-                      (F.lead(F.lit(1)).over(w).isNull()).alias("is_last")))
-    inner = linked.where("next is not null").select("session_id", F.col("page_id").alias("from_page"),
-                                                    F.col("next").alias("to_page"))
-    edges = (linked.where("is_first or is_last").groupBy("session_id", "b")
-             .agg(F.max(F.when(F.col("is_first"), F.col("page_id"))).alias("first_page"),
-                  F.max(F.when(F.col("is_last"), F.col("page_id"))).alias("last_page")))
-    # one row per session and hour
-    across = Window.partitionBy("session_id").orderBy("b")
-    cross = edges.select("session_id", F.col("last_page").alias("from_page"),
-                         F.lead("first_page").over(across).alias("to_page"))
-    return inner.unionByName(cross.where("to_page is not null"))
+def page_transitions(actions: DataFrame, parts: int | None = None) -> DataFrame:
+    """WIN4: (session, page, next page) in (time, event_id) order, whatever the length of a session; the same rows
+    as the window form.
+
+    The rows are cut into ranges of (session, time, tie), as many as there are shuffle partitions or ``parts``; a
+    cut may fall anywhere, also inside one second of one session. ``lead`` links the rows of a range, and the last row of
+    every range is linked to the first row of the next one."""
+    keys = ["session_id", "t", "tie"]
+    ordered = _ordered(actions)
+    ranged = ordered.repartitionByRange(*([int(parts)] if parts else []), *keys).withColumn("_range", F.spark_partition_id())
+    w = Window.partitionBy("_range").orderBy(*keys)
+    linked = ranged.select(
+        "_range", "session_id", "page_id", F.lead("page_id").over(w).alias("_page"), F.lead("session_id").over(w).alias("_session"),
+        F.lag(F.lit(1)).over(w).isNull().alias("_first"), F.lead(F.lit(1)).over(w).isNull().alias("_last"))
+    same = F.col("session_id").eqNullSafe(F.col("_session")) & F.col("_page").isNotNull()
+    inner = linked.where(~F.col("_last") & same).select("session_id", F.col("page_id").alias("from_page"), F.col("_page").alias("to_page"))
+    row = F.struct("session_id", "page_id")
+    # one row per range: as many as shuffle partitions, whatever the data
+    ends = (linked.where("_first or _last").groupBy("_range")
+            .agg(F.max(F.when(F.col("_first"), row)).alias("a"), F.max(F.when(F.col("_last"), row)).alias("b")))
+    after = Window.orderBy("_range")
+    cross = (ends.select("b.session_id", F.col("b.page_id").alias("page_id"), F.lead("a").over(after).alias("n"))
+             .where(F.col("n").isNotNull() & F.col("session_id").eqNullSafe(F.col("n.session_id")) & F.col("n.page_id").isNotNull())
+             .select("session_id", F.col("page_id").alias("from_page"), F.col("n.page_id").alias("to_page")))
+    return inner.unionByName(cross)
 
 
 def target_path(spark: SparkSession, flow) -> DataFrame:

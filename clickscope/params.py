@@ -68,4 +68,7 @@ KEYWORD_PARAMS = TaskParams(
     keywords=("kw1", "kw2"),
     category_ids=("3", "4", "5", "6", "7", "8", "9"),
 )
+# Professions and cities: every second one of the generated users.
+PROFILE_PARAMS = TaskParams(professionals=tuple(f"professional{i}" for i in range(0, 100, 2)),
+                            cities=tuple(f"city{i}" for i in range(1, 25, 2)))
 DEFAULT_TASK_ID = "task-0"

@@ -18,12 +18,12 @@ from clickscope.operators import area as AREA
 from clickscope.operators import category as CAT
 from clickscope.operators import funnel as FUN
 from clickscope.operators import session as S
-from clickscope.params import DEFAULT_PARAMS, KEYWORD_PARAMS, TaskParams
+from clickscope.params import DEFAULT_PARAMS, KEYWORD_PARAMS, PROFILE_PARAMS, TaskParams
 from clickscope.runtime import scratch_path, use_utc
 from clickscope.sinks import ops as SINK
 from clickscope.sinks.deltas import DeltaTable
 from clickscope.sources import tables as SRC
-from clickscope.sources.fixtures import FixtureTables
+from clickscope.sources.fixtures import FixtureTables, damaged_ad_log_lines
 from clickscope.streaming import ad_stream as ST
 from clickscope.streaming.ad_stream import StreamConfig
 
@@ -60,6 +60,11 @@ def filtered(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
     return S.session_filter(full_info(t, p), p)
 
 
+def passing(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
+    """The same sessions as filtered(), without their lists."""
+    return S.session_passing(actions_in_range(t, p), t.users, p)
+
+
 @query("visit_actions")
 def q_visit_actions(spark, sf_dir):
     return actions_in_range(fixtures(spark, sf_dir))
@@ -85,45 +90,73 @@ def q_session_filter_keywords(spark, sf_dir):
     return filtered(fixtures(spark, sf_dir), KEYWORD_PARAMS)
 
 
+@query("session_filter_profile")
+def q_session_filter_profile(spark, sf_dir):
+    return filtered(fixtures(spark, sf_dir), PROFILE_PARAMS)
+
+
 @query("session_aggr_stat")
 def q_session_aggr_stat(spark, sf_dir):
-    return S.session_aggr_stat(filtered(fixtures(spark, sf_dir)))
+    return S.session_aggr_stat(passing(fixtures(spark, sf_dir)))
 
 
 @query("session_aggr_stat_keywords")
 def q_session_aggr_stat_keywords(spark, sf_dir):
-    return S.session_aggr_stat(filtered(fixtures(spark, sf_dir), KEYWORD_PARAMS))
+    return S.session_aggr_stat(passing(fixtures(spark, sf_dir), KEYWORD_PARAMS))
+
+
+@query("session_aggr_stat_profile")
+def q_session_aggr_stat_profile(spark, sf_dir):
+    return S.session_aggr_stat(passing(fixtures(spark, sf_dir), PROFILE_PARAMS))
 
 
 @query("session_hour_counts")
 def q_session_hour_counts(spark, sf_dir):
-    return S.session_hour_counts(filtered(fixtures(spark, sf_dir)))
+    return S.session_hour_counts(passing(fixtures(spark, sf_dir)))
 
 
 @query("session_sample_quotas")
 def q_session_sample_quotas(spark, sf_dir):
-    return S.sample_quotas(filtered(fixtures(spark, sf_dir)))
+    return S.sample_quotas(passing(fixtures(spark, sf_dir)))
+
+
+def sample(t: FixtureTables, total: int = 100) -> DataFrame:
+    return S.session_random_extract(passing(t), total, actions=actions_in_range(t))
 
 
 @query("session_random_extract")
 def q_session_random_extract(spark, sf_dir):
-    return S.session_random_extract(filtered(fixtures(spark, sf_dir)))
+    return sample(fixtures(spark, sf_dir))
 
 
 @query("session_extract_detail")
 def q_session_extract_detail(spark, sf_dir):
     t = fixtures(spark, sf_dir)
-    return S.session_extract_detail(S.session_random_extract(filtered(t)), actions_in_range(t))
+    return S.session_extract_detail(S.session_sample(passing(t)), actions_in_range(t))
+
+
+# Large enough that most hours of the generated data have a quota.
+LARGE_SAMPLE = 700
+
+
+@query("session_random_extract_large")
+def q_session_random_extract_large(spark, sf_dir):
+    return sample(fixtures(spark, sf_dir), LARGE_SAMPLE)
+
+
+@query("session_extract_detail_large")
+def q_session_extract_detail_large(spark, sf_dir):
+    t = fixtures(spark, sf_dir)
+    return S.session_extract_detail(S.session_sample(passing(t), LARGE_SAMPLE), actions_in_range(t))
 
 
 @query("session_filtered_actions")
 def q_session_filtered_actions(spark, sf_dir):
-    t = fixtures(spark, sf_dir)
-    return S.session_filtered_actions(actions_in_range(t), filtered(t))
+    return filtered_actions(fixtures(spark, sf_dir))
 
 
 def filtered_actions(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFrame:
-    return S.session_filtered_actions(actions_in_range(t, p), filtered(t, p))
+    return S.session_filtered_actions(actions_in_range(t, p), passing(t, p))
 
 
 # ---- categories ------------------------------------------------------------------------
@@ -150,11 +183,11 @@ def q_category_pay_count(spark, sf_dir):
 
 @query("category_full_count")
 def q_category_full_count(spark, sf_dir):
-    return CAT.category_full_count(filtered_actions(fixtures(spark, sf_dir)))
+    return CAT.full_count_from_matrix(category_matrix(fixtures(spark, sf_dir)))
 
 
 def category_matrix(t: FixtureTables) -> DataFrame:
-    return CAT.category_session_matrix(filtered_actions(t))
+    return CAT.category_session_matrix(actions_in_range(t), passing(t))
 
 
 def top_categories(t: FixtureTables) -> DataFrame:
@@ -328,6 +361,34 @@ def q_ad_recent_hour(spark, sf_dir):
     return ADS.ad_recent_hour(ad_filtered(fixtures(spark, sf_dir)))
 
 
+# ---- ad lines that do not parse ------------------------------------------------------------
+
+def damaged_lines(t: FixtureTables) -> DataFrame:
+    """The fixture's ad lines, some cut short, some with a word for a number, some empty."""
+    return damaged_ad_log_lines(t.raw("events"))
+
+
+@query("ad_dead_letters")
+def q_ad_dead_letters(spark, sf_dir):
+    return ADS.ad_dead_letters(ADS.ad_log_checked(damaged_lines(fixtures(spark, sf_dir))))
+
+
+@query("ad_stat_damaged")
+def q_ad_stat_damaged(spark, sf_dir):
+    t = fixtures(spark, sf_dir)
+    return ADS.ad_stat(ADS.ad_blacklist_filter(ADS.ad_parsed(ADS.ad_log_checked(damaged_lines(t))), t.blacklist))
+
+
+@query("stream_ad_dead_letters")
+def q_stream_ad_dead_letters(spark, sf_dir):
+    """The damaged lines as text files, replayed by the stream: one pass writes the totals and the dead letters."""
+    t = fixtures(spark, sf_dir)
+    root = ST.fresh_root(spark, "stream_dead_letters")
+    damaged_lines(t).write.text(f"{root}/in")
+    ST.run_ad_stat(spark, StreamConfig(source_dir=f"{root}/in", text_lines=True), f"{root}/out", blacklist=t.blacklist)
+    return ST.read_table(spark, f"{root}/out", "dead_letters")
+
+
 # ---- ad clicks (Structured Streaming replay; read back the sink tables) ------------------
 
 def _stream_cfg(sf_dir: str):

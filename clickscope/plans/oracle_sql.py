@@ -7,8 +7,7 @@ Rounding uses exact integer HALF_UP, epoch milliseconds use ``epoch_us(ts) // 10
 
 from __future__ import annotations
 
-from clickscope.params import DEFAULT_PARAMS, DEFAULT_TASK_ID, KEYWORD_PARAMS, TaskParams
-from clickscope.operators import session as S
+from clickscope.params import DEFAULT_PARAMS, DEFAULT_TASK_ID, KEYWORD_PARAMS, PROFILE_PARAMS, TaskParams
 
 P = DEFAULT_PARAMS
 TASK = DEFAULT_TASK_ID
@@ -99,9 +98,16 @@ def _session_ctes(params: TaskParams, suffix: str = "") -> list[tuple[str, str]]
     ]
 
 
-def _bucket_sql(col, lo, hi, inc):
-    c = f"{col} >= {lo}" if inc else f"{col} > {lo}"
-    return c if hi is None else f"{c} AND {col} <= {hi}"
+# The length buckets, stated here on their own.
+LENGTH_BUCKETS = [
+    ("visit_length_1s_3s", "visit_length BETWEEN 1 AND 3"), ("visit_length_4s_6s", "visit_length BETWEEN 4 AND 6"),
+    ("visit_length_7s_9s", "visit_length BETWEEN 7 AND 9"), ("visit_length_10s_30s", "visit_length BETWEEN 10 AND 30"),
+    ("visit_length_30s_60s", "visit_length > 30 AND visit_length <= 60"), ("visit_length_1m_3m", "visit_length > 60 AND visit_length <= 180"),
+    ("visit_length_3m_10m", "visit_length > 180 AND visit_length <= 600"), ("visit_length_10m_30m", "visit_length > 600 AND visit_length <= 1800"),
+    ("visit_length_30m", "visit_length > 1800"),
+    ("step_length_1_3", "step_length BETWEEN 1 AND 3"), ("step_length_4_6", "step_length BETWEEN 4 AND 6"),
+    ("step_length_7_9", "step_length BETWEEN 7 AND 9"), ("step_length_10_30", "step_length BETWEEN 10 AND 30"),
+    ("step_length_30_60", "step_length > 30 AND step_length <= 60"), ("step_length_60", "step_length > 60")]
 
 
 def _ratio_sql(n: str, d: str) -> str:
@@ -110,12 +116,8 @@ def _ratio_sql(n: str, d: str) -> str:
 
 
 def _aggr_stat_sql(filt: str) -> str:
-    parts = [(n, "visit_length", lo, hi, inc) for n, lo, hi, inc in S.VISIT_BUCKETS]
-    parts += [(n, "step_length", lo, hi, inc) for n, lo, hi, inc in S.STEP_BUCKETS]
-    counts = ",\n       ".join(f"count(*) FILTER (WHERE {_bucket_sql(c, lo, hi, inc)}) AS {n}"
-                               for n, c, lo, hi, inc in parts)
-    ratios = ",\n       ".join(f"{_ratio_sql(n, 'greatest(session_count, 1)')} AS {n}_ratio"
-                               for n, *_ in parts)
+    counts = ",\n       ".join(f"count(*) FILTER (WHERE {cond}) AS {n}" for n, cond in LENGTH_BUCKETS)
+    ratios = ",\n       ".join(f"{_ratio_sql(n, 'greatest(session_count, 1)')} AS {n}_ratio" for n, _ in LENGTH_BUCKETS)
     return f"""SELECT '{TASK}' AS taskid, session_count,
        {ratios}
   FROM (SELECT count(*) AS session_count,
@@ -143,7 +145,10 @@ def _extract_sql(filt: str, total: int = 100, seed: str = "0") -> str:
  WHERE rk <= quota"""
 
 
-SESSION_CTES = _session_ctes(P) + _session_ctes(KEYWORD_PARAMS, "_kw")
+# The columns of a sampled action.
+DETAIL_COLUMNS = ("user_id, session_id, page_id, action_time, search_keyword, click_category_id, click_product_id, "
+                  "order_category_ids, order_product_ids, pay_category_ids, pay_product_ids")
+SESSION_CTES = _session_ctes(P) + _session_ctes(PROFILE_PARAMS, "_profile") + _session_ctes(KEYWORD_PARAMS, "_kw")
 BASE_CTES = FIXTURE_CTES + SESSION_CTES
 
 # Final SELECTs per query key; each runs with every CTE above in scope.
@@ -153,6 +158,11 @@ FINAL: dict[str, str] = {
     "session_full_info": "SELECT * FROM sfull",
     "session_filter": "SELECT * FROM filt",
     "session_filter_keywords": "SELECT * FROM filt_kw",
+    "session_filter_profile": "SELECT * FROM filt_profile",
+    "session_aggr_stat_profile": _aggr_stat_sql("filt_profile"),
+    "session_random_extract_large": _extract_sql("filt", 700),
+    "session_extract_detail_large": f"""SELECT '{TASK}' AS taskid, {DETAIL_COLUMNS}
+  FROM va WHERE session_id IN (SELECT session_id FROM ({_extract_sql('filt', 700)}) x)""",
     "session_aggr_stat": _aggr_stat_sql("filt"),
     "session_aggr_stat_keywords": _aggr_stat_sql("filt_kw"),
     "session_hour_counts": _hour_counts_sql("filt"),
@@ -163,7 +173,7 @@ FINAL: dict[str, str] = {
                CAST(sum(session_count) OVER (PARTITION BY date) AS BIGINT) AS day_count,
                count(DISTINCT date) OVER () AS days
           FROM ({_hour_counts_sql('filt')}) h) q""",
-    "session_extract_detail": f"""SELECT '{TASK}' AS taskid, {', '.join(S.DETAIL_COLUMNS)}
+    "session_extract_detail": f"""SELECT '{TASK}' AS taskid, {DETAIL_COLUMNS}
   FROM va WHERE session_id IN (SELECT session_id FROM ({_extract_sql('filt')}) x)""",
     "session_filtered_actions": "SELECT * FROM va WHERE session_id IN (SELECT session_id FROM filt)",
 }
@@ -352,6 +362,21 @@ for _k, _sql in {
     register(_k, _sql, AD_CTES)
 
 
+# ---- ad lines that do not parse: the damage is made again from the events -------------------
+
+_DAMAGED = ("dmg", """SELECT CASE event_id % 16 WHEN 3 THEN concat_ws(' ', ms, prov, city)
+            WHEN 6 THEN concat_ws(' ', ms, prov, city, 'u' || uid, ad) WHEN 9 THEN concat_ws(' ', 'now', prov, city, uid, ad)
+            WHEN 12 THEN '' ELSE concat_ws(' ', ms, prov, city, uid, ad) END AS value,
+       CASE event_id % 16 WHEN 3 THEN 'short' WHEN 12 THEN 'short' WHEN 6 THEN 'number' WHEN 9 THEN 'number' END AS fault,
+       CAST(ms AS BIGINT) AS timestamp_ms, prov, city, CAST(uid AS BIGINT) AS user_id, CAST(ad AS BIGINT) AS ad_id
+  FROM (SELECT event_id, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS ms, CAST(user_id % 10 AS VARCHAR) AS prov,
+               'c_' || CAST(event_id % 3 AS VARCHAR) AS city, CAST(user_id AS VARCHAR) AS uid, CAST(k % 20 AS VARCHAR) AS ad FROM ev) x""")
+register("ad_dead_letters", "SELECT value, fault, count(*) AS line_count FROM dmg WHERE fault IS NOT NULL GROUP BY 1, 2", [_DAMAGED])
+register("stream_ad_dead_letters", "SELECT value, fault, count(*) AS line_count FROM dmg WHERE fault IS NOT NULL GROUP BY 1, 2", [_DAMAGED])
+register("ad_stat_damaged", """SELECT strftime(make_timestamp(timestamp_ms * 1000), '%Y%m%d') AS date_key, prov AS province, city, ad_id,
+       count(*) AS click_count FROM dmg WHERE fault IS NULL AND user_id % 7 <> 0 GROUP BY 1, 2, 3, 4""", [_DAMAGED])
+
+
 # ---- streaming replay: the oracle is the batch SQL ------------------------------------------
 
 for _k, _sql in {

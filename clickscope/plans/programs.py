@@ -31,16 +31,16 @@ def run_session_program(actions: DataFrame, users: DataFrame, params: TaskParams
                         taskid: str = DEFAULT_TASK_ID, sample_total: int = 100, seed: str = "0",
                         jdbc: dict | None = None) -> None:
     """Length distribution, stratified sample (+ its actions), top-10 categories and the
-    top-10 sessions of each. The filtered sessions feed four outputs, so they are persisted
-    for the duration of the job."""
+    top-10 sessions of each. The sessions that pass feed four outputs, so they are persisted
+    for the duration of the job; they hold no lists."""
     in_range = SRC.visit_actions(actions, params.start_date, params.end_date)
-    filtered = S.session_filter(S.session_full_info(S.session_summary(in_range), users), params).persist()
+    filtered = S.session_passing(in_range, users, params).persist()
     try:
         _write(S.session_aggr_stat(filtered, taskid), out, "session_stat_ratio", jdbc)
-        sample = S.session_random_extract(filtered, sample_total, seed, taskid)
+        sample = S.session_random_extract(filtered, sample_total, seed, taskid, actions=in_range)
         _write(sample, out, "session_extract", jdbc)
         _write(S.session_extract_detail(sample, in_range, taskid), out, "session_detail", jdbc)
-        matrix = CAT.category_session_matrix(S.session_filtered_actions(in_range, filtered))
+        matrix = CAT.category_session_matrix(in_range, filtered)
         top = CAT.top10_category(CAT.full_count_from_matrix(matrix), 10, taskid)
         _write(top, out, "top10_category", jdbc)
         sessions = CAT.top10_active_session(CAT.session_count_from_matrix(matrix, top), 10, taskid)

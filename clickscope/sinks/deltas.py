@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructType
@@ -48,20 +49,18 @@ class DeltaTable:
         self.day = F.lit("all") if day is None else day.cast("string")
         self.fold_every = fold_every
         self._last: tuple[int, int] | None = None
-        for folder in ("base/slot=0", "deltas/slot=0"):
-            self._put(spark.createDataFrame([], schema), folder, "ignore")
 
     # ---- writing -------------------------------------------------------------------------
 
-    def _put(self, df: DataFrame, folder: str, mode: str) -> None:
+    def _put(self, df: DataFrame, folder: str) -> None:
         """One folder, by day; AQE gives a day few files and still splits a large one."""
         (df.select(*self.schema.fieldNames()).withColumn(DAY, self.day).hint("rebalance", DAY)
-         .write.mode(mode).partitionBy(DAY).parquet(f"{self.root}/{folder}"))
+         .write.mode("overwrite").partitionBy(DAY).parquet(f"{self.root}/{folder}"))
 
     def seed(self, rows: DataFrame | None) -> None:
         """Rows that stand before the first batch; a table that already holds rows is left alone."""
         if rows is not None and self._latest() is None and self.read().isEmpty():
-            self._put(rows, "base/slot=0", "overwrite")
+            self._put(rows, "base/slot=0")
 
     def write(self, batch: int, delta: DataFrame) -> None:
         """The rows of one batch, unique by key. Writing a batch again replaces it."""
@@ -69,9 +68,9 @@ class DeltaTable:
         slot = 0 if last is None else last[1]
         if last is not None and last[0] // self.fold_every != batch // self.fold_every:
             state, slot = self._merged(self._rows(last)), 1 - slot
-            self._put(state, f"base/slot={slot}", "overwrite")
-            self._put(self.spark.createDataFrame([], self.schema), f"deltas/slot={slot}", "overwrite")
-        self._put(delta, f"deltas/slot={slot}/{BATCH}={int(batch)}", "overwrite")
+            self._put(state, f"base/slot={slot}")
+            self._put(self.spark.createDataFrame([], self.schema), f"deltas/slot={slot}")
+        self._put(delta, f"deltas/slot={slot}/{BATCH}={int(batch)}")
         self._last = (int(batch), slot)
 
     # ---- reading -------------------------------------------------------------------------
@@ -80,7 +79,12 @@ class DeltaTable:
         schema = StructType(list(self.schema.fields))
         for column, kind in (*parts, (DAY, StringType())):
             schema = schema.add(column, kind)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # nothing written yet
 
     def _latest(self, before: int | None = None) -> tuple[int, int] | None:
         """(batch, slot) of the latest delta, below ``before`` if given: the footers of one fold's files at most, or what

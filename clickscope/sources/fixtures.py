@@ -94,14 +94,14 @@ def product_info(part: DataFrame) -> DataFrame:
     )
 
 
-def ad_log_lines(events: DataFrame) -> DataFrame:
+def ad_log_lines(events: DataFrame, *keep: str) -> DataFrame:
     """events -> ``value`` lines ``timestamp_ms province city userid adid`` (space separated)."""
     keyed = events.select(
         "event_id", "user_id",
         F.expr("try_cast(regexp_extract(props, '([0-9]+)', 1) as bigint)").alias("k"),
         F.expr("unix_millis(cast(ts as timestamp))").alias("ms"),
     )
-    return keyed.select(F.concat_ws(
+    return keyed.select(*keep, F.concat_ws(
         " ",
         F.col("ms").cast("string"),
         (F.col("user_id") % 10).cast("string"),
@@ -111,6 +111,20 @@ def ad_log_lines(events: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
+def damaged_ad_log_lines(events: DataFrame) -> DataFrame:
+    """The lines of ad_log_lines(); of every 16 events one is cut after three fields, one has a user that is no
+    number, one a time that is none, and one is empty."""
+    kind = F.col("event_id") % 16
+    line = ad_log_lines(events.select("event_id", "user_id", "props", "ts"), "event_id")
+    parts = F.split("value", " ")
+    part = lambda i: F.get(parts, F.lit(i))
+    return line.select(
+        F.when(kind == 3, F.concat_ws(" ", part(0), part(1), part(2)))
+        .when(kind == 6, F.concat_ws(" ", part(0), part(1), part(2), F.concat(F.lit("u"), part(3)), part(4)))
+        .when(kind == 9, F.concat_ws(" ", F.lit("now"), part(1), part(2), part(3), part(4)))
+        .when(kind == 12, F.lit("")).otherwise(F.col("value")).alias("value"))
+
+
 def ad_blacklist_seed(events: DataFrame) -> DataFrame:
     """Fixture blacklist: every event user whose id is a multiple of 7."""
     return events.where(F.col("user_id") % 7 == 0).select(

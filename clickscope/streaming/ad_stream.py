@@ -40,6 +40,9 @@ TREND_SCHEMA = T.StructType([
 MINUTE_SCHEMA = T.StructType([
     T.StructField("minute", T.LongType()), T.StructField("ad_id", T.LongType()),
     T.StructField("click_count", T.LongType())])
+DEAD_SCHEMA = T.StructType([
+    T.StructField("value", T.StringType()), T.StructField("fault", T.StringType()),
+    T.StructField("line_count", T.LongType())])
 RECENT_SCHEMA = T.StructType([
     T.StructField("window_start", T.StringType()), T.StructField("window_end", T.StringType()),
     T.StructField("ad_id", T.LongType()), T.StructField("click_count", T.LongType())])
@@ -58,6 +61,7 @@ TABLES = {
     "province_top3": (TOP3_SCHEMA, "group", ["date_key", "province"], lambda: F.col("date_key")),
     "click_trend": (TREND_SCHEMA, "add", ["date", "hour", "minute", "ad_id"], lambda: F.col("date")),
     "recent_minutes": (MINUTE_SCHEMA, "add", ["minute", "ad_id"], lambda: _minute_day(F.col("minute"))),
+    "dead_letters": (DEAD_SCHEMA, "add", ["value", "fault"], None),
     "recent_hour": (RECENT_SCHEMA, "replace", ["window_start", "window_end", "ad_id"], lambda: F.substring("window_start", 1, 10)),
 }
 
@@ -80,6 +84,7 @@ class StreamConfig:
     kafka_options: dict | None = None        # e.g. {"kafka.bootstrap.servers": ..., "subscribe": ...}
     processing_time: str | None = None       # e.g. "5 seconds"; None -> availableNow (drain and stop)
     max_files_per_trigger: int | None = None
+    text_lines: bool = False                 # file replay of text files that hold the log lines themselves
 
 
 def ad_line_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
@@ -87,6 +92,11 @@ def ad_line_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     if cfg.kafka_options:
         return (spark.readStream.format("kafka").options(**cfg.kafka_options).load()
                 .selectExpr("CAST(value AS STRING) AS value"))
+    if cfg.text_lines:
+        reader = spark.readStream.schema("value string")
+        if cfg.max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", cfg.max_files_per_trigger)
+        return reader.text(cfg.source_dir)
     schema = spark.read.parquet(f"{cfg.source_dir.rstrip('/')}/{cfg.file_glob}").schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", cfg.file_glob)
     if cfg.max_files_per_trigger:
@@ -94,25 +104,31 @@ def ad_line_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
     return ad_log_lines(reader.parquet(cfg.source_dir))
 
 
-def parsed_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
-    return ADS.with_event_time(ADS.ad_log_parse(ad_line_stream(spark, cfg)))
+def checked_stream(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
+    """PRJ3: every line with its typed columns, the raw text and its fault, if any."""
+    return ADS.with_event_time(ADS.ad_log_checked(ad_line_stream(spark, cfg)))
 
 
-def _once_per_batch(batch_fn):
-    """Persist the micro-batch so the sink's several reads of it do not re-run the stateful
-    plan, and skip batches without rows (e.g. the watermark-only batch at the end)."""
-    def run(df: DataFrame, batch_id: int) -> None:
+def _each_batch(batch_fn, dead: DeltaTable, blacklist: DataFrame | None):
+    """One pass over a micro-batch with two branches: good lines, less those of listed users, go to ``batch_fn``,
+    the others to the dead letters. The batch is persisted, since its sinks read it several times; batches
+    without rows are skipped."""
+    def run(df: DataFrame, batch: int) -> None:
         df.persist()
         try:
             if not df.isEmpty():
-                batch_fn(df, batch_id)
+                dead.write(batch, ADS.ad_dead_letters(df))
+                good = ADS.ad_parsed(df)
+                batch_fn(good if blacklist is None else ADS.ad_blacklist_filter(good, blacklist), batch)
         finally:
             df.unpersist()
     return run
 
 
-def _run(stream: DataFrame, batch_fn, checkpoint: str, cfg: StreamConfig, mode: str = "update") -> None:
-    writer = (stream.writeStream.outputMode(mode).foreachBatch(_once_per_batch(batch_fn))
+def _run(spark: SparkSession, cfg: StreamConfig, root: str, batch_fn, checkpoint: str, blacklist: DataFrame | None = None):
+    """Run ``batch_fn(good clicks, batch id)`` per micro-batch; ``blacklist`` is a list that stands for the whole run."""
+    run = _each_batch(batch_fn, open_table(spark, root, "dead_letters"), blacklist)
+    writer = (checked_stream(spark, cfg).writeStream.outputMode("append").foreachBatch(run)
               .option("checkpointLocation", checkpoint))
     if cfg.processing_time:
         writer = writer.trigger(processingTime=cfg.processing_time)
@@ -180,12 +196,6 @@ def _slide_windows(minutes: DeltaTable, recent: DeltaTable, batch: int, kept: Da
 
 # ---- one stream per output ------------------------------------------------------------------
 
-def _filtered_stream(spark, cfg, blacklist: DataFrame | None) -> DataFrame:
-    s = parsed_stream(spark, cfg)
-    # stream-static anti join: the blacklist snapshot as of query (re)start.
-    return s if blacklist is None else ADS.ad_blacklist_filter(s, blacklist)
-
-
 def run_blacklist(spark: SparkSession, cfg: StreamConfig, root: str, seed: DataFrame | None = None,
                   threshold: int = 100, checkpoint: str | None = None):
     """Per batch: drop users listed before this batch, add the batch's clicks to the running
@@ -199,8 +209,7 @@ def run_ad_stat(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None
     """Running totals kept in ``<root>/ad_stat``: each batch adds its counts. No state store, no
     watermark: rows of any age count."""
     stat = open_table(spark, root, "ad_stat")
-    return _run(_filtered_stream(spark, cfg, blacklist), lambda df, b: _add_ad_stat(stat, b, df),
-                checkpoint or f"{root}/_ckpt_ad_stat", cfg, "append")
+    return _run(spark, cfg, root, lambda df, b: _add_ad_stat(stat, b, df), checkpoint or f"{root}/_ckpt_ad_stat", blacklist)
 
 
 def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
@@ -212,24 +221,22 @@ def run_province_top3(spark, cfg: StreamConfig, root: str, blacklist: DataFrame
         _add_ad_stat(stat, b, df)
         _rank_provinces(stat, top, b, df, n)
 
-    return _run(_filtered_stream(spark, cfg, blacklist), batch, checkpoint or f"{root}/_ckpt_top3", cfg, "append")
+    return _run(spark, cfg, root, batch, checkpoint or f"{root}/_ckpt_top3", blacklist)
 
 
 def run_click_trend(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                     checkpoint: str | None = None):
     """Clicks per minute and ad kept in ``<root>/click_trend``."""
     trend = open_table(spark, root, "click_trend")
-    return _run(_filtered_stream(spark, cfg, blacklist), lambda df, b: _add_trend(trend, b, df),
-                checkpoint or f"{root}/_ckpt_trend", cfg, "append")
+    return _run(spark, cfg, root, lambda df, b: _add_trend(trend, b, df), checkpoint or f"{root}/_ckpt_trend", blacklist)
 
 
 def run_recent_hour(spark, cfg: StreamConfig, root: str, blacklist: DataFrame | None = None,
                     window_minutes: int = 60, slide_minutes: int = 1, checkpoint: str | None = None):
     """Sliding windows from per-minute totals in ``<root>/recent_minutes``; rows of any age."""
     minutes, recent = open_table(spark, root, "recent_minutes"), open_table(spark, root, "recent_hour")
-    return _run(_filtered_stream(spark, cfg, blacklist),
-                lambda df, b: _slide_windows(minutes, recent, b, df, window_minutes, slide_minutes),
-                checkpoint or f"{root}/_ckpt_recent", cfg, "append")
+    return _run(spark, cfg, root, lambda df, b: _slide_windows(minutes, recent, b, df, window_minutes, slide_minutes),
+                checkpoint or f"{root}/_ckpt_recent", blacklist)
 
 
 # ---- STR2 for every branch: per-batch blacklist, totals kept in the sink tables --------------
@@ -244,7 +251,7 @@ def run_dynamic(spark, cfg: StreamConfig, root: str, seed: DataFrame | None = No
     batch, feeds the wanted ``outputs``, and then extends the list. Running totals live in the delta tables, so
     there is no state store and no watermark.
 
-    Tables under ``root``: blacklist and user_click_count always; ad_stat (also for province_top3), province_top3,
+    Tables under ``root``: blacklist, user_click_count and dead_letters always; ad_stat (also for province_top3), province_top3,
     click_trend, recent_minutes and recent_hour as wanted.
     """
     if set(outputs) - set(OUTPUTS):
@@ -270,7 +277,7 @@ def run_dynamic(spark, cfg: StreamConfig, root: str, seed: DataFrame | None = No
         finally:
             kept.unpersist()
 
-    return _run(parsed_stream(spark, cfg), batch, checkpoint or f"{root}/_ckpt_dynamic", cfg, "append")
+    return _run(spark, cfg, root, batch, checkpoint or f"{root}/_ckpt_dynamic")
 
 
 def fresh_root(spark: SparkSession, name: str) -> str:

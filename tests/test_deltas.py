@@ -92,10 +92,10 @@ def test_fold_that_does_not_finish_is_made_again(spark, tmp_path, monkeypatch):
         table.write(b, spark.createDataFrame([("20240101", "a", b, 5)], SCHEMA))
     want, put = rows_of(table.read()), table._put
     for stop in ("base/", "deltas/slot=0", "deltas/slot=0/batch"):
-        def failing(df, folder, mode, stop=stop):
+        def failing(df, folder, stop=stop):
             if folder.startswith(stop):
                 raise RuntimeError("executor lost")
-            put(df, folder, mode)
+            put(df, folder)
         monkeypatch.setattr(table, "_put", failing)
         with pytest.raises(RuntimeError):
             table.write(4, spark.createDataFrame([("20240101", "a", 9, 1)], SCHEMA))

@@ -49,7 +49,7 @@ def test_unpadded_hour_sorts_by_time(spark):
     r = S.session_summary(a).collect()[0]
     assert r["start_time"] == "2019-08-28 05:03:04"
     assert r["visit_length"] == 9 * 3600 + 56 * 60 + 56
-    pairs = rows_of(FUN.page_transitions(a, bucket_seconds=60))
+    pairs = rows_of(FUN.page_transitions(a, parts=60))
     assert pairs == [("s1", 1, 2)]
 
 
@@ -165,7 +165,7 @@ def test_hot_session_transitions_match_window(spark, parts):
     hot = _session(spark, [i % 10 for i in range(1500)], sid="hot")
     cold = [r for k in range(20) for r in _session(spark, [k % 10, (k + 3) % 10, k % 7], sid=f"c{k}")]
     a = actions(spark, *(hot + cold))
-    assert rows_of(FUN.page_transitions(a, bucket_seconds=parts)) == rows_of(FUN.page_transitions_window(a))
+    assert rows_of(FUN.page_transitions(a, parts=parts)) == rows_of(FUN.page_transitions_window(a))
 
 
 def test_today_and_yesterday(spark):
@@ -186,14 +186,15 @@ def test_task_params_from_json_dict():
     assert p.target_page_flow == (1, 2, 3) and p.professionals == ()
 
 
-@pytest.mark.parametrize("salts", [1, 7, 100])
-def test_salted_session_semi_join(spark, salts):
+@pytest.mark.parametrize("bits", [1, 100, 32768, 1 << 20])
+def test_session_semi_join_behind_a_bitmap(spark, bits):
+    """Few bits let more rows through to the join, none of them into the result."""
     hot = [dict(session_id="hot", page_id=i % 10, action_time=f"2024-01-01 00:{i // 60 % 60:02d}:{i % 60:02d}")
            for i in range(300)]
     cold = [dict(session_id=f"c{k}", page_id=k % 10) for k in range(30)]
     a = actions(spark, *(hot + cold))
     summ = S.session_summary(a).where(F.col("session_id") != "c3")  # c3 filtered out
-    got = rows_of(S.session_filtered_actions(a, summ, salts=salts))
+    got = rows_of(S.session_filtered_actions(a, summ, bits=bits))
     want = rows_of(a.join(summ.select("session_id"), "session_id", "left_semi").select(*a.columns))
     assert got == want and len(got) == 329
 

@@ -58,7 +58,7 @@ def test_transitions_and_summary_match_brute_force(spark, acts, parts):
     for sid, g in pdf.groupby("session_id"):
         p = list(g["page_id"])
         want += [(sid, a, b) for a, b in zip(p[:-1], p[1:])]
-    assert rows_of(FUN.page_transitions(df, bucket_seconds=parts)) == sorted(want)
+    assert rows_of(FUN.page_transitions(df, parts=parts)) == sorted(want)
     summ = {r["session_id"]: r for r in S.session_summary(df).collect()}
     for sid, g in pdf.groupby("session_id"):
         secs = [int(t[-2:]) for t in g["action_time"]]

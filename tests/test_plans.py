@@ -42,7 +42,7 @@ def test_topn_uses_group_limit_and_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan(qs["top10_category"](spark, SF_SMALL))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        for name in ["top10_active_session", "area_top3_product", "ad_province_top3", "session_random_extract"]:
+        for name in ["top10_active_session", "area_top3_product", "ad_province_top3"]:
             assert "WindowGroupLimit" in plan(qs[name](spark, SF_SMALL)), name
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
