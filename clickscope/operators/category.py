@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickscope.functions.columns import split_ids
-from clickscope.operators.session import maybe_in, session_bitmap
 from clickscope.params import DEFAULT_TASK_ID
 
 CLICK, ORDER, PAY = 0, 1, 2
@@ -109,11 +108,8 @@ def category_session_matrix(actions: DataFrame, sessions: DataFrame | None = Non
     The top-N categories and the per-session click counts are both derived from this one
     aggregate, so a pipeline that needs both reads and filters the actions once (the two
     consumers share its exchange). Sessions are chosen after counting: a session with very many
-    actions is then one row per category, and raw actions are not shuffled by session at all. A
-    bitmap of the sessions (fixed size) drops most others before the counting."""
+    actions is then one row per category, and raw actions are not shuffled by session at all."""
     k = F.col("kind")
-    if sessions is not None:
-        actions = maybe_in(actions.where(_any_category()), session_bitmap(sessions.select("session_id")))
     matrix = _category_events(actions, "session_id").groupBy("category_id", "session_id").agg(
         F.count_if(k == CLICK).alias("click_count"),
         F.count_if(k == ORDER).alias("order_count"),
@@ -122,10 +118,6 @@ def category_session_matrix(actions: DataFrame, sessions: DataFrame | None = Non
     return matrix if sessions is None else matrix.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-def _any_category():
-    return ((F.col("click_category_id") != -1) | F.col("order_category_ids").isNotNull() | F.col("pay_category_ids").isNotNull())
-
-
 def full_count_from_matrix(matrix: DataFrame) -> DataFrame:
     """category_full_count from the (category, session) matrix."""
     return matrix.groupBy("category_id").agg(
@@ -137,3 +129,8 @@ def session_count_from_matrix(matrix: DataFrame, top_categories: DataFrame) -> D
     top_ids = F.broadcast(top_categories.select("category_id"))  # at most n rows
     return (matrix.where(F.col("click_count") > 0).join(top_ids, "category_id", "left_semi")
             .select("category_id", "session_id", "click_count"))
+
+
+def single_count_from_matrix(matrix: DataFrame, count: str) -> DataFrame:
+    """AGG8-AGG10 from the matrix: one of click_count, order_count, pay_count per category that has any."""
+    return (matrix.where(F.col(count) > 0).groupBy("category_id").agg(F.sum(count).cast("bigint").alias(count)))

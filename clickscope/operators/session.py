@@ -261,8 +261,9 @@ def session_extract_detail(extract: DataFrame, actions: DataFrame,
         F.lit(taskid).alias("taskid"), *DETAIL_COLUMNS)
 
 
-# Bits of the session bitmap: 2^27 are 16 MB, whatever the number of sessions.
-SESSION_BITS = 1 << 27
+# Bits of the session bitmap: 2^24 are 2 MB, whatever the number of sessions. Fewer than about eight bits a kept
+# session let more rows through to the join; 2^30 (128 MB) serve 130 million sessions.
+SESSION_BITS = 1 << 24
 _PAGE_BITS = 32768  # bits that one row of bitmap_construct_agg holds
 
 

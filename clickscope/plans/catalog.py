@@ -161,24 +161,28 @@ def filtered_actions(t: FixtureTables, p: TaskParams = DEFAULT_PARAMS) -> DataFr
 
 # ---- categories ------------------------------------------------------------------------
 
+def category_matrix(t: FixtureTables) -> DataFrame:
+    return CAT.category_session_matrix(actions_in_range(t), passing(t))
+
+
 @query("category_universe")
 def q_category_universe(spark, sf_dir):
-    return CAT.category_universe(filtered_actions(fixtures(spark, sf_dir)))
+    return category_matrix(fixtures(spark, sf_dir)).select("category_id").distinct()
 
 
 @query("category_click_count")
 def q_category_click_count(spark, sf_dir):
-    return CAT.category_click_count(filtered_actions(fixtures(spark, sf_dir)))
+    return CAT.single_count_from_matrix(category_matrix(fixtures(spark, sf_dir)), "click_count")
 
 
 @query("category_order_count")
 def q_category_order_count(spark, sf_dir):
-    return CAT.category_order_count(filtered_actions(fixtures(spark, sf_dir)))
+    return CAT.single_count_from_matrix(category_matrix(fixtures(spark, sf_dir)), "order_count")
 
 
 @query("category_pay_count")
 def q_category_pay_count(spark, sf_dir):
-    return CAT.category_pay_count(filtered_actions(fixtures(spark, sf_dir)))
+    return CAT.single_count_from_matrix(category_matrix(fixtures(spark, sf_dir)), "pay_count")
 
 
 @query("category_full_count")
@@ -186,10 +190,6 @@ def q_category_full_count(spark, sf_dir):
     return CAT.full_count_from_matrix(category_matrix(fixtures(spark, sf_dir)))
 
 
-def category_matrix(t: FixtureTables) -> DataFrame:
-    return CAT.category_session_matrix(actions_in_range(t), passing(t))
-
-
 def top_categories(t: FixtureTables) -> DataFrame:
     return CAT.top10_category(CAT.full_count_from_matrix(category_matrix(t)))
 
