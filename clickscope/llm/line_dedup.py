@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import let, once, row_key, settle
+from clickscope.llm.common import hidden, let, once, row_key, settle, shown
 from clickscope.llm.components import connected_components
 
 MAX_EDITS = 2
@@ -191,14 +191,16 @@ def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
              .where("not whole")
              .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "some",
                      F.filter("flags", lambda x: ~x["kept"])["line_no"].alias("gone")))
-    one = once(docs, **dict(zip(("_a1", "_a2"), row_key(docs)))).dropDuplicates(["_a1", "_a2"])
+    k1, k2 = row_key(docs)
+    one = docs.select(*hidden(docs), F.inline(F.array(F.struct(F.col("text").alias("_text"), k1.alias("_a1"), k2.alias("_a2"))))
+                      ).dropDuplicates(["_a1", "_a2"])
     joined = once(one.join(settle(marks, "line-marks"), (F.col("_a1") == F.col("_k1")) & (F.col("_a2") == F.col("_k2")), "left")
-                  .where("some is null or some"), _left=_without(F.col("text"), F.col("gone")))
-    columns = {"text": F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.col("_left"))}
+                  .where("some is null or some"), _left=_without(F.col("_text"), F.col("gone")))
+    columns = {"text": F.when(F.col("gone").isNull(), F.col("_text")).otherwise(F.col("_left"))}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(
+        columns["n_chars"] = F.when(F.col("gone").isNull(), F.col(f"_in{docs.columns.index('n_chars')}")).otherwise(
             F.length("_left").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*[columns[c].alias(c) if c in columns else F.col(f"`{c}`") for c in docs.columns])
+    return joined.select(*shown(docs, **columns))
 
 
 def _without(text: Column, gone: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import row_key, settle, words_of
+from clickscope.llm.common import hidden, row_key, settle, shown, words_of
 from clickscope.llm.components import connected_components
 
 SHINGLE = 5
@@ -298,6 +298,6 @@ def near_dedup(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("first"))
             .select("first.k1", "first.k2"))
     names = ("_k1", "_k2")
-    keyed = docs.withColumns(dict(zip(names, row_key(docs)))).dropDuplicates(list(names))
+    keyed = docs.select(*hidden(docs), *[c.alias(n) for c, n in zip(row_key(docs), names)]).dropDuplicates(list(names))
     kept = settle(keep.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")), "kept")
-    return keyed.join(kept, list(names), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(kept, list(names), "left_semi").select(*shown(docs))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickscope.llm.common import broadcast_if_small, hidden, once, row_key, settle, shown, words_of
+from clickscope.llm.common import broadcast_if_small, hidden, once, row_key, settle, words_of
 
 WEIGHTS = (5, 2, 1)  # repeating, by code point of the source's name, null last
 BUCKETS = 1024
@@ -171,7 +171,7 @@ def mix(docs: DataFrame, params: MixParams = MixParams()) -> Mix:
     sources = spark.createDataFrame(targets, "source string, source_size long, target double")
     ranked = settle(_ranked(_blocks(numbers, params)), "mix-blocks")
     counts = ranked.groupBy("source").agg(F.count("*").alias("n_blocks"))
-    goal = F.broadcast(sources.join(counts, sources["source"].eqNullSafe(counts["source"]))
+    goal = broadcast_if_small(sources.join(counts, sources["source"].eqNullSafe(counts["source"]))
                        .select(sources["source"].alias("_s"), "source_size", "target", "n_blocks"))
     # whole passes, then the blocks whose middle lies before the rest of the target
     full = F.floor(F.col("target") / F.col("source_size")).cast("int")
@@ -222,21 +222,18 @@ def taken_words(mixed: Mix) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken, shards (that hold a part of it)."""
     per = mixed.draws.groupBy("k1", "k2", "copy").agg(F.sum("words").alias("taken"), F.countDistinct("shard").alias("shards"))
     each = mixed.numbers.withColumn("copy", F.explode(_copies()))
-    goal = F.broadcast(mixed.sources.withColumnRenamed("source", "_s"))
+    goal = broadcast_if_small(mixed.sources.withColumnRenamed("source", "_s"))
     return (each.join(per, ["k1", "k2", "copy"], "left")
             .join(goal, F.col("source").eqNullSafe(F.col("_s")), "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
                     F.coalesce("shards", F.lit(0)).cast("long").alias("shards")))
 
 
-def mixed_shards(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
-    """The mix by shard: the columns of `docs`, with the row's text, and mix_shard, mix_position (its seeded
-    place in the shard), mix_pass, mix_block (its first block) and mix_words.
+MIX = ["mix_shard", "mix_position", "mix_pass", "mix_block", "mix_words"]
 
-    Rows are sorted by shard and position, partition after partition: a shard is one stretch of rows, which
-    may span partitions. A row that holds a whole document keeps the text as it is; else the text is its
-    blocks with the spaces that follow their words. n_chars, if present, is counted anew where text was left out.
-    """
+
+def _mixed_rows(docs: DataFrame, params: MixParams) -> DataFrame:
+    """The rows of the mix in order: the columns of docs as hidden() names them, and the MIX columns."""
     b = params.block_words
     mixed = mix(docs, params)
     key = ["k1", "k2", "copy", "pass", "shard"]
@@ -262,10 +259,24 @@ def mixed_shards(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     if "n_chars" in docs.columns:
         own = F.col(f"_in{docs.columns.index('n_chars')}")
         columns["n_chars"] = F.when(whole, own).otherwise(F.length("_text").cast(docs.schema["n_chars"].dataType))
-    rows = cut.select(*shown(docs, **columns), "mix_shard", "mix_position", "mix_pass", "mix_block", "mix_words")
-    return rows.repartitionByRange("mix_shard", "mix_position").sortWithinPartitions("mix_shard", "mix_position")
+    out = [columns.get(c, F.col(f"_in{i}")).alias(f"_in{i}") for i, c in enumerate(docs.columns)]
+    return (cut.select(*out, *MIX).repartitionByRange("mix_shard", "mix_position")
+            .sortWithinPartitions("mix_shard", "mix_position"))
+
+
+def mixed_shards(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
+    """The mix by shard: the columns of `docs`, with the row's text, and mix_shard, mix_position (its seeded
+    place in the shard), mix_pass, mix_block (its first block) and mix_words; columns of docs with these names are
+    replaced. Tables without words, null and empty texts give no row; repeated rows are documents of their own.
+
+    Rows are sorted by shard and position, partition after partition: a shard is one stretch of rows, which
+    may span partitions. A row that holds a whole document keeps the text as it is; else the text is its
+    blocks with the spaces that follow their words. n_chars, if present, is counted anew where text was left out.
+    """
+    rows = _mixed_rows(docs, params)
+    return rows.select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns) if c not in MIX], *MIX)
 
 
 def mixed_documents(docs: DataFrame, params: MixParams = MixParams()) -> DataFrame:
     """The rows of mixed_shards, in its order, with the columns of `docs` alone."""
-    return mixed_shards(docs, params).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _mixed_rows(docs, params).select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -69,8 +69,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixed texts by shard, shuffled inside each."""
-    return mixing.mixed_shards(documents(spark, sf_dir, "doc_id", "text", "source"))
+    """Size and taken words of every document, from the draws that fill the shards."""
+    return mixing.taken_words(mixing.mix(documents(spark, sf_dir, "doc_id", "text", "source")))
 
 
 def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,18 +85,20 @@ class Tree:
         return out
 
 
-def probe_leaves(forest: list[Tree], sizes: list[np.ndarray], query: np.ndarray, wanted: float) -> list[tuple[int, int]]:
-    """Leaves (tree, leaf) in the order of the shared queue until they hold `wanted` rows."""
+def probe_leaves(forest: list[Tree], sizes: list[np.ndarray], query: np.ndarray, wanted: float, least: int = 0) -> list[tuple[int, int]]:
+    """Leaves (tree, leaf) in the order of the shared queue until they hold `wanted` rows, `least` of them in one
+    tree (whose leaves share no row), or all there are."""
     margins = [t.normals @ query - t.offsets for t in forest]
     queue = [(-np.inf, i, t.root) for i, t in enumerate(forest)]
     heapq.heapify(queue)
-    out, got = [], 0
-    while queue and got < wanted:
+    out, got, own = [], 0, [0] * len(forest)
+    while queue and (got < wanted or max(own) < least):
         worst, i, node = heapq.heappop(queue)
         if node < 0:
             if sizes[i][-1 - node]:
                 out.append((i, -1 - node))
                 got += int(sizes[i][-1 - node])
+                own[i] += int(sizes[i][-1 - node])
             continue
         m = float(margins[i][node])
         low, high = forest[i].children[node]
@@ -158,7 +160,8 @@ def _best(pairs, k: int):
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, params: ForestParams = ForestParams()) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products found for every query, ties to the smaller
-    vec_id. vectors: vec_id, embedding. queries: the same columns; a query never finds its own id."""
+    vec_id. vectors: vec_id, embedding. queries: the same columns; a query never finds its own id. A query finds all
+    candidates where there are fewer than k."""
     spark = vectors.sparkSession
     base = settle(usable(vectors), "ann-vectors")
     # of equal vectors, k + 1 smallest ids can be among the k nearest of any query
@@ -196,7 +199,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, params: ForestP
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, x in enumerate(_matrix(batch.column("v"))):
-                found = probe_leaves(forest, sizes, np.append(x, 0.0), params.probe * n)
+                found = probe_leaves(forest, sizes, np.append(x, 0.0), params.probe * n, k + 1)
                 one = batch.slice(i, 1)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([t for t, _ in found], pa.int32()), pa.array([l for _, l in found], pa.int64()),

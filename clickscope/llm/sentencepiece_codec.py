@@ -16,6 +16,7 @@ merge that ends that moment.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BATCH_CHARS = 16_000_000  # of texts that share one index
+BATCH_CHARS = 1_000_000  # of text that shares one index; a longer text is cut between words
 HELD_WORDS = 300_000  # encoded words that a task remembers between batches
 
 
@@ -297,8 +298,30 @@ class Codec:
         return out + [marks] * bool(marks)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): text i has ids[bounds[i]:bounds[i + 1]]. A null text counts as empty."""
-        cut = [self.words(t) if t else [] for t in texts]
+        """(ids, bounds): text i has ids[bounds[i]:bounds[i + 1]]. A null text counts as empty.
+
+        Texts are taken in stretches of BATCH_CHARS; what is held at once does not grow with a text."""
+        ids, counts, held, size = [], np.zeros(len(texts), np.int64), [], 0
+
+        def flush():
+            flat, bounds = self._encode([part for _, part in held])
+            ids.append(flat)
+            np.add.at(counts, [i for i, _ in held], np.diff(bounds))
+            held.clear()
+
+        for i, text in enumerate(texts):
+            for part in parts_of(text or ""):
+                if held and size + len(part) > BATCH_CHARS:
+                    flush()
+                    size = 0
+                held.append((i, part))
+                size += len(part)
+        if held:
+            flush()
+        return np.concatenate(ids) if ids else np.empty(0, np.int32), np.concatenate([[0], np.cumsum(counts)])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        cut = [self.words(t) for t in texts]
         seen = set().union(*cut)
         if len(self.index) > HELD_WORDS:
             self._forget()
@@ -323,6 +346,19 @@ class Codec:
         return text[1:] if text[:1] == " " else text
 
 
+_GAP = re.compile(rf"(?<![ {MARK}]) +(?![ {MARK}]|$)")
+
+
+def parts_of(text: str) -> Iterator[str]:
+    """A text in parts of about BATCH_CHARS, cut at the first space of a gap between words; that space is left out,
+    since encoding puts one before every part. Words do not pass a gap, so the parts' ids are the text's."""
+    at = 0
+    while len(text) - at > BATCH_CHARS and (gap := _GAP.search(text, at + BATCH_CHARS)):
+        yield text[at:gap.start()]
+        at = gap.start() + 1
+    yield text[at:]
+
+
 _CODECS: dict[str, Codec] = {}
 
 
@@ -333,18 +369,6 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of at most `most` in size each, or one row."""
-    start, held = 0, 0
-    for i, n in enumerate(sizes.tolist()):
-        if held and held + n > most:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += n
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def _added(df: DataFrame, name: str, kind: str) -> str:
     """The schema of df with one more column, for mapInArrow."""
     from pyspark.sql.types import StructType
@@ -355,21 +379,25 @@ def _added(df: DataFrame, name: str, kind: str) -> str:
          "nullable": True, "metadata": {}}]})
 
 
+ROWS = 1000  # of a result that is held at once
+
+
+def _id_lists(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat, pa.int32()))
+
+
 def sentencepiece_encode(df: DataFrame, text: str = "text", ids: str = "ids", model: str = MODEL) -> DataFrame:
     """df with the piece ids of its texts. A null or empty text has none. `ids` must be a new name.
 
     `model` is a path that every executor has; the vocabulary is loaded once per Python worker.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
         c = codec(model)
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-            for part in _slices(batch, sizes, BATCH_CHARS):
-                flat, bounds = c.encode(part.column(text).to_pylist())
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, ids])
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([*part.columns, _id_lists(*c.encode(part.column(text).to_pylist()))],
+                                                 names=[*part.schema.names, ids])
 
     return df.mapInArrow(run, _added(df, ids, "ids"))
 
@@ -391,6 +419,19 @@ def sentencepiece_decode(df: DataFrame, ids: str = "ids", text: str = "decoded",
 def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """Encode every text and decode it again: doc_id, n_ids, ids, same (the decoded text equals the text,
     a null text counting as empty; false only where a text itself holds the space mark U+2581)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(model)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                texts = part.column("text").to_pylist()
+                flat, bounds = c.encode(texts)
+                same = [c.decode(flat[bounds[i]:bounds[i + 1]]) == text for i, text in enumerate(texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(np.diff(bounds)), _id_lists(flat, bounds), pa.array(same, pa.bool_())],
+                    names=["doc_id", "n_ids", "ids", "same"])
+
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    back = sentencepiece_decode(sentencepiece_encode(rows, model=model), model=model)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", (F.col("decoded") == F.col("text")).alias("same"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_ids long, ids array<int>, same boolean")
