@@ -47,7 +47,7 @@ CLASH = ("doc_id long, text string, source string, n_chars long, some int, gone
 def _clashing(spark):
     rng = random.Random(3)
     text = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(4)]
-    rows = [(i, t, "s", len(t)) for i, t in enumerate([text[0], text[1], text[0] + "\n" + text[2], text[3], text[3], None, ""])]
+    rows = [(i, t, "s", len(t or "")) for i, t in enumerate([text[0], text[1], text[0] + "\n" + text[2], text[3], text[3], None, ""])]
     return spark.createDataFrame([(*r, *range(100, 115)) for r in rows], CLASH)
 
 
