@@ -1,7 +1,7 @@
 """Sink operations (SNK1-SNK7).
 
-The keyed operations are pure ``(old table, batch) -> new table`` DataFrame functions; the
-versioned writer in ``snapshot`` makes them idempotent per batch id. Every one of them is a
+The keyed operations are pure ``(old table, batch) -> new table`` DataFrame functions, for tables that are
+rewritten whole; ``deltas`` keeps the same results without rewriting. Every one of them is a
 union plus an aggregate or an anti join on the keys, so they partition by key and a hot key
 is pre-aggregated map-side.
 """

@@ -62,7 +62,10 @@ def test_single_pass_category_counts(spark):
 
 def test_no_cross_products_or_row_udfs_anywhere(spark):
     bad = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
-    for name, fn in E.queries().items():
+    from clickscope.plans.catalog import QUERIES
+    for name, fn in QUERIES.items():
+        if name.startswith(("stream_", "sink_")):
+            continue  # their batches run when the query is built; what is returned reads the tables
         p = plan(fn(spark, SF_SMALL))
         assert not [b for b in bad if b in p], name
 
