@@ -116,7 +116,7 @@ def slices(batch: pa.RecordBatch, overlap: int, limit: int) -> Iterator[Slice]:
         if len(a):
             cuts = (kind == 2).astype(np.int32)
             np.add.at(cuts, rows, 1)
-            run = np.cumsum(cuts)[a]
+            run = np.cumsum(cuts, out=cuts)[a]
             of_row = first_row + np.searchsorted(rows, a, "right")
             lengths = np.concatenate([[0], np.cumsum(b - a)])
             strings = pa.Array.from_buffers(pa.large_string(), len(a), [None, pa.py_buffer(lengths.astype(np.int64)),
