@@ -167,23 +167,23 @@ def judge(features: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
-                     params: RiskParams = RiskParams()) -> DataFrame:
-    """One row per document with its counts and `kept`; the input's columns come along hidden.
-
-    Null stratum: a stratum of its own. Empty table: empty result. Repeated rows: judged alike.
-    Columns of `docs` other than doc_id, text and the stratum only travel along.
+                     params: RiskParams = RiskParams(), carried: bool = True) -> DataFrame:
+    """One row per document: doc_id, its stratum as _lang, its counts, base_failed, its scores and `kept`; the
+    input's columns come along hidden if `carried`.
+
+    Every document is measured once, into a table; the holdout joins its ids and scores with the labels, so no
+    text is shuffled. Null stratum: a stratum of its own. Null and empty texts have no word, so they fail the
+    base rules. Empty table: empty result. Repeated rows: judged alike. Columns of `docs` other than doc_id, text
+    and the stratum take no part.
     """
-    def measured(rows):
-        return with_features(rows.select(*hidden(docs), F.col("doc_id"), F.col("text"),
-                                         F.col(stratum).alias("_lang")))
-
-    ids = labels.where("doc_id is not null and quality is not null").select("doc_id").distinct()
-    holdout = measured(docs.join(ids, "doc_id", "left_semi").select(docs.columns))
-    cutoffs = thresholds(holdout, labels, "_lang", params)
-    return judge(measured(docs), cutoffs, "_lang")
+    rows = docs.select(*(hidden(docs) if carried else []), F.col("doc_id"), F.col("text").alias("_text"),
+                       F.col(stratum).alias("_lang"))
+    measured = settle(with_features(rows, "_text").drop("_text"), "quality-scores")
+    holdout = measured.select("doc_id", "_lang", "base_failed", *[f"s_{r}" for r in RULES])
+    return judge(measured, thresholds(holdout, labels, "_lang", params), "_lang")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang",
                    params: RiskParams = RiskParams()) -> DataFrame:
-    """The rows of `docs` that the rules keep, with their own columns."""
+    """The rows of `docs` that the rules keep, with their own columns; special cases as in quality_verdicts."""
     return quality_verdicts(docs, labels, stratum, params).where("kept").select(*shown(docs))

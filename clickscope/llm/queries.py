@@ -16,7 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and risk-controlled verdict of every document."""
-    verdicts = quality_rules.quality_verdicts(documents(spark, sf_dir, "doc_id", "text", "lang"), _table(spark, sf_dir, "labels"))
+    verdicts = quality_rules.quality_verdicts(documents(spark, sf_dir, "doc_id", "text", "lang"), _table(spark, sf_dir, "labels"), carried=False)
     return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
