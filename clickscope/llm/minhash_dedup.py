@@ -312,16 +312,22 @@ def _open(members: DataFrame, roots: DataFrame, group: str) -> DataFrame:
 def _keys(open_: DataFrame, held: DataFrame, weights, rarity, similarity: float) -> DataFrame:
     """node, key, found: (bucket, rare shingle, kind, size level) of the texts of open buckets; a pair within
     reach that shares a bucket shares a key that `found` marks for one of them."""
-    nodes = settle(open_.select(F.col("node").alias("f1")).distinct(), "open-nodes")
-    prefixes = settle(held.join(nodes, "f1", "left_semi").select("f1", _hashed(F.col("text")).alias("words"))
-                      .mapInArrow(_prefixes(weights, rarity, similarity), "node long, shingle long, kind int, low int, high int, found int"),
-                      "prefixes")
-    shared = (prefixes.groupBy("shingle", "kind").agg(F.count("*").alias("n"), F.max("found").alias("some"))
-              .where("n > 1 and some >= 0").select("shingle", "kind"))
-    entries = prefixes.join(shared, ["shingle", "kind"]).join(open_.select("node", "bucket"), "node")
-    return settle(entries.select("node", "bucket", "shingle", "kind", "found", F.explode(F.sequence("low", "high")).alias("level"))
-                  .select("node", F.xxhash64("bucket", "shingle", "kind", "level").alias("key"), (F.col("found") == F.col("level")).alias("found")),
-                  "keys")
+    nodes = settle(open_.select(F.col("node").alias("f1"), "root").distinct(), "open-nodes")
+    prefixes = (held.join(nodes, "f1", "left_semi").select("f1", _hashed(F.col("text")).alias("words"))
+                .mapInArrow(_prefixes(weights, rarity, similarity), "node long, shingle long, kind int, low int, high int, found int"))
+    rare = settle(prefixes.join(nodes.withColumnRenamed("f1", "node"), "node"), "prefixes")
+    for levels in (False, True):
+        # a key serves only where classes differ, first whatever the size level, then at each
+        by = ["shingle", "kind", "level"][:2 + levels]
+        useful = (rare.groupBy(*by).agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.max("found").alias("some"))
+                  .where("r1 <> r2 and some >= 0").select(*by))
+        rare = rare.join(useful, by)
+        if not levels:
+            rare = settle(rare.select("node", "root", "shingle", "kind", F.explode(F.sequence("low", "high")).alias("level"),
+                                      F.col("found").alias("own"))
+                          .withColumn("found", F.when(F.col("own") == F.col("level"), 0).otherwise(-1)).drop("own"), "rare")
+    return settle(rare.join(open_.select("node", "bucket"), "node")
+                  .select("node", F.xxhash64("bucket", "shingle", "kind", "level").alias("key"), (F.col("found") >= 0).alias("found")), "keys")
 
 
 def _links(buckets: DataFrame, held: DataFrame, weights, rarity, similarity: float) -> tuple[DataFrame, DataFrame]:
