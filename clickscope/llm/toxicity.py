@@ -3,12 +3,12 @@
 A word (a run of bytes between white space and ASCII punctuation, A-Z lowered) enters as the embedding of
 its hash beside the mean embedding of its character trigrams (over UTF-8), so unseen forms of a known stem still speak. Two GRUs read a window of WINDOW words forwards and backwards; attention
 pools their states; a linear layer gives the window's logit. A document is scored by its highest window,
-over all windows (they start every STRIDE words and overlap).
+over all windows (they start every STRIDE words, so every passage of STRIDE words lies whole in one).
 
 Training fits on a bounded sample: at most `per_class` labelled documents of each class (smallest hashes of
-doc_id), at most `max_windows` windows of each. Labels belong to documents, so every epoch trains on the
-highest window of each document and a random one of each clean document; a first epoch on all windows
-starts it off. A fifth of the sample calibrates the scores for the true share of the classes.
+doc_id), all windows of each. Labels belong to documents, so every epoch trains on the highest window of each
+document and on half as many random clean ones; a first epoch on all windows, where each document weighs the
+same, starts it off. A fifth of the sample calibrates the scores for the true share of the classes.
 
 Scoring runs in Arrow batches: the input side of both GRUs is computed once per distinct word of a batch.
 """
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, STRIDE = 48, 36
+WINDOW, STRIDE = 48, 24
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 12
 WORD_BITS, CHAR_BITS = 16, 15
 BATCH_WORDS = 400_000
@@ -41,7 +41,6 @@ def _scramble(x: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class ToxicityParams:
     per_class: int = 1200
-    max_windows: int = 40
     epochs: int = 9
     rate: float = 0.02
     seed: int = 3
@@ -236,19 +235,16 @@ def train(texts: list[str | None], labels: np.ndarray, shares: tuple[float, floa
     """Fit on whole sampled documents. shares: documents of class 0 and 1 among all labelled ones."""
     net, rng = Net(params.seed), np.random.default_rng(params.seed)
     words, ids, owner = windows_of(texts)
-    order = rng.permutation(len(ids))
-    rank = np.empty(len(ids), np.int64)
-    rank[order[np.argsort(owner[order], kind="stable")]] = np.arange(len(ids)) - np.searchsorted(owner, owner)
-    few = rank < params.max_windows
-    ids, owner = ids[few], owner[few]
     fit = np.arange(len(texts)) % 5 != 0
     adam = _Adam(net, params.rate)
     for epoch in range(params.epochs):
-        value = net.logits(words, ids) if epoch else rng.random(len(ids))
+        weight = np.ones(len(ids), np.float32)
         if epoch == 0:
-            chosen = np.flatnonzero(fit[owner])[:12_000] if fit.any() else np.empty(0, np.int64)
+            chosen = np.flatnonzero(fit[owner])
+            weight = (1 / np.bincount(owner, minlength=len(texts)))[owner].astype(np.float32)
+            weight /= weight.mean() if len(weight) else 1
         else:
-            top = np.lexsort((-value, owner))
+            top = np.lexsort((-net.logits(words, ids), owner))
             top = top[np.concatenate([[True], owner[top][1:] != owner[top][:-1]])]
             clean = np.flatnonzero(labels[owner] == 0)
             more = rng.choice(clean, min(len(clean), len(texts) // 2), replace=False) if len(clean) else clean
@@ -261,7 +257,7 @@ def train(texts: list[str | None], labels: np.ndarray, shares: tuple[float, floa
             used, local = np.unique(ids[rows], return_inverse=True)
             part = _subset(words, used)
             y = labels[owner[rows]].astype(np.float32)
-            adam.step(net.gradients(part, local.reshape(len(rows), WINDOW) + (used[0] != 0), y, np.ones(len(rows), np.float32)))
+            adam.step(net.gradients(part, local.reshape(len(rows), WINDOW) + (used[0] != 0), y, weight[rows]))
     _calibrate(net, highest(net.logits(words, ids), owner, len(texts))[~fit], labels[~fit], shares)
     return net
 
