@@ -14,14 +14,21 @@ then line number) stays. Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import hidden, let, once, row_key, settle, shown
+from clickscope.llm.common import broadcast_if_small, hidden, let, once, row_key, settle, shown
 from clickscope.llm.components import connected_components
+from clickscope.operators.session import maybe_in, session_bitmap
 
 MAX_EDITS = 2
 MIN_CHARS = 40
+STEP = 16  # lengths a nominal length stands for
+FEW = 16  # lines under one key that are paired; more are keyed anew by finer pieces
+FINER = (6,)  # pieces of a line at the finer levels
+BAG_CHARS = 30_000  # below 2^15: counts of longer lines may pass 63 bits
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -80,27 +87,95 @@ def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return F.lit(i) * base + F.greatest(F.lit(0), F.lit(i) - short), base + (F.lit(i) >= short).cast("int")
 
 
-def _index_keys(line: Column, length: Column, max_edits: int) -> Column:
+def _cells(length: Column, max_edits: int, min_chars: int) -> Column:
+    """The nominal lengths a line is cut for: its own, rounded down, and those of lines up to max_edits shorter.
+    Two lines within reach share that of the shorter one."""
+    step = max(max_edits, 1, min(STEP, min_chars // 2))
+    return F.array_distinct(F.array(*[(length - d) - (length - d) % step for d in range(max_edits + 1)]))
+
+
+def _piece_keys(line: Column, length: Column, cell: Column, max_edits: int) -> Column:
+    """One piece of max_edits + 1 is unchanged, with i edits before it if it is piece i. The first pieces keep
+    their place from the start, the last ones from the end, up to a shift by the edits on that side. Of two
+    lines either may be the shifted one, so up to 2 edits shifts to one side are enough."""
     keys = []
     for i in range(max_edits + 1):
-        start, size = _segment(length, i, max_edits + 1)
-        keys.append(F.xxhash64(F.substring(line, start + 1, size), length, F.lit(i)))
+        at = F.floor(cell * i / (max_edits + 1)).cast("int")
+        size = F.floor(cell * (i + 1) / (max_edits + 1)).cast("int") - at
+        most = min(i, max_edits - i)
+        start = at if i <= max_edits - i else length - (cell - at)
+        for shift in range(0 if max_edits <= 2 else -most, most + 1):
+            keys.append(F.xxhash64(cell, F.lit(i), F.substring(line, start + shift + 1, size)))
     return F.array(*keys)
 
 
-def _probe_keys(line: Column, length: Column, max_edits: int, min_chars: int) -> Column:
-    """The substrings that can equal segment i of a line `less` characters shorter: edits before the
-    segment bound its shift on the left, edits after it on the right."""
+def _rest_keys(line: Column, length: Column, cell: Column, max_edits: int, parts: int) -> Column:
+    """Everything outside max_edits (1 or 2) open pieces of `parts`. What is before the first open piece keeps
+    its place from the start, what is after the last from the end; what is between two pieces with an edit each
+    is shifted by at most one. Two edits in one piece leave all unchanged outside it and a neighbour."""
+    at = [F.floor(cell * i / parts).cast("int") for i in range(parts + 1)]
     keys = []
-    for less in range(max_edits + 1):
-        target = length - less
-        for i in range(max_edits + 1):
-            start, size = _segment(target, i, max_edits + 1)
-            for shift in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1):
-                at = start + shift
-                keys.append(F.when((target >= min_chars) & (at >= 0) & (at + size <= length),
-                                   F.xxhash64(F.substring(line, at + 1, size), target, F.lit(i))))
-    return F.array_compact(F.array(*keys))
+    for u in range(parts):
+        for v in range(u + 1, parts) if max_edits == 2 else [u]:
+            for shift in range(2 if v > u + 1 else 1):
+                middle = [F.substring(line, at[u + 1] + shift + 1, at[v] - at[u + 1])] if v > u + 1 else []
+                keys.append(F.xxhash64(cell, F.lit(u), F.lit(v), F.substring(line, F.lit(1), at[u]), *middle,
+                                       F.substring(line, length - (cell - at[v + 1]) + 1, cell - at[v + 1])))
+    return F.array(*keys)
+
+
+def _bags(line: Column) -> Column:
+    """How many characters fall in each of 21 classes (code point mod 21), 7 counts of 8 bits in each of three longs.
+    Sums carry over exactly; of a line too long for 63 bits: null."""
+    ones = [F.array(*[F.lit(1 << 8 * (r % 7) if r // 7 == k else 0).cast("long") for r in range(21)]) for k in range(3)]
+
+    def counts(chars, k):
+        return F.aggregate(chars, F.lit(0).cast("long"), lambda n, c: n + F.get(ones[k], F.ascii(c) % 21))
+
+    return F.when(F.length(line) < BAG_CHARS, let(F.split(line, ""), lambda chars: F.array(*[counts(chars, k) for k in range(3)])))
+
+
+def _bags_agree(a: Column, b: Column, max_edits: int) -> Column:
+    """A necessary condition: an edit changes one count, or two by one in opposite directions."""
+    apart = F.lit(0).cast("long")
+    for k in range(3):
+        shifted = F.get(a, F.lit(k)) - F.get(b, F.lit(k)) + sum(64 << 8 * i for i in range(7))
+        for i in range(7):
+            apart = apart + F.abs(F.shiftright(shifted, 8 * i).bitwiseAND(255) - 64)
+    return F.coalesce(apart <= 2 * max_edits, F.lit(True))
+
+
+def _candidates(long: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
+    """Pairs a < b that may be within reach, none within reach left out. `long`: h1, line, length.
+
+    Lines that share a key meet. Where more than FEW share one, they are not paired but keyed again by finer
+    pieces, of which all but max_edits must be unchanged, and paired only if their characters' counts agree.
+    """
+    rest, found = long.withColumn("bags", F.lit(None).cast("array<bigint>")), []
+    levels = [0, *(FINER if max_edits in (1, 2) else [])]
+    for parts in levels:
+        celled = rest.select("h1", "line", "length", "bags", F.explode(_cells(F.col("length"), max_edits, min_chars)).alias("cell"))
+        args = F.col("line"), F.col("length"), F.col("cell"), max_edits
+        carried = ["h1", "length", *(["bags"] if parts else [])]
+        keys = settle(celled.select(*carried, F.explode(_rest_keys(*args, parts) if parts else _piece_keys(*args)).alias("key")), "line-keys")
+        met = settle(keys.groupBy("key").agg(
+            F.min("h1").alias("a"), F.max("h1").alias("b"), F.min("length").alias("low"), F.max("length").alias("high"),
+            F.count("*").alias("n")).where("a < b"), "line-meetings")
+        last = parts == levels[-1]
+        found.append(met.where((F.col("n") == 2) & (F.col("high") - F.col("low") <= max_edits)).select("a", "b"))
+        several = met.where((F.col("n") > 2) & (F.lit(last) | (F.col("n") <= FEW)))
+        members = settle(keys.join(broadcast_if_small(several.select("key")), "key"), "line-members")
+        others = members.select("key", *[F.col(c).alias(f"{c}_2") for c in carried])
+        near = (F.col("h1") < F.col("h1_2")) & (F.abs(F.col("length") - F.col("length_2")) <= max_edits)
+        if parts:
+            near = near & _bags_agree(F.col("bags"), F.col("bags_2"), max_edits)
+        found.append(members.join(others, (members["key"] == others["key"]) & near).select(F.col("h1").alias("a"), F.col("h1_2").alias("b")))
+        crowded = met.where(F.col("n") > FEW)
+        if last or crowded.isEmpty():
+            break
+        again = settle(keys.join(broadcast_if_small(crowded.select("key")), "key").select("h1").distinct(), "line-again")
+        rest = settle(long.join(broadcast_if_small(again), "h1", "left_semi").withColumn("bags", _bags(F.col("line"))), "line-rest")
+    return settle(reduce(DataFrame.unionByName, found).distinct(), "line-pairs")
 
 
 def _enough_pieces(a: Column, b: Column, max_edits: int) -> Column:
@@ -119,6 +194,37 @@ def _enough_pieces(a: Column, b: Column, max_edits: int) -> Column:
     return found >= parts - max_edits
 
 
+def _ends_agree(a: Column, b: Column, max_edits: int) -> Column:
+    """A necessary condition for 1 or 2 edits, far cheaper than the distance. Outside the common start and the
+    common end of two lines the first characters differ and so do the last: an edit lies at either end of what
+    is left, and between them the lines are equal."""
+    most = F.least(F.length(a), F.length(b))
+    steps = F.reverse(F.transform(F.sequence(F.lit(0), F.length(F.bin(most)) - 1), lambda i: F.pow(F.lit(2), i).cast("int")))
+
+    def common(limit, part):  # the longest n <= limit with part(a, n) = part(b, n), bit by bit
+        return F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+            (n + step <= limit) & (part(a, n, step) == part(b, n, step)), n + step).otherwise(n))
+
+    def between(start, end):  # lengths of the common start and end
+        cut = lambda x, front, back: F.substring(x, start + 1 + front, F.length(x) - start - end - front - back)
+        left = lambda x: F.length(x) - start - end
+        one = [(1, 1), (1, 0), (0, 1)]  # characters that an edit takes from a and from b
+        fits = lambda x, y: (left(a) >= x) & (left(b) >= y)
+        ways = F.lit(False)
+        for x, y in one:
+            if max_edits == 1:
+                ways = ways | (fits(x, y) & (cut(a, x, 0) == cut(b, y, 0)))
+            else:
+                for x2, y2 in one:
+                    ways = ways | (fits(x + x2, y + y2) & (cut(a, x, x2) == cut(b, y, y2)))
+        return ways | (F.greatest(left(a), left(b)) <= max_edits)
+
+    front = common(most, lambda x, n, step: F.substring(x, n + 1, step))
+    return let(front, lambda start: let(
+        common(most - start, lambda x, n, step: F.substring(x, F.length(x) - n - step + 1, step)),
+        lambda end: between(start, end)))
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """One row per line that holds a word: doc_id, k1, k2 (the row's key), line_no (from 0), line, h1, h2."""
     keyed = docs.select("doc_id", *[c.alias(n) for c, n in zip(row_key(docs), ("k1", "k2"))],
@@ -138,15 +244,13 @@ def line_links(distinct: DataFrame, max_edits: int = MAX_EDITS, min_chars: int =
     if min_chars <= max_edits:
         raise ValueError("min_chars must exceed max_edits")
     long = distinct.withColumn("length", F.length("line")).where(F.col("length") >= min_chars)
-    line, length = F.col("line"), F.col("length")
-    index = long.select("h1", F.explode(_index_keys(line, length, max_edits)).alias("key"))
-    probe = long.select(F.col("h1").alias("g1"), F.explode(_probe_keys(line, length, max_edits, min_chars)).alias("key"))
-    pairs = settle(index.join(probe, "key").where("h1 <> g1")
-                   .select(F.least("h1", "g1").alias("a"), F.greatest("h1", "g1").alias("b")).distinct(), "line-pairs")
-    texts = long.select("h1", "line")
+    pairs = _candidates(long, max_edits, min_chars)
+    # a bitmap of fixed size drops most lines without a pair before their texts are shuffled
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("session_id"))
+    texts = maybe_in(long.select(F.col("h1").alias("session_id"), "line"), session_bitmap(ends)).withColumnRenamed("session_id", "h1")
     both = (pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
             .join(texts.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
-            .where(_enough_pieces(F.col("line_a"), F.col("line_b"), max_edits)))
+            .where((_ends_agree if max_edits in (1, 2) else _enough_pieces)(F.col("line_a"), F.col("line_b"), max_edits)))
     return settle(once(both, distance=banded_distance(F.col("line_a"), F.col("line_b"), max_edits))
                   .select("a", "b", "distance").where("distance is not null"), "line-links")
 
