@@ -42,17 +42,27 @@ def shown(docs: DataFrame, **changed: Column) -> list[Column]:
     return [changed.get(c, F.col(f"_in{i}")).alias(c) for i, c in enumerate(docs.columns)]
 
 
-def settle(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+def settle(df: DataFrame, name: str, compression: str = "zstd", passing: list[str] | None = None) -> DataFrame:
     """Cut the lineage: write df under the shared checkpoint folder and read it back.
 
-    The written table survives the loss of any executor, and its size is known to the planner.
+    The written table survives the loss of any executor, and its size is known to the planner. Its folder is
+    added to `passing`, if given, for discard().
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.option("compression", compression).parquet(path)
+    if passing is not None:
+        passing.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, passing: list[str]) -> None:
+    """Delete tables that settle() wrote, once whatever was made of them is settled itself."""
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, passing):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    passing.clear()
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only where a count shows at most `rows` rows; otherwise a shuffle join."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

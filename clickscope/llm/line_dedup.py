@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickscope.llm.common import broadcast_if_small, hidden, let, once, row_key, settle, shown
+from clickscope.llm.common import broadcast_if_small, discard, hidden, let, once, row_key, settle, shown
 from clickscope.llm.components import connected_components
 from clickscope.operators.session import maybe_in, session_bitmap
 
@@ -145,7 +145,7 @@ def _bags_agree(a: Column, b: Column, max_edits: int) -> Column:
     return F.coalesce(apart <= 2 * max_edits, F.lit(True))
 
 
-def _candidates(long: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
+def _candidates(long: DataFrame, max_edits: int, min_chars: int, passing: list[str]) -> DataFrame:
     """Pairs a < b that may be within reach, none within reach left out. `long`: h1, line, length.
 
     Lines that share a key meet. Where more than FEW share one, they are not paired but keyed again by finer
@@ -157,14 +157,14 @@ def _candidates(long: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
         celled = rest.select("h1", "line", "length", "bags", F.explode(_cells(F.col("length"), max_edits, min_chars)).alias("cell"))
         args = F.col("line"), F.col("length"), F.col("cell"), max_edits
         carried = ["h1", "length", *(["bags"] if parts else [])]
-        keys = settle(celled.select(*carried, F.explode(_rest_keys(*args, parts) if parts else _piece_keys(*args)).alias("key")), "line-keys")
+        keys = settle(celled.select(*carried, F.explode(_rest_keys(*args, parts) if parts else _piece_keys(*args)).alias("key")), "line-keys", passing=passing)
         met = settle(keys.groupBy("key").agg(
             F.min("h1").alias("a"), F.max("h1").alias("b"), F.min("length").alias("low"), F.max("length").alias("high"),
-            F.count("*").alias("n")).where("a < b"), "line-meetings")
+            F.count("*").alias("n")).where("a < b"), "line-meetings", passing=passing)
         last = parts == levels[-1]
         found.append(met.where((F.col("n") == 2) & (F.col("high") - F.col("low") <= max_edits)).select("a", "b"))
         several = met.where((F.col("n") > 2) & (F.lit(last) | (F.col("n") <= FEW)))
-        members = settle(keys.join(broadcast_if_small(several.select("key")), "key"), "line-members")
+        members = settle(keys.join(broadcast_if_small(several.select("key")), "key"), "line-members", passing=passing)
         others = members.select("key", *[F.col(c).alias(f"{c}_2") for c in carried])
         near = (F.col("h1") < F.col("h1_2")) & (F.abs(F.col("length") - F.col("length_2")) <= max_edits)
         if parts:
@@ -173,9 +173,9 @@ def _candidates(long: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
         crowded = met.where(F.col("n") > FEW)
         if last or crowded.isEmpty():
             break
-        again = settle(keys.join(broadcast_if_small(crowded.select("key")), "key").select("h1").distinct(), "line-again")
-        rest = settle(long.join(broadcast_if_small(again), "h1", "left_semi").withColumn("bags", _bags(F.col("line"))), "line-rest")
-    return settle(reduce(DataFrame.unionByName, found).distinct(), "line-pairs")
+        again = settle(keys.join(broadcast_if_small(crowded.select("key")), "key").select("h1").distinct(), "line-again", passing=passing)
+        rest = settle(long.join(broadcast_if_small(again), "h1", "left_semi").withColumn("bags", _bags(F.col("line"))), "line-rest", passing=passing)
+    return settle(reduce(DataFrame.unionByName, found).distinct(), "line-pairs", passing=passing)
 
 
 def _enough_pieces(a: Column, b: Column, max_edits: int) -> Column:
@@ -239,32 +239,35 @@ def distinct_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy("h1", "h2").agg(F.min(first).alias("first")).select("h1", "h2", "first.*")
 
 
-def line_links(distinct: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_links(distinct: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, passing: list[str] | None = None) -> DataFrame:
     """All pairs a < b of distinct lines (by h1) of at least min_chars within max_edits, with their distance."""
     if min_chars <= max_edits:
         raise ValueError("min_chars must exceed max_edits")
     long = distinct.withColumn("length", F.length("line")).where(F.col("length") >= min_chars)
-    pairs = _candidates(long, max_edits, min_chars)
+    pairs = _candidates(long, max_edits, min_chars, inner := [])
     # a bitmap of fixed size drops most lines without a pair before their texts are shuffled
     ends = pairs.select(F.explode(F.array("a", "b")).alias("session_id"))
     texts = maybe_in(long.select(F.col("h1").alias("session_id"), "line"), session_bitmap(ends)).withColumnRenamed("session_id", "h1")
     both = (pairs.join(texts.select(F.col("h1").alias("a"), F.col("line").alias("line_a")), "a")
             .join(texts.select(F.col("h1").alias("b"), F.col("line").alias("line_b")), "b")
             .where((_ends_agree if max_edits in (1, 2) else _enough_pieces)(F.col("line_a"), F.col("line_b"), max_edits)))
-    return settle(once(both, distance=banded_distance(F.col("line_a"), F.col("line_b"), max_edits))
-                  .select("a", "b", "distance").where("distance is not null"), "line-links")
+    links = settle(once(both, distance=banded_distance(F.col("line_a"), F.col("line_b"), max_edits))
+                   .select("a", "b", "distance").where("distance is not null"), "line-links", passing=passing)
+    discard(distinct.sparkSession, inner)
+    return links
 
 
-def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, passing: list[str] | None = None) -> DataFrame:
     """One row per line that holds a word: doc_id, k1, k2, line_no, h1, first_doc_id, first_line_no (the
     occurrence of its class that stays), n_links (distinct other lines within reach), kept.
 
     A row of `docs` that is repeated in full counts once. Null and empty texts have no such line. A null
-    doc_id comes first. Other columns take part only in telling rows apart.
+    doc_id comes first. Other columns take part only in telling rows apart. The result is read from tables whose
+    folders are added to `passing`, if given.
     """
     lines = lines_of(docs)
-    distinct = settle(distinct_lines(lines), "lines")
-    links = line_links(distinct, max_edits, min_chars)
+    distinct = settle(distinct_lines(lines), "lines", passing=passing)
+    links = line_links(distinct, max_edits, min_chars, passing)
     degree = (links.select(F.explode(F.array("a", "b")).alias("node"))
               .groupBy("node").agg(F.count("*").alias("n_links")))
     roots = connected_components(links)
@@ -275,7 +278,7 @@ def line_classes(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = M
               .agg(F.min(F.struct("doc_id", "k1", "k2", "line_no")).alias("lead")))
     classes = settle(members.join(firsts, "root", "left").select(
         "h1", "h2", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("lead", F.struct("doc_id", "k1", "k2", "line_no")).alias("lead")), "line-classes")
+        F.coalesce("lead", F.struct("doc_id", "k1", "k2", "line_no")).alias("lead")), "line-classes", passing=passing)
     return (lines.drop("line").distinct().join(classes, ["h1", "h2"])
             .select("doc_id", "k1", "k2", "line_no", "h1", F.col("lead.doc_id").alias("first_doc_id"),
                     F.col("lead.line_no").alias("first_line_no"), "n_links",
@@ -289,16 +292,19 @@ def line_dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN
     A document goes only if it had a line with a word and keeps none; texts without any such line, null
     texts included, stay as they are. Rows repeated in full become one.
     """
-    marks = (line_classes(docs, max_edits, min_chars).groupBy("k1", "k2")
+    passing = []
+    marks = (line_classes(docs, max_edits, min_chars, passing).groupBy("k1", "k2")
              .agg(F.min("kept").alias("whole"), F.max("kept").alias("some"),
                   F.sort_array(F.collect_list(F.struct("line_no", "kept"))).alias("flags"))
              .where("not whole")
              .select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "some",
                      F.filter("flags", lambda x: ~x["kept"])["line_no"].alias("gone")))
+    marks = settle(marks, "line-marks")
+    discard(docs.sparkSession, passing)
     k1, k2 = row_key(docs)
     one = docs.select(*hidden(docs), F.inline(F.array(F.struct(F.col("text").alias("_text"), k1.alias("_a1"), k2.alias("_a2"))))
                       ).dropDuplicates(["_a1", "_a2"])
-    joined = once(one.join(settle(marks, "line-marks"), (F.col("_a1") == F.col("_k1")) & (F.col("_a2") == F.col("_k2")), "left")
+    joined = once(one.join(marks, (F.col("_a1") == F.col("_k1")) & (F.col("_a2") == F.col("_k2")), "left")
                   .where("some is null or some"), _left=_without(F.col("_text"), F.col("gone")))
     columns = {"text": F.when(F.col("gone").isNull(), F.col("_text")).otherwise(F.col("_left"))}
     if "n_chars" in docs.columns:

@@ -1,5 +1,6 @@
 """Line links where very many lines share their pieces."""
 
+import os
 import random
 
 import pytest
@@ -29,11 +30,12 @@ def _crowd(rng, alphabet, n, words):
 def test_crowded_lines_keep_every_link_and_are_not_all_paired(spark, monkeypatch, max_edits, alphabet):
     made, settle = {}, line_dedup.settle
 
-    def kept(df, name):
-        made[name] = settle(df, name)
-        return made[name]
+    def counted(df, name, **options):
+        out = settle(df, name, **options)
+        made[name] = out.count()
+        return out
 
-    monkeypatch.setattr(line_dedup, "settle", kept)
+    monkeypatch.setattr(line_dedup, "settle", counted)
     lines = _crowd(random.Random(max_edits), alphabet, 240, 30)
     df = spark.createDataFrame(list(enumerate(lines)), "h1 long, line string")
     links = line_dedup.line_links(df, max_edits, 40)
@@ -43,7 +45,18 @@ def test_crowded_lines_keep_every_link_and_are_not_all_paired(spark, monkeypatch
     want = {(r["a"], r["b"], r["distance"]) for r in near.where(F.col("distance") <= max_edits).collect()}
     assert got == want and len(want) > 30
     if max_edits <= 2:
-        assert made["line-pairs"].count() < len(lines) ** 2 / 8
+        assert made["line-pairs"] < len(lines) ** 2 / 8
+
+
+def test_line_dedup_leaves_only_the_marks_behind(spark):
+    from clickscope.runtime import checkpoint_root
+    tables = lambda: {p.split("-", 1)[1].rsplit("-", 1)[0] for p in set(os.listdir(root)) - before}
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    lines = _crowd(random.Random(1), "abcdefghijklmnop", 60, 20)
+    out = line_dedup.line_dedup(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string"))
+    assert tables() <= {"line-marks", "components"} and "line-marks" in tables()
+    assert 0 < out.count() < len(lines)
 
 
 @pytest.mark.parametrize("max_edits", [1, 2])
