@@ -27,7 +27,7 @@ MAX_EDITS = 2
 MIN_CHARS = 40
 STEP = 16  # lengths a nominal length stands for
 FEW = 16  # lines under one key that are paired; more are keyed anew by finer pieces
-FINER = (6,)  # pieces of a line at the finer levels
+FINER = 6  # pieces of a line at the finer level, a multiple of those before
 BAG_CHARS = 30_000  # below 2^15: counts of longer lines may pass 63 bits
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
@@ -94,34 +94,47 @@ def _cells(length: Column, max_edits: int, min_chars: int) -> Column:
     return F.array_distinct(F.array(*[(length - d) - (length - d) % step for d in range(max_edits + 1)]))
 
 
+def _places(max_edits: int) -> list[tuple[int, int]]:
+    """Piece and shift of each piece key."""
+    places = []
+    for i in range(max_edits + 1):
+        most = min(i, max_edits - i)
+        places += [(i, shift) for shift in range(0 if max_edits <= 2 else -most, most + 1)]
+    return places
+
+
 def _piece_keys(line: Column, length: Column, cell: Column, max_edits: int) -> Column:
     """One piece of max_edits + 1 is unchanged, with i edits before it if it is piece i. The first pieces keep
     their place from the start, the last ones from the end, up to a shift by the edits on that side. Of two
     lines either may be the shifted one, so up to 2 edits shifts to one side are enough."""
     keys = []
-    for i in range(max_edits + 1):
+    for i, shift in _places(max_edits):
         at = F.floor(cell * i / (max_edits + 1)).cast("int")
         size = F.floor(cell * (i + 1) / (max_edits + 1)).cast("int") - at
-        most = min(i, max_edits - i)
         start = at if i <= max_edits - i else length - (cell - at)
-        for shift in range(0 if max_edits <= 2 else -most, most + 1):
-            keys.append(F.xxhash64(cell, F.lit(i), F.substring(line, start + shift + 1, size)))
+        keys.append(F.xxhash64(cell, F.lit(i), F.substring(line, start + shift + 1, size)))
     return F.array(*keys)
 
 
-def _rest_keys(line: Column, length: Column, cell: Column, max_edits: int, parts: int) -> Column:
+def _rest_keys(line: Column, length: Column, cell: Column, place: Column, max_edits: int, parts: int) -> Column:
     """Everything outside max_edits (1 or 2) open pieces of `parts`. What is before the first open piece keeps
     its place from the start, what is after the last from the end; what is between two pieces with an edit each
-    is shifted by at most one. Two edits in one piece leave all unchanged outside it and a neighbour."""
-    at = [F.floor(cell * i / parts).cast("int") for i in range(parts + 1)]
-    keys = []
+    is shifted by at most one. Two edits in one piece leave all unchanged outside it and a neighbour.
+
+    Only the keys that refine the piece key numbered `place`. Lines that agree up to the end of the first large
+    piece share its key and need the open pieces behind it alone. Of the others, those that agree from the start
+    of the last large piece share that key and need the open pieces before it. What is left has an edit in the first
+    and one in the last, and between them a common middle piece, shifted as the rest between the edits is."""
+    at, large = [F.floor(cell * i / parts).cast("int") for i in range(parts + 1)], parts // (max_edits + 1)
+    keys = {x: [] for x in _places(max_edits)}
     for u in range(parts):
         for v in range(u + 1, parts) if max_edits == 2 else [u]:
             for shift in range(2 if v > u + 1 else 1):
                 middle = [F.substring(line, at[u + 1] + shift + 1, at[v] - at[u + 1])] if v > u + 1 else []
-                keys.append(F.xxhash64(cell, F.lit(u), F.lit(v), F.substring(line, F.lit(1), at[u]), *middle,
-                                       F.substring(line, length - (cell - at[v + 1]) + 1, cell - at[v + 1])))
-    return F.array(*keys)
+                of = (0, 0) if u >= large else (max_edits, 0) if v < parts - large else (1, shift)
+                keys[of].append(F.xxhash64(cell, F.lit(u), F.lit(v), F.substring(line, F.lit(1), at[u]), *middle,
+                                           F.substring(line, length - (cell - at[v + 1]) + 1, cell - at[v + 1])))
+    return F.coalesce(*[F.when(place == i, F.array(*x)) for i, x in enumerate(keys.values())])
 
 
 def _bags(line: Column) -> Column:
@@ -150,21 +163,22 @@ def _candidates(long: DataFrame, max_edits: int, min_chars: int, passing: list[s
 
     Lines that share a key meet. Where more than FEW share one, they are not paired but keyed again by finer
     pieces, of which all but max_edits must be unchanged, and paired only if their characters' counts agree.
+    A line gets finer keys only in place of those of its keys that are crowded: a constant number for each.
     """
-    rest, found = long.withColumn("bags", F.lit(None).cast("array<bigint>")), []
-    levels = [0, *(FINER if max_edits in (1, 2) else [])]
+    of_line, found = [F.col("line"), F.col("length"), F.col("cell")], []
+    celled = long.select("h1", "line", "length", F.explode(_cells(F.col("length"), max_edits, min_chars)).alias("cell"))
+    keyed = celled.select("h1", "length", "cell", F.posexplode(_piece_keys(*of_line, max_edits)).alias("place", "key"))
+    levels = [0, *([FINER] if max_edits in (1, 2) else [])]
     for parts in levels:
-        celled = rest.select("h1", "line", "length", "bags", F.explode(_cells(F.col("length"), max_edits, min_chars)).alias("cell"))
-        args = F.col("line"), F.col("length"), F.col("cell"), max_edits
         carried = ["h1", "length", *(["bags"] if parts else [])]
-        keys = settle(celled.select(*carried, F.explode(_rest_keys(*args, parts) if parts else _piece_keys(*args)).alias("key")), "line-keys", passing=passing)
+        keys = settle(keyed, "line-keys", passing=passing)
         met = settle(keys.groupBy("key").agg(
             F.min("h1").alias("a"), F.max("h1").alias("b"), F.min("length").alias("low"), F.max("length").alias("high"),
             F.count("*").alias("n")).where("a < b"), "line-meetings", passing=passing)
         last = parts == levels[-1]
         found.append(met.where((F.col("n") == 2) & (F.col("high") - F.col("low") <= max_edits)).select("a", "b"))
         several = met.where((F.col("n") > 2) & (F.lit(last) | (F.col("n") <= FEW)))
-        members = settle(keys.join(broadcast_if_small(several.select("key")), "key"), "line-members", passing=passing)
+        members = settle(keys.join(broadcast_if_small(several.select("key")), "key").select("key", *carried), "line-members", passing=passing)
         others = members.select("key", *[F.col(c).alias(f"{c}_2") for c in carried])
         near = (F.col("h1") < F.col("h1_2")) & (F.abs(F.col("length") - F.col("length_2")) <= max_edits)
         if parts:
@@ -173,8 +187,11 @@ def _candidates(long: DataFrame, max_edits: int, min_chars: int, passing: list[s
         crowded = met.where(F.col("n") > FEW)
         if last or crowded.isEmpty():
             break
-        again = settle(keys.join(broadcast_if_small(crowded.select("key")), "key").select("h1").distinct(), "line-again", passing=passing)
-        rest = settle(long.join(broadcast_if_small(again), "h1", "left_semi").withColumn("bags", _bags(F.col("line"))), "line-rest", passing=passing)
+        again = settle(keys.join(broadcast_if_small(crowded.select("key")), "key").groupBy("h1").agg(
+            F.collect_set(F.struct("cell", "place")).alias("crowded")), "line-again", passing=passing)
+        rest = settle(long.select("h1", "line", "length").join(broadcast_if_small(again), "h1").withColumn("bags", _bags(F.col("line"))), "line-rest", passing=passing)
+        keyed = rest.select(*rest.columns, F.inline("crowded")).select(
+            "h1", "length", "bags", F.explode(_rest_keys(*of_line, F.col("place"), max_edits, FINER)).alias("key"))
     return settle(reduce(DataFrame.unionByName, found).distinct(), "line-pairs", passing=passing)
 
 
